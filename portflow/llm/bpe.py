@@ -3,7 +3,8 @@
 The tokenizer never looks across white space, so a text's ids are the ids of its words in order. Each block of
 documents lists its distinct words once and holds its texts as positions in that list; the lists are dealt by word, so
 that every distinct word meets in one task and is encoded once there; its ids return to the block and are joined by
-position. What moves between tasks is word lists and positions, never whole texts.
+position. What moves between tasks is word lists and ids. Texts stay where they are: blocks are a bucketed table, and
+the join by block reads it without a shuffle.
 
 Null text counts as empty, an empty text has no ids, repeated rows give repeated rows, other columns are ignored.
 """
@@ -12,7 +13,10 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -21,17 +25,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portflow.llm.shared import text_of, written
+from portflow.llm.shared import shared_dir, text_of
 
-#: The white space of the tokenizer's normaliser, which differs from Python's by U+001C to U+001F.
-SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
-_SPLIT = re.compile(f"[^{SPACE}]+")
-_ODD = re.compile("[\x1c-\x1f]")
-
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 16_000_000
 CACHE_WORDS = 1_000_000
 _BLOCKS = "block string, bucket int, words binary, payload binary"
 
+#: ASCII punctuation, and the letters of Latin-1, for which the tokenizer's rules are plain: one run of letters and
+#: one run of punctuation after it are one token each before merging. Other words go through the whole tokenizer.
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_PLAIN = re.compile(f"([a-zß-öø-ÿ]+)([{re.escape(PUNCTUATION)}]*)")
+
 
 def vocabulary_path() -> str:
     import public_tokenizers
@@ -39,6 +43,7 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@lru_cache(2)  # a Python worker serves many tasks
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -76,21 +81,25 @@ def _unpacks(b: bytes) -> list[np.ndarray]:
 
 
 def _blocks(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def block_rows(name: str, ids: list, sizes: list[int], codes: list[list[int]], words: dict[str, int]) -> pa.RecordBatch:
-        flat = np.concatenate([np.asarray(c, np.uint32) for c in codes]) if codes else np.zeros(0, np.uint32)
-        names = np.array(list(words), dtype=object)
-        order = np.argsort(-np.bincount(flat, minlength=len(names)), kind="stable")  # common words get small codes
-        code = np.empty(len(names), np.uint32)
-        code[order] = np.arange(len(names), dtype=np.uint32)
-        names = names[order]
-        bucket = np.fromiter((crc32(w.encode()) % buckets for w in names), np.uint32, len(names))
-        by = np.argsort(bucket, kind="stable")
+    def rows(name: str, doc: pa.Array, text: pa.Array) -> pa.RecordBatch:
+        split = pc.ascii_split_whitespace(text)
+        coded = split.flatten().dictionary_encode()
+        flat = coded.indices.to_numpy()
+        order = np.argsort(-np.bincount(flat, minlength=len(coded.dictionary)), kind="stable")  # common words get small codes
+        code = np.empty(len(order), np.uint32)
+        code[order] = np.arange(len(order), dtype=np.uint32)
+        words = coded.dictionary.take(pa.array(order))
+        # a word goes where it goes without its punctuation, in either case
+        cores = pc.ascii_lower(pc.utf8_rtrim(words, characters=PUNCTUATION)).cast(pa.binary()).to_pylist()
+        bucket = np.fromiter((crc32(w) % buckets for w in cores), np.uint32, len(cores))
+        by = np.lexsort((pc.rank(words, tiebreaker="first").to_numpy(), bucket))
         ends = np.searchsorted(bucket[by], np.arange(buckets + 1))
-        lists = {b: "\n".join(names[by[ends[b] : ends[b + 1]]]).encode() for b in range(buckets) if ends[b + 1] > ends[b]}
-        known = np.fromiter((i is not None for i in ids), np.uint32, len(ids))
-        wide = np.fromiter((i or 0 for i in ids), np.int64, len(ids)).view(np.uint64)
-        payload = _packs(wide & np.uint64(0xFFFFFFFF), wide >> np.uint64(32), known, np.array(sizes, np.uint32), code[flat], bucket)
+        listed = words.take(pa.array(by)).to_pylist()
+        lists = {b: "\n".join(listed[ends[b] : ends[b + 1]]).encode() for b in range(buckets) if ends[b + 1] > ends[b]}
         packed = [len(w).to_bytes(8, "little") + pa.compress(w, codec="zstd", asbytes=True) for w in lists.values()]
+        ids = pc.fill_null(doc, 0).to_numpy().view(np.uint64)
+        sizes = pc.list_value_length(split).to_numpy()
+        payload = _packs(ids & np.uint64(0xFFFFFFFF), ids >> np.uint64(32), doc.is_valid().to_numpy(zero_copy_only=False), sizes, code[flat], by)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([name] * (len(lists) + 1)),
@@ -104,83 +113,112 @@ def _blocks(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, k = TaskContext.get().partitionId(), 0
-        ids, sizes, codes, words, chars = [], [], [], {}, 0
+        pa.set_cpu_count(1)
+        part, k, held, chars = TaskContext.get().partitionId(), 0, [], 0
 
-        class Codes(dict):
-            def __missing__(self, w: str) -> int:
-                self[w] = c = len(self)
-                return c
+        def block() -> pa.RecordBatch:
+            t = pa.Table.from_batches(held).combine_chunks()
+            return rows(f"{part}-{k}", t.column(0).chunk(0), t.column(1).chunk(0))
 
-        words = Codes()
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                split = _SPLIT.findall(text) if _ODD.search(text) else text.split()
-                ids.append(i)
-                sizes.append(len(split))
-                codes.append(np.fromiter(map(words.__getitem__, split), np.uint32, len(split)))
-                chars += len(text)
+            ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy().astype(np.int64))
+            at = 0
+            while at < batch.num_rows:
+                done = int(ends[at - 1]) if at else 0
+                to = min(batch.num_rows, 1 + int(np.searchsorted(ends, done + BLOCK_CHARS - chars)))
+                held.append(batch.slice(at, to - at))
+                chars, at = chars + int(ends[to - 1]) - done, to
                 if chars >= BLOCK_CHARS:
-                    yield block_rows(f"{part}-{k}", ids, sizes, codes, words)
-                    ids, sizes, codes, words, chars, k = [], [], [], Codes(), 0, k + 1
-        if ids:
-            yield block_rows(f"{part}-{k}", ids, sizes, codes, words)
+                    yield block()
+                    held, chars, k = [], 0, k + 1
+        if held:
+            yield block()
 
     return run
 
 
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet as a translation of Latin-1: printable bytes stand for themselves, the others for U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class Encoder:
+    """Ids of words. What was met before is not encoded again, nor are a word's letters for each sign that may follow them."""
+
+    def __init__(self, path: str):
+        self.tokenizer, self.letters = _tokenizer(path), byte_letters()
+        self.words: dict[str, list[int]] = {}
+        self.parts: dict[str, list[int]] = {}
+
+    def _whole(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _letters(self, part: str) -> list[int]:
+        found = self.parts.get(part)
+        if found is None:
+            units = part.encode().decode("latin-1").translate(self.letters)
+            found = self.parts[part] = [t.id for t in self.tokenizer.model.tokenize(units)]
+        return found
+
+    def __call__(self, words: list[str]) -> list[list[int]]:
+        known = self.words
+        if len(known) > CACHE_WORDS:
+            known.clear()
+            self.parts.clear()
+        odd = []
+        for w in words:
+            if w not in known:
+                m = _PLAIN.fullmatch(w.lower())
+                if m is None:
+                    odd.append(w)
+                elif m[2]:
+                    known[w] = self._letters(m[1]) + self._letters(m[2])
+                else:
+                    known[w] = self._letters(m[1])
+        for at in range(0, len(odd), 20_000):
+            some = odd[at : at + 20_000]
+            known.update(zip(some, self._whole(some), strict=True))
+        return [known[w] for w in words]
+
+
 def _encode_words(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Each row's words become their ids; a word that was met before is not encoded again."""
+    """Each row's words become their ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, seen = _tokenizer(path), {}
+        encoder = Encoder(path)
         for batch in batches:
-            out = []
-            for packed in batch.column("words").to_pylist():
-                n = int.from_bytes(packed[:8], "little")
-                words = pa.decompress(packed[8:], decompressed_size=n, codec="zstd", asbytes=True).decode().split("\n")
-                if len(seen) > CACHE_WORDS:
-                    seen.clear()
-                new = [w for w in words if w not in seen]
-                for at in range(0, len(new), 20_000):
-                    some = new[at : at + 20_000]
-                    seen.update(zip(some, (e.ids for e in t.encode_batch_fast(some, add_special_tokens=False)), strict=True))
-                ids = [seen[w] for w in words]
+            for i in range(batch.num_rows):
+                packed = batch.column("words")[i].as_py()
+                words = pa.decompress(packed[8:], decompressed_size=int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True).decode().split("\n")
+                ids = encoder(words)
                 sizes = np.fromiter(map(len, ids), np.uint32, len(ids))
-                out.append(_packs(sizes, np.fromiter((x for w in ids for x in w), np.uint32, int(sizes.sum()))))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("bucket"), pa.array(out, pa.binary()), pa.nulls(len(out), pa.binary())],
-                ["block", "bucket", "words", "payload"],
-            )
+                out = _packs(sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())))
+                yield pa.RecordBatch.from_arrays([batch.column("block").slice(i, 1), batch.column("bucket").slice(i, 1), pa.array([out], pa.binary())], ["block", "bucket", "ids"])
 
     return run
 
 
 def _gather(starts: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> np.ndarray:
     """The runs values[starts[i] : starts[i] + sizes[i]], one after the other."""
-    ends = np.cumsum(sizes)
+    ends = np.cumsum(sizes, dtype=np.int64)
     if not len(ends) or not ends[-1]:
         return values[:0]
-    return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])]
+    return values[np.repeat((starts - (ends - sizes)).astype(np.int32), sizes) + np.arange(ends[-1], dtype=np.int32)]
 
 
-def _assemble(t: pa.Table) -> pa.Table:
+def _assemble(blocks: pa.Table, encoded: pa.Table) -> pa.Table:
     """A block's ids, joined to its texts by position."""
-    payload = next(p for p in t.column("payload").to_pylist() if p is not None)
-    low, high, known, words, codes, bucket = _unpacks(payload)
+    low, high, known, words, codes, order = _unpacks(blocks.column("payload")[0].as_py())
     doc = (low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))).view(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    sizes, values = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
-    for _, w in sorted((b, w) for b, w in zip(t.column("bucket").to_pylist(), t.column("words").to_pylist(), strict=True) if b >= 0):
-        s, v = _unpacks(w)
-        sizes.append(s)
-        values.append(v)
-    by_bucket, flat = np.concatenate(sizes).astype(np.int64), np.concatenate(values).astype(np.int32)
-    size, start = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+    parts = [_unpacks(w) for _, w in sorted(zip(encoded.column("bucket").to_pylist(), encoded.column("ids").to_pylist(), strict=True))]
+    by_bucket = np.concatenate([p[0] for p in parts] or [np.zeros(0)]).astype(np.int32)
+    flat = np.concatenate([p[1] for p in parts] or [np.zeros(0)]).astype(np.int32)
+    size, start = np.zeros(len(order), np.int32), np.zeros(len(order), np.int32)
     size[order], start[order] = by_bucket, np.cumsum(by_bucket) - by_bucket
-    word_ends = np.cumsum(words.astype(np.int64))
-    upto = np.concatenate([[0], np.cumsum(size[codes])])
-    offsets = np.concatenate([[0], upto[word_ends]]).astype(np.int32)
+    upto = np.concatenate([[0], np.cumsum(size[codes], dtype=np.int64)])
+    offsets = np.concatenate([[0], upto[np.cumsum(words, dtype=np.int64)]]).astype(np.int32)
     ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(_gather(start[codes], size[codes], flat)))
     return pa.table({"doc_id": pa.array(doc, mask=known == 0), "ids": ids})
 
@@ -189,15 +227,20 @@ def encode(docs: DataFrame, path: str | None = None, buckets: int | None = None)
     """(doc_id, ids): the ids of every whole text, as the tokenizers library gives them without special tokens added."""
     spark, path = docs.sparkSession, path or vocabulary_path()
     buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = written(docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(_blocks(buckets), _BLOCKS))
-    words = blocks.where("bucket >= 0").repartition(buckets, "bucket").mapInArrow(_encode_words(path), _BLOCKS)
-    joined = words.unionAll(blocks.where("bucket < 0"))
-    return joined.groupBy("block").applyInArrow(_assemble, "doc_id long, ids array<int>")
-
-
-def pieces(path: str | None = None) -> pa.Array:
+    name = f"bpe_blocks_{uuid.uuid4().hex}"
+    rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(_blocks(buckets), _BLOCKS)
+    rows.write.bucketBy(buckets, "block").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
+    blocks = spark.table(name)
+    words = blocks.where("bucket >= 0").select("block", "bucket", "words").repartition(buckets, "bucket")
+    encoded = words.mapInArrow(_encode_words(path), "block string, bucket int, ids binary")
+    texts = blocks.where("bucket < 0").select("block", "payload")
+    return texts.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(_assemble, "doc_id long, ids array<int>")
+
+
+@lru_cache(2)
+def pieces(path: str) -> pa.Array:
     """The id-to-piece table. Its size is the vocabulary's, whatever the input."""
-    t = _tokenizer(path or vocabulary_path())
+    t = _tokenizer(path)
     return pa.array([t.id_to_token(i) or "" for i in range(t.get_vocab_size(with_added_tokens=True))])
 
 
