@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from portflow.llm.shared import shared_dir, text_of
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 10_000_000
 CACHE_WORDS = 1_000_000
 _BLOCKS = "block string, bucket int, words binary, payload binary"
 
@@ -131,6 +131,7 @@ def _blocks(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 if chars >= BLOCK_CHARS:
                     yield block()
                     held, chars, k = [], 0, k + 1
+                    pa.default_memory_pool().release_unused()
         if held:
             yield block()
 
@@ -223,8 +224,13 @@ def _assemble(blocks: pa.Table, encoded: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(doc, mask=known == 0), "ids": ids})
 
 
-def encode(docs: DataFrame, path: str | None = None, buckets: int | None = None) -> DataFrame:
-    """(doc_id, ids): the ids of every whole text, as the tokenizers library gives them without special tokens added."""
+def encode(
+    docs: DataFrame, path: str | None = None, buckets: int | None = None, then: Callable[[pa.Table], pa.Table] | None = None, schema: str = "doc_id long, ids array<int>"
+) -> DataFrame:
+    """(doc_id, ids): the ids of every whole text, as the tokenizers library gives them without special tokens added.
+
+    `then` turns each block's (doc_id, ids) into rows of `schema` where they are made.
+    """
     spark, path = docs.sparkSession, path or vocabulary_path()
     buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     name = f"bpe_blocks_{uuid.uuid4().hex}"
@@ -234,7 +240,14 @@ def encode(docs: DataFrame, path: str | None = None, buckets: int | None = None)
     words = blocks.where("bucket >= 0").select("block", "bucket", "words").repartition(buckets, "bucket")
     encoded = words.mapInArrow(_encode_words(path), "block string, bucket int, ids binary")
     texts = blocks.where("bucket < 0").select("block", "payload")
-    return texts.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(_assemble, "doc_id long, ids array<int>")
+
+    def assemble(texts: pa.Table, encoded: pa.Table) -> pa.Table:
+        out = _assemble(texts, encoded)
+        out = then(out) if then else out
+        pa.default_memory_pool().release_unused()
+        return out
+
+    return texts.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(assemble, schema)
 
 
 @lru_cache(2)

@@ -28,26 +28,20 @@ _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACED = _PIECE + ", sequence_id long, offset long"
 
 
-def cut(encoded: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def cut(encoded: pa.Table, capacity: int = CAPACITY, end_id: int = END_ID) -> pa.Table:
     """(doc_id, ids) as pieces of at most `capacity` ids, the end mark counted."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            flat, doc = batch.column("ids"), batch.column("doc_id").to_pylist()
-            offsets, values = flat.offsets.to_numpy(), flat.values.to_numpy(zero_copy_only=False).astype("<u4")
-            for i, d in enumerate(doc):
-                ids = np.append(values[offsets[i] : offsets[i + 1]], np.uint32(end_id)).astype("<u4")
-                for k, at in enumerate(range(0, len(ids), capacity)):
-                    part = ids[at : at + capacity]
-                    rows.append((d, k, at, len(part), crc32(part.tobytes())))
-            cols = list(zip(*rows, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.int64()) for c in cols[2:])],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
-
-    return encoded.mapInArrow(run, _PIECE)
+    rows = []
+    for part in encoded.to_batches():
+        ids, doc = part.column("ids"), part.column("doc_id").to_pylist()
+        offsets, values = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype("<u4")
+        for i, d in enumerate(doc):
+            own = np.append(values[offsets[i] : offsets[i + 1]], np.uint32(end_id)).astype("<u4")
+            for k, at in enumerate(range(0, len(own), capacity)):
+                piece = own[at : at + capacity]
+                rows.append((d, k, at, len(piece), crc32(piece.tobytes())))
+    cols = list(zip(*rows, strict=True)) or [[]] * 5
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    return pa.table([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -130,4 +124,4 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    return pack(cut(bpe.encode(docs, path), capacity), capacity)
+    return pack(bpe.encode(docs, path, then=lambda t: cut(t, capacity), schema=_PIECE), capacity)
