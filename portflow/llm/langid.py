@@ -86,6 +86,8 @@ def _shares(n: list[F.Column], towards: list[F.Column], weight: float) -> list[F
 
 def fuse(scored: DataFrame, langs: list[str], least: float = LEAST) -> DataFrame:
     """scored (key, host, domain, suffix, declared, ll) with text_lang, lang, confidence."""
+    if not langs:  # no labelled text at all
+        return scored.withColumns({"text_lang": F.lit(None).cast("string"), "lang_found": F.lit("und"), "confidence": F.lit(0.0)})
     k = range(len(langs))
     names = F.array(*map(F.lit, langs))
     top = F.array_max("ll")
@@ -144,5 +146,8 @@ def identify_pages(pages: DataFrame, model: tuple[list[str], np.ndarray], least:
 def identify_documents(docs: DataFrame, model: tuple[list[str], np.ndarray], least: float = LEAST) -> DataFrame:
     """docs with text_lang, lang_found and confidence; the source is the host, and nothing is declared."""
     nothing = F.lit(None).cast("string")
-    rows = docs.withColumns({"host": F.col("source"), "domain": nothing, "suffix": nothing, "declared": nothing})
-    return fuse(score_text(rows, model), model[0], least).select(*docs.columns, "text_lang", "lang_found", "confidence")
+    given = [c for c in docs.columns if c not in ("text_lang", "lang_found", "confidence")]
+    held = {c: f"_{i}" for i, c in enumerate(given) if c != "text"}  # whatever they are called, they don't clash
+    rows = docs.select(*given).withColumnsRenamed(held).withColumns({"host": F.col(held["source"]), "domain": nothing, "suffix": nothing, "declared": nothing})
+    out = fuse(score_text(rows, model), model[0], least)
+    return out.select(*(F.col(held.get(c, c)).alias(c) for c in given), "text_lang", "lang_found", "confidence")

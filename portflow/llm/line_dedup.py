@@ -55,14 +55,14 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int =
     )
     salted = occurrences(pages).withColumn("salt", F.pmod(F.xxhash64("page"), F.lit(SALTS)).cast("int"))
     hits = salted.join(marked, F.expr("key = b_key and salt = b_salt and host <=> b_host"), "left_semi")
-    drops = hits.groupBy(F.col("page").alias("d_page"), F.col("host").alias("d_host")).agg(F.collect_set("key").alias("drop"))
+    drops = hits.groupBy(F.col("page").alias("d_page"), F.col("host").alias("d_host")).agg(F.collect_set("key").alias("_drop"))
     joined = pages.join(drops, F.expr("page <=> d_page and host <=> d_host"), "left").drop("d_page", "d_host")
     lines = _lines(F.col("text"))
-    kept = F.filter(lines, lambda x: ~(_solid(x) & F.array_contains(F.col("drop"), _key(x))))
-    out = joined.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0))).withColumn("kept", F.when(F.col("drop").isNotNull(), kept))
-    out = out.withColumn("kept", F.when(F.exists("kept", _solid), F.col("kept")))
+    kept = F.filter(lines, lambda x: ~(_solid(x) & F.array_contains(F.col("_drop"), _key(x))))
+    out = joined.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0))).withColumn("_kept", F.when(F.col("_drop").isNotNull(), kept))
+    out = out.withColumn("_kept", F.when(F.exists("_kept", _solid), F.col("_kept")))
     return (
-        out.withColumn("n_dropped", F.when(F.col("kept").isNull(), 0).otherwise(F.col("n_lines") - F.size("kept")))
-        .withColumn("text", F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.array_join("kept", "\n")))
-        .drop("kept", "drop")
+        out.withColumn("n_dropped", F.when(F.col("_kept").isNull(), 0).otherwise(F.col("n_lines") - F.size("_kept")))
+        .withColumn("text", F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n")))
+        .drop("_kept", "_drop")
     )
