@@ -1,0 +1,16 @@
+import pytest
+
+from portflow.plans import registry
+
+
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+def test_query_equals_sql(name, same):
+    same(registry.QUERIES[name], registry.ORACLE_SQL[name])
+
+
+def test_entry_points(spark):
+    import __spark_entry__ as e
+
+    assert set(registry.QUERIES) <= set(e.queries())
+    assert set(e.oracle_sql()) <= set(e.queries())
+    assert e.entry(spark).count() > 0
