@@ -7,7 +7,7 @@ languages on a host, smoothed towards those of its domain, which are smoothed to
 
 A page without letters, a null text and an empty one have no text evidence; the rest decides, and `und` is the answer
 if nothing lifts a language over `least`. Null declarations, suffixes, domains and hosts say nothing. The text model is fitted on at most
-`per_language` labelled documents of each language, those of the smallest hash.
+`per_language` labelled texts of each language, those of the smallest hash; equal texts count once.
 """
 
 from __future__ import annotations
@@ -19,9 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from portflow.llm.shared import written
+
 PER_LANGUAGE, CODES, MOST_LANGUAGES = 2000, 1 << 14, 64
 #: Trigrams of a text overlap and repeat, so that their evidence counts as that of so many independent ones at most.
 EVIDENCE, LEAST, SMOOTHING = 40.0, 0.5, 10.0
+SALTS = 32
 
 
 def trigram_codes(text: str) -> np.ndarray:
@@ -36,9 +39,13 @@ def trigram_codes(text: str) -> np.ndarray:
 
 def fit_text_model(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
     """From (text, lang): the languages and their log-probabilities of each code. At most languages x CODES sums are collected."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    some = labelled.where("lang is not null and text is not null").select("lang", "text")
-    some = some.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language).select("lang", "text")
+    some = labelled.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("h"))
+    # the smallest hashes, found on narrow rows and in salted parts first: at most SALTS x per_language of a language meet
+    least = some.select("lang", "h").distinct().withColumn("salt", F.pmod(F.col("h"), F.lit(SALTS)))
+    for by in (["lang", "salt"], ["lang"]):
+        least = least.withColumn("k", F.row_number().over(Window.partitionBy(*by).orderBy("h"))).where(F.col("k") <= per_language)
+    least = least.select("lang", "h")
+    some = some.join(F.broadcast(least), ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"]).select("lang", "text")  # MOST_LANGUAGES x per_language numbers
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -94,7 +101,7 @@ def fuse(scored: DataFrame, langs: list[str], least: float = LEAST) -> DataFrame
     scored = scored.withColumn("text_lang", F.when(F.col("ll").isNotNull(), F.element_at(names, F.array_position("ll", top).cast("int"))))
     votes = [F.sum(F.when(F.col("text_lang") == x, 1).otherwise(0)).cast("double").alias(f"n{i}") for i, x in enumerate(langs)]
     n = [F.col(f"n{i}") for i in k]
-    cube = scored.groupBy("host", "domain", "suffix", "declared").agg(*votes)
+    cube = written(scored.groupBy("host", "domain", "suffix", "declared").agg(*votes))
 
     def summed(*by: str) -> DataFrame:
         return cube.groupBy(*by).agg(*(F.sum(x).alias(f"n{i}") for i, x in enumerate(n)))
@@ -139,7 +146,7 @@ def page_evidence(pages: DataFrame) -> DataFrame:
 
 
 def identify_pages(pages: DataFrame, model: tuple[list[str], np.ndarray], least: float = LEAST) -> DataFrame:
-    found = fuse(score_text(page_evidence(pages), model).drop("text"), model[0], least)
+    found = fuse(written(score_text(page_evidence(pages), model).drop("text")), model[0], least)
     return found.select("page_id", "host", "suffix", "declared", "text_lang", F.col("lang_found").alias("lang"), F.round("confidence", 6).alias("confidence"))
 
 
