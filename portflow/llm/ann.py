@@ -25,36 +25,54 @@ from pyspark.sql import functions as F
 from portflow.llm.shared import written
 
 SHARD_POINTS, QUERY_BLOCK = 4096, 2048
+SEEN_BYTES = 16_000_000
 DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA, WIDTH, INSERT = 32, 64, 96, 1.2, 4, 512
 
 
 def beam_search(graph: np.ndarray, points: np.ndarray, queries: np.ndarray, entry: int, beam: int, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """For all queries in step: the `beam` nearest points met (-1 where fewer), and their squared distances."""
+    """For all queries in step: the `beam` nearest points met (-1 where fewer), and their squared distances.
+
+    A bit for each query and point tells which were met, so that no distance is taken twice; queries go in runs that
+    keep this table under `SEEN_BYTES`.
+    """
+    run = max(1, SEEN_BYTES // max(1, len(points)))
+    if len(queries) > run:
+        parts = [beam_search(graph, points, queries[s : s + run], entry, beam, width) for s in range(0, len(queries), run)]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     m = len(queries)
     norms = np.einsum("ij,ij->i", points, points)
     ids = np.full((m, beam), -1, np.int32)
     dist = np.full((m, beam), np.inf, np.float32)
     done = np.ones((m, beam), bool)
-    ids[:, 0], done[:, 0] = entry, False
+    seen = np.zeros((m, len(points)), bool)
+    ids[:, 0], done[:, 0], seen[:, entry] = entry, False, True
     dist[:, 0] = norms[entry] - 2 * queries @ points[entry]
     while len(act := np.flatnonzero(~done.all(axis=1))):
         pick = np.argsort(np.where(done[act], np.inf, dist[act]), axis=1)[:, :width]
-        rows = act[:, None]
-        fresh = ~done[rows, pick]
-        nodes = np.where(fresh, ids[rows, pick], -1)
-        done[rows, pick] = True
-        near = np.where(nodes[:, :, None] >= 0, graph[nodes], -1).reshape(len(act), -1)
-        near = np.sort(near, axis=1)
-        near[:, 1:][near[:, 1:] == near[:, :-1]] = -1
-        near[(near[:, :, None] == ids[act][:, None, :]).any(axis=2)] = -1
-        d = norms[near] - 2 * np.matmul(points[near], queries[act][:, :, None])[:, :, 0]
-        all_ids = np.concatenate([ids[act], near], axis=1)
-        all_d = np.concatenate([dist[act], np.where(near >= 0, d, np.inf)], axis=1)
-        all_done = np.concatenate([done[act], near < 0], axis=1)
+        at, node = [], []
+        for k in range(pick.shape[1]):
+            rows = np.flatnonzero(~done[act, pick[:, k]])
+            done[act[rows], pick[rows, k]] = True
+            near = graph[ids[act[rows], pick[rows, k]]]
+            r, c = np.nonzero((near >= 0) & ~seen[act[rows][:, None], near])
+            at.append(rows[r])
+            node.append(near[r, c])
+            seen[act[at[-1]], node[-1]] = True
+        at, node = np.concatenate(at), np.concatenate(node)
+        d = norms[node] - 2 * np.einsum("ij,ij->i", points[node], queries[act[at]])
+        better = np.flatnonzero(d < dist[act[at], -1])
+        by = better[np.argsort(at[better], kind="stable")]
+        at, node, d = at[by], node[by], d[by]
+        count = np.bincount(at, minlength=len(act))
+        place = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+        more_ids = np.full((len(act), int(count.max())), -1, np.int32)
+        more_d = np.full(more_ids.shape, np.inf, np.float32)
+        more_ids[at, place], more_d[at, place] = node, d
+        all_d = np.concatenate([dist[act], more_d], axis=1)
         best = np.argsort(all_d, axis=1, kind="stable")[:, :beam]
-        ids[act], dist[act], done[act] = (np.take_along_axis(x, best, axis=1) for x in (all_ids, all_d, all_done))
-        ids[act] = np.where(np.isinf(dist[act]), -1, ids[act])
-        done[act] |= np.isinf(dist[act])
+        dist[act] = np.take_along_axis(all_d, best, axis=1)
+        ids[act] = np.take_along_axis(np.concatenate([ids[act], more_ids], axis=1), best, axis=1)
+        done[act] = np.take_along_axis(np.concatenate([done[act], more_ids < 0], axis=1), best, axis=1)
     return ids, dist
 
 
