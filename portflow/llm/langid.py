@@ -5,6 +5,9 @@ markup declares; the suffix of its address; and its host. The last three are wei
 pages, in grouped aggregations: how often a declaration or a suffix goes with a language, and the shares of the
 languages on a host, smoothed towards those of its domain, which are smoothed towards those of all pages.
 
+A text is of none of the languages, and its page `und`, if even the best model finds its trigrams less likely than
+BACKGROUND, that is trigrams spread evenly over all codes: foreign scripts, languages not fitted and junk. It has no vote.
+
 A page without letters, a null text and an empty one have no text evidence; the rest decides, and `und` is the answer
 if nothing lifts a language over `least`. Null declarations, suffixes, domains and hosts say nothing. The text model is fitted on at most
 `per_language` labelled texts of each language, those of the smallest hash; equal texts count once.
@@ -25,6 +28,8 @@ PER_LANGUAGE, CODES, MOST_LANGUAGES = 2000, 1 << 14, 64
 #: Trigrams of a text overlap and repeat, so that their evidence counts as that of so many independent ones at most.
 EVIDENCE, LEAST, SMOOTHING = 40.0, 0.5, 10.0
 SALTS = 32
+#: Log-likelihood of a trigram in a text of no fitted language.
+BACKGROUND = -float(np.log(CODES))
 
 
 def trigram_codes(text: str) -> np.ndarray:
@@ -70,20 +75,21 @@ def fit_text_model(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tup
 
 
 def score_text(pages: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
-    """pages with `ll`: for each language the log-likelihood of the text, null without letters."""
+    """pages with `ll`: for each language the log-likelihood of the text, null without letters; `foreign`: it is of none of them."""
     shared = pages.sparkSession.sparkContext.broadcast(model[1])  # languages x CODES numbers
     columns = pages.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
         for batch in batches:
-            out = []
+            out, foreign = [], []
             for t in batch.column(text).to_pylist():
                 c = trigram_codes(t or "")
                 out.append((np.bincount(c, minlength=CODES) @ p.T if len(c) > 8 * CODES else p[:, c].sum(axis=1)) * (min(EVIDENCE, len(c)) / len(c)) if len(c) else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.float64()))], [*columns, "ll"])
+                foreign.append(bool(len(c) and len(p) and out[-1].max() < BACKGROUND * min(EVIDENCE, len(c))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.float64())), pa.array(foreign, pa.bool_())], [*columns, "ll", "foreign"])
 
-    return pages.mapInArrow(run, pages.select("*", F.lit(None).cast("array<double>").alias("ll")).schema)
+    return pages.mapInArrow(run, pages.select("*", F.lit(None).cast("array<double>").alias("ll"), F.lit(None).cast("boolean").alias("foreign")).schema)
 
 
 def _shares(n: list[F.Column], towards: list[F.Column], weight: float) -> list[F.Column]:
@@ -92,13 +98,14 @@ def _shares(n: list[F.Column], towards: list[F.Column], weight: float) -> list[F
 
 
 def fuse(scored: DataFrame, langs: list[str], least: float = LEAST) -> DataFrame:
-    """scored (key, host, domain, suffix, declared, ll) with text_lang, lang, confidence."""
+    """scored (key, host, domain, suffix, declared, ll, and foreign if known) with text_lang, lang, confidence."""
+    foreign = F.coalesce("foreign", F.lit(False)) if "foreign" in scored.columns else F.lit(False)
     if not langs:  # no labelled text at all
         return scored.withColumns({"text_lang": F.lit(None).cast("string"), "lang_found": F.lit("und"), "confidence": F.lit(0.0)})
     k = range(len(langs))
     names = F.array(*map(F.lit, langs))
     top = F.array_max("ll")
-    scored = scored.withColumn("text_lang", F.when(F.col("ll").isNotNull(), F.element_at(names, F.array_position("ll", top).cast("int"))))
+    scored = scored.withColumn("text_lang", F.when(F.col("ll").isNotNull() & ~foreign, F.element_at(names, F.array_position("ll", top).cast("int"))))
     votes = [F.sum(F.when(F.col("text_lang") == x, 1).otherwise(0)).cast("double").alias(f"n{i}") for i, x in enumerate(langs)]
     n = [F.col(f"n{i}") for i in k]
     cube = written(scored.groupBy("host", "domain", "suffix", "declared").agg(*votes))
@@ -130,7 +137,7 @@ def fuse(scored: DataFrame, langs: list[str], least: float = LEAST) -> DataFrame
     ]
     out = out.withColumn("post", F.array(*posts)).withColumn("top", F.array_max("post"))
     out = out.withColumn("confidence", F.lit(1.0) / F.aggregate("post", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))
-    known = (F.col("confidence") >= least) & (F.col("ll").isNotNull() | F.col("of_declared").isNotNull())
+    known = (F.col("confidence") >= least) & ~foreign & (F.col("ll").isNotNull() | F.col("of_declared").isNotNull())
     out = out.withColumn("lang_found", F.when(known, F.element_at(names, F.array_position("post", F.col("top")).cast("int"))).otherwise("und"))
     return out.drop("post", "top", "of_host", "of_declared", "of_suffix")
 

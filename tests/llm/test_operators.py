@@ -259,6 +259,20 @@ def test_languages(spark):
     assert langid.identify_documents(docs(spark, []), model).count() == 0
 
 
+def test_unknown_languages_are_und(spark):
+    rows = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    model = langid.fit_text_model(rows.where("doc_id % 2 = 0"))
+    rng = random.Random(5)
+    junk = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(n)) for n in (5, 20, 300)]
+    odd = ["Это обычный русский текст о погоде, городе и людях, которые живут рядом с рекой.", "今天天气很好，我们去公园散步，然后回家吃饭。",
+           "Wczoraj wieczorem poszliśmy do kina, żeby zobaczyć nowy film o młodym chłopcu.", "qqq zzz xxx",
+           "kZ8vQx0pWq3yHnB7tLmJdKfGzXcVbRwPqYhUjIoNeTgAsDxCvQzWkJpXyHq", *junk]
+    got = {r.doc_id: (r.text_lang, r.lang_found) for r in langid.identify_documents(docs(spark, list(enumerate(odd))), model).collect()}
+    assert got == dict.fromkeys(range(len(odd)), (None, "und"))
+    clean = langid.identify_documents(rows.where("doc_id % 2 = 1 and n_chars > 50"), model).collect()
+    assert sum(r.lang_found == "und" for r in clean) <= 0.002 * len(clean)
+
+
 def test_evidence_moves_the_answer(spark):
     schema = "page_id long, host string, domain string, suffix string, declared string, ll array<double>"
     rows = [(i, "h.de", "h.de", "de", "de", [0.0, -9.0]) for i in range(50)] + [(50 + i, "h.com", "h.com", "com", "en", [-9.0, 0.0]) for i in range(50)]
