@@ -40,12 +40,20 @@ class Rule:
     base: bool = False
 
 
+#: A key after its first line: all up to its END line, or, where that is missing, what goes on as header and base64 lines
+#: (line ends may be escaped ones) or as long runs of base64.
+_LINE_END = r"(?:\r?\n|(?:\\r)?\\n)"
+_KEY_BODY = (
+    r"(?:(?:[^-]|-(?!----))*-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    rf"|(?:(?:[\x20\t]*{_LINE_END}[\x20\t>]*)+(?:[A-Z][A-Za-z-]{{0,40}}:\x20[^\r\n\\]*|[A-Za-z0-9+/]+={{0,2}})(?=[\x20\t]*(?:{_LINE_END}|\Z))|[\x20\t>\r\n]*[A-Za-z0-9+/=]{{32,}})*)"
+)
+
 #: The base rules of the contract in its order, then what this operator looks for besides.
 RULES = (
     Rule("assign", r"""(?a)((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8, True),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 16, True),
     Rule("hex", r"[0-9a-f]+", 0, 32, True),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", rf"-----BEGIN [A-Z ]{{0,40}}PRIVATE KEY-----{_KEY_BODY}"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
