@@ -2,7 +2,8 @@
 
 The lexicon is learned: words that labelled toxic documents hold far more often than others. Its terms form a trie. A
 word of a text is run against it by walking the trie with a Levenshtein automaton's state, the row of edit distances,
-and giving up a branch as soon as no entry of the row is within reach; so misspelled terms are caught. Each hit is
+and giving up a branch as soon as no entry of the row is within reach; so misspelled terms are caught. What stands between
+blanks is also matched as a whole, its outer punctuation aside, so that a digit or sign within hides no term. Each hit is
 scored with the words around it: quotation marks and words of report make it quotation, others abuse. A logistic model
 over these scores gives the result; it is fitted on at most TRAIN_ROWS labelled documents, those of the smallest hash.
 
@@ -25,12 +26,13 @@ from pyspark.sql import functions as F
 from portflow.llm.shared import text_of, written
 
 TRAIN_ROWS, LEXICON_TERMS, LEAST_DOCS, LEAST_ODDS = 20_000, 2000, 3, 12.0
-WINDOW, FUZZY_FROM, CACHE_WORDS = 6, 5, 1_000_000
+WINDOW, FUZZY_FROM, CACHE_WORDS = 6, 4, 1_000_000
 FEATURES = 8
 #: Words of report in the languages of the corpus, and quotation marks.
 REPORT = frozenset("said says say quote quoted quotes called wrote word term sagte sagt zitat zitiert wort dit disait mot citation dijo dice palabra cita".split())
 MARKS = frozenset("\"'“”„«»‘’`")
 _WORD = re.compile(r"[^\W\d_]+")
+_WHOLE = re.compile(r"[^\W_](?:.*[^\W_])?", re.S)
 _NEAR_MARK = 3
 
 
@@ -99,8 +101,11 @@ class Model:
 
 
 def _hit(chunk: str, trie: Trie) -> tuple[str, float, int] | None:
-    """The best hit among the words of a chunk between blanks: (word, weight, distance)."""
-    hits = [(word, *m) for word in _WORD.findall(chunk) if (m := trie.match(word))]
+    """The best hit among a chunk between blanks, its outer punctuation aside, and the words in it: (word, weight, distance)."""
+    words = _WORD.findall(chunk)
+    if (whole := _WHOLE.search(chunk)) and whole[0] not in words:
+        words.append(whole[0])
+    hits = [(word, *m) for word in words if (m := trie.match(word))]
     return min(hits, key=lambda h: (h[2], -h[1])) if hits else None
 
 

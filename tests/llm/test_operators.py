@@ -408,6 +408,16 @@ def test_quotation_is_not_abuse():
     assert plain[0] and not plain[4] and quoted[4] and not quoted[0] and said[4] and misspelled[2] and not misspelled[0]
 
 
+def test_masked_spellings():
+    trie = toxicity.Trie({"moron": 3.0, "idiot": 3.0, "stupid": 3.0, "scum": 3.0})
+    for masked in ("m0ron", "id1ot", "st*pid", '"id1ot!"', "(m0ron),", "sc*m", "scvm", "1diot.", "idi-ot"):
+        x = toxicity.features(f"you are {masked.strip(chr(34))} now", trie, {})
+        assert x[2] and not x[0], masked
+    for clean in ("2024", "a1b2c", "3.14", "well-known", "--", "_", "m00r0n", "x"):
+        assert not any(toxicity.features(f"you are {clean} now", trie, {})), clean
+    assert toxicity.features("you moron! now", trie, {})[0]
+
+
 def test_toxicity_held_out(spark):
     sf = SF.replace("0.001", "0.01")
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
