@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from portflow.llm.shared import written
 
-PER_LANGUAGE, CODES, MOST_LANGUAGES = 2000, 1 << 14, 64
+PER_LANGUAGE, CODES = 2000, 1 << 14
 #: Trigrams of a text overlap and repeat, so that their evidence counts as that of so many independent ones at most.
 EVIDENCE, LEAST, SMOOTHING = 40.0, 0.5, 10.0
 SALTS = 32
@@ -50,7 +50,7 @@ def fit_text_model(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tup
     for by in (["lang", "salt"], ["lang"]):
         least = least.withColumn("k", F.row_number().over(Window.partitionBy(*by).orderBy("h"))).where(F.col("k") <= per_language)
     least = least.select("lang", "h")
-    some = some.join(F.broadcast(least), ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"]).select("lang", "text")  # MOST_LANGUAGES x per_language numbers
+    some = some.join(F.broadcast(least), ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"]).select("lang", "text")  # languages x per_language numbers
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -65,12 +65,8 @@ def fit_text_model(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tup
     sums = some.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     found = sums.toPandas()
     langs = sorted(found["lang"].unique())
-    if len(langs) > MOST_LANGUAGES:
-        raise ValueError(f"{len(langs)} languages; {MOST_LANGUAGES} are the limit of the model's size")
     n = np.full((len(langs), CODES), 0.5)
-    for i, lang in enumerate(langs):
-        own = found[found["lang"] == lang]
-        n[i, own["code"].to_numpy()] += own["n"].to_numpy()
+    np.add.at(n, (np.searchsorted(langs, found["lang"].to_numpy(object)), found["code"].to_numpy()), found["n"].to_numpy()) if langs else None
     return langs, np.log(n / n.sum(axis=1, keepdims=True))
 
 
@@ -92,9 +88,10 @@ def score_text(pages: DataFrame, model: tuple[list[str], np.ndarray], text: str
     return pages.mapInArrow(run, pages.select("*", F.lit(None).cast("array<double>").alias("ll"), F.lit(None).cast("boolean").alias("foreign")).schema)
 
 
-def _shares(n: list[F.Column], towards: list[F.Column], weight: float) -> list[F.Column]:
-    total = sum(n[1:], n[0])
-    return [(x + F.lit(weight) * t) / (total + F.lit(weight)) for x, t in zip(n, towards, strict=True)]
+def _shares(n: str, towards: F.Column) -> F.Column:
+    """Shares of the languages in the counts n, smoothed."""
+    total = F.aggregate(n, F.lit(0.0), lambda a, x: a + x)
+    return F.zip_with(n, towards, lambda x, t: (x + F.lit(SMOOTHING) * t) / (total + F.lit(SMOOTHING)))
 
 
 def fuse(scored: DataFrame, langs: list[str], least: float = LEAST) -> DataFrame:
@@ -102,44 +99,45 @@ def fuse(scored: DataFrame, langs: list[str], least: float = LEAST) -> DataFrame
     foreign = F.coalesce("foreign", F.lit(False)) if "foreign" in scored.columns else F.lit(False)
     if not langs:  # no labelled text at all
         return scored.withColumns({"text_lang": F.lit(None).cast("string"), "lang_found": F.lit("und"), "confidence": F.lit(0.0)})
-    k = range(len(langs))
     names = F.array(*map(F.lit, langs))
     top = F.array_max("ll")
     scored = scored.withColumn("text_lang", F.when(F.col("ll").isNotNull() & ~foreign, F.element_at(names, F.array_position("ll", top).cast("int"))))
-    votes = [F.sum(F.when(F.col("text_lang") == x, 1).otherwise(0)).cast("double").alias(f"n{i}") for i, x in enumerate(langs)]
-    n = [F.col(f"n{i}") for i in k]
-    cube = written(scored.groupBy("host", "domain", "suffix", "declared").agg(*votes))
+    votes = scored.where("text_lang is not null").groupBy("host", "domain", "suffix", "declared", "text_lang")
+    cube = written(votes.agg(F.count("*").cast("double").alias("votes")))
 
     def summed(*by: str) -> DataFrame:
-        return cube.groupBy(*by).agg(*(F.sum(x).alias(f"n{i}") for i, x in enumerate(n)))
+        """by, n: the votes for each language. What has no vote is not there."""
+        each = cube.groupBy(*by, "text_lang").agg(F.sum("votes").alias("votes"))
+        each = each.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("text_lang", "votes"))).alias("of"))  # languages entries at most
+        return each.select(*by, F.transform(names, lambda x: F.coalesce(F.try_element_at("of", x), F.lit(0.0))).alias("n"))
 
-    whole = summed().select(*(F.coalesce(x, F.lit(0.0)).alias(f"n{i}") for i, x in enumerate(n))).first()
-    all_pages = [(x + 1.0) / (sum(whole) + len(langs)) for x in whole]
+    whole = {r["text_lang"]: r["votes"] for r in cube.groupBy("text_lang").agg(F.sum("votes").alias("votes")).collect()}  # one row a language
+    whole = [whole.get(x, 0.0) for x in langs]
+    all_pages = F.array(*(F.lit((x + 1.0) / (sum(whole) + len(langs))) for x in whole))
 
-    domains = summed("domain").where("domain is not null")
-    domains = domains.select("domain", F.array(*_shares(n, [F.lit(x) for x in all_pages], SMOOTHING)).alias("of_domain"))
+    domains = summed("domain").where("domain is not null").select("domain", _shares("n", all_pages).alias("of_domain"))
     hosts = summed("host", "domain").where("host is not null").join(domains, "domain", "left")
-    towards = [F.coalesce(F.col("of_domain")[i], F.lit(all_pages[i])) for i in k]
-    hosts = hosts.select(F.col("host").alias("h_host"), F.col("domain").alias("h_domain"), F.array(*_shares(n, towards, SMOOTHING)).alias("of_host"))
+    hosts = hosts.select(F.col("host").alias("h_host"), F.col("domain").alias("h_domain"), _shares("n", F.coalesce("of_domain", all_pages)).alias("of_host"))
 
     def likelihood(by: str) -> DataFrame:
         """P(what is seen | language), up to a factor that is the same for all languages."""
         seen = summed(by).where(F.col(by).isNotNull())
-        return seen.select(by, F.array(*((x + F.lit(SMOOTHING) * F.lit(p)) / F.lit(w + SMOOTHING) for x, p, w in zip(n, all_pages, whole, strict=True))).alias(f"of_{by}"))
+        prior = F.array(*(F.lit(SMOOTHING * (x + 1.0) / (sum(whole) + len(langs)) / (x + SMOOTHING)) for x in whole))
+        scale = F.array(*(F.lit(1.0 / (x + SMOOTHING)) for x in whole))
+        return seen.select(by, F.zip_with(F.zip_with("n", scale, lambda x, c: x * c), prior, lambda x, p: x + p).alias(f"of_{by}"))
 
-    out = scored.join(hosts, F.expr("host = h_host and domain <=> h_domain"), "left").drop("h_host", "h_domain")
+    out = scored.join(hosts, F.expr("host = h_host and domain <=> h_domain"), "left").drop("h_host", "h_domain").join(domains, "domain", "left")
     for by in ("declared", "suffix"):
         out = out.join(likelihood(by), by, "left")
-    posts = [
-        F.coalesce(F.col("ll")[i] - F.array_max("ll"), F.lit(0.0)) + F.log(F.coalesce(F.col("of_host")[i], F.lit(all_pages[i])))
-        + sum((F.coalesce(F.log(F.col(f"of_{by}")[i]), F.lit(0.0)) for by in ("declared", "suffix")), F.lit(0.0))
-        for i in k
-    ]
-    out = out.withColumn("post", F.array(*posts)).withColumn("top", F.array_max("post"))
+    out = out.withColumn("post", F.zip_with(F.coalesce("ll", F.array(*[F.lit(0.0)] * len(langs))), F.coalesce("of_host", "of_domain", all_pages), lambda a, p: a + F.log(p)))
+    for by in ("declared", "suffix"):
+        of = F.col(f"of_{by}")
+        out = out.withColumn("post", F.when(of.isNull(), F.col("post")).otherwise(F.zip_with("post", of, lambda a, p: a + F.log(p))))
+    out = out.withColumn("top", F.array_max("post"))
     out = out.withColumn("confidence", F.lit(1.0) / F.aggregate("post", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))
     known = (F.col("confidence") >= least) & ~foreign & (F.col("ll").isNotNull() | F.col("of_declared").isNotNull())
     out = out.withColumn("lang_found", F.when(known, F.element_at(names, F.array_position("post", F.col("top")).cast("int"))).otherwise("und"))
-    return out.drop("post", "top", "of_host", "of_declared", "of_suffix")
+    return out.drop("post", "top", "of_host", "of_domain", "of_declared", "of_suffix")
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:

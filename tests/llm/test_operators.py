@@ -292,6 +292,16 @@ def test_unknown_languages_are_und(spark):
     assert sum(r.lang_found == "und" for r in clean) <= 0.002 * len(clean)
 
 
+def test_more_than_64_languages(spark):
+    words = [["".join(random.Random(k).choices("abcdefghijklmnopqrstuvwxyz", k=6)) for k in range(20 * j, 20 * j + 20)] for j in range(80)]
+    given = [(10 * j + i, " ".join(random.Random(i).sample(w, 12)), f"l{j:02d}", f"s{j}", 0) for j, w in enumerate(words) for i in range(3)]
+    rows = spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars int")
+    model = langid.fit_text_model(rows)
+    assert model[1].shape == (80, langid.CODES)
+    got = langid.identify_documents(rows, model).collect()
+    assert len(got) == 240 and all(r.lang == r.lang_found for r in got)
+
+
 def test_evidence_moves_the_answer(spark):
     schema = "page_id long, host string, domain string, suffix string, declared string, ll array<double>"
     rows = [(i, "h.de", "h.de", "de", "de", [0.0, -9.0]) for i in range(50)] + [(50 + i, "h.com", "h.com", "com", "en", [-9.0, 0.0]) for i in range(50)]
