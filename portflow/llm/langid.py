@@ -135,7 +135,7 @@ def fuse(scored: DataFrame, langs: list[str], least: float = LEAST) -> DataFrame
         out = out.withColumn("post", F.when(of.isNull(), F.col("post")).otherwise(F.zip_with("post", of, lambda a, p: a + F.log(p))))
     out = out.withColumn("top", F.array_max("post"))
     out = out.withColumn("confidence", F.lit(1.0) / F.aggregate("post", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))
-    known = (F.col("confidence") >= least) & ~foreign & (F.col("ll").isNotNull() | F.col("of_declared").isNotNull())
+    known = (F.col("confidence") >= least) & ~foreign & F.coalesce("ll", "of_declared", "of_suffix", "of_host", "of_domain").isNotNull()
     out = out.withColumn("lang_found", F.when(known, F.element_at(names, F.array_position("post", F.col("top")).cast("int"))).otherwise("und"))
     return out.drop("post", "top", "of_host", "of_domain", "of_declared", "of_suffix")
 

@@ -310,6 +310,14 @@ def test_evidence_moves_the_answer(spark):
     assert [got[i] for i in (200, 201, 202, 203)] == [("en", "de"), ("en", "en"), (None, "de"), (None, "und")]
 
 
+def test_host_and_suffix_speak_for_pages_without_text(spark):
+    schema = "page_id long, host string, domain string, suffix string, declared string, ll array<double>"
+    rows = [(i, "h.de", "h.de", "de", None, [0.0, -9.0]) for i in range(50)] + [(50 + i, "h.com", "h.com", "com", None, [-9.0, 0.0]) for i in range(50)]
+    rows += [(200, "h.de", "h.de", "de", None, None), (201, "x.de", "x.de", "de", None, None), (202, "www.h.de", "h.de", None, None, None), (203, "x.org", "x.org", "org", None, None)]
+    got = {r.page_id: r.lang_found for r in langid.fuse(spark.createDataFrame(rows, schema), ["de", "en"]).collect()}
+    assert [got[i] for i in (200, 201, 202, 203)] == ["de", "de", "de", "und"]
+
+
 # ---------------------------------------------------------------- 8
 
 
