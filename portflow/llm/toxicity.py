@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from portflow.llm.shared import text_of, written
 
 TRAIN_ROWS, LEXICON_TERMS, LEAST_DOCS, LEAST_ODDS = 20_000, 2000, 3, 12.0
-WINDOW, FUZZY_FROM, CACHE_WORDS = 6, 4, 1_000_000
+WINDOW, FUZZY_FROM, MASKED_FROM, CACHE_WORDS = 6, 5, 4, 1_000_000
 FEATURES = 8
 #: Words of report in the languages of the corpus, and quotation marks.
 REPORT = frozenset("said says say quote quoted quotes called wrote word term sagte sagt zitat zitiert wort dit disait mot citation dijo dice palabra cita".split())
@@ -63,10 +63,10 @@ class Trie:
         tails, a, b = self.tails[n], n // 2, (n + 1) // 2
         return word[: (n - 1) // 2] in heads or word[:a] in heads or word[:b] in heads or word[n - a :] in tails or word[n - b :] in tails or word[n - (n + 2) // 2 :] in tails
 
-    def match(self, word: str, edits: int = 1) -> tuple[float, int] | None:
+    def match(self, word: str, edits: int = 1, least: int = FUZZY_FROM) -> tuple[float, int] | None:
         if word in self.terms:
             return self.terms[word], 0
-        if len(word) < FUZZY_FROM or not edits or edits == 1 and not self.within_one(word):
+        if len(word) < least or not edits or edits == 1 and not self.within_one(word):
             return None
         best: tuple[int, float] | None = None
         stack = [(self.root, 0, edits)]  # automaton: (trie node, letters read, edits left)
@@ -102,10 +102,10 @@ class Model:
 
 def _hit(chunk: str, trie: Trie) -> tuple[str, float, int] | None:
     """The best hit among a chunk between blanks, its outer punctuation aside, and the words in it: (word, weight, distance)."""
-    words = _WORD.findall(chunk)
-    if (whole := _WHOLE.search(chunk)) and whole[0] not in words:
-        words.append(whole[0])
-    hits = [(word, *m) for word in words if (m := trie.match(word))]
+    words = [(word, FUZZY_FROM) for word in _WORD.findall(chunk)]
+    if (whole := _WHOLE.search(chunk)) and not whole[0].isalpha():
+        words.append((whole[0], MASKED_FROM))
+    hits = [(word, *m) for word, least in words if (m := trie.match(word, least=least))]
     return min(hits, key=lambda h: (h[2], -h[1])) if hits else None
 
 
