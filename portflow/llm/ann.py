@@ -4,12 +4,14 @@ Vectors are dealt to shards by hash. In each shard a graph grows: points are ins
 the graph so far proposes neighbours, and relaxed distance pruning keeps diverse edges; edges back are added and pruned
 alike. A query walks every shard's graph with a beam, and the shards' answers are merged.
 
-Largest inner product becomes smallest distance by one more coordinate that gives all vectors of a shard the same
-length. Equal vectors are one point of the graph; the k + 1 smallest ids of each are kept with it, which is all
-that an answer of k can hold.
-
-Vectors that are null, zero, or hold null or non-finite components take no part, nor do those whose number of
-components is not the commonest. Rows with a null id take no part. Rows that repeat an id and a vector count once.
+Edges are chosen between the vectors' directions, and the search walks them by inner product with the vectors as they
+are, so that neither long nor short vectors are out of reach (recall by spread of lengths: README). Equal vectors are
+one point of the graph; the k + 1 smallest ids of each are kept with it, which is all that an answer of k can hold.
+
+Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows with a null id. Vectors
+of different numbers of components have no inner product: each number has shards of its own, and a query meets those
+of its number. Rows that repeat an id and a vector count once. An id with several vectors asks with the least of
+them (as arrays compare) and is found by its nearest one. Ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -26,11 +28,11 @@ from portflow.llm.shared import written
 
 SHARD_POINTS, QUERY_BLOCK = 4096, 2048
 SEEN_BYTES = 16_000_000
-DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA, WIDTH, INSERT = 32, 64, 96, 1.2, 4, 512
+DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA, WIDTH, INSERT = 32, 64, 128, 1.2, 4, 512
 
 
 def beam_search(graph: np.ndarray, points: np.ndarray, queries: np.ndarray, entry: int, beam: int, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """For all queries in step: the `beam` nearest points met (-1 where fewer), and their squared distances.
+    """For all queries in step: the `beam` points met whose inner product is largest (-1 where fewer), and its negative.
 
     A bit for each query and point tells which were met, so that no distance is taken twice; queries go in runs that
     keep this table under `SEEN_BYTES`.
@@ -40,13 +42,12 @@ def beam_search(graph: np.ndarray, points: np.ndarray, queries: np.ndarray, entr
         parts = [beam_search(graph, points, queries[s : s + run], entry, beam, width) for s in range(0, len(queries), run)]
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     m = len(queries)
-    norms = np.einsum("ij,ij->i", points, points)
     ids = np.full((m, beam), -1, np.int32)
     dist = np.full((m, beam), np.inf, np.float32)
     done = np.ones((m, beam), bool)
     seen = np.zeros((m, len(points)), bool)
     ids[:, 0], done[:, 0], seen[:, entry] = entry, False, True
-    dist[:, 0] = norms[entry] - 2 * queries @ points[entry]
+    dist[:, 0] = -(queries @ points[entry])
     while len(act := np.flatnonzero(~done.all(axis=1))):
         pick = np.argsort(np.where(done[act], np.inf, dist[act]), axis=1)[:, :width]
         at, node = [], []
@@ -59,7 +60,7 @@ def beam_search(graph: np.ndarray, points: np.ndarray, queries: np.ndarray, entr
             node.append(near[r, c])
             seen[act[at[-1]], node[-1]] = True
         at, node = np.concatenate(at), np.concatenate(node)
-        d = norms[node] - 2 * np.einsum("ij,ij->i", points[node], queries[act[at]])
+        d = -np.einsum("ij,ij->i", points[node], queries[act[at]])
         better = np.flatnonzero(d < dist[act[at], -1])
         by = better[np.argsort(at[better], kind="stable")]
         at, node, d = at[by], node[by], d[by]
@@ -97,7 +98,7 @@ def robust_prune(points: np.ndarray, of: np.ndarray, candidates: np.ndarray, deg
 
 
 def build(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alpha: float = ALPHA) -> tuple[np.ndarray, int]:
-    """The graph (points x degree, -1: no edge) and its entry, the point nearest the middle."""
+    """The graph over points of length 1 (points x degree, -1: no edge) and its entry, the point nearest the middle."""
     n = len(points)
     graph = np.full((n, degree), -1, np.int32)
     entry = int(((points - points.mean(axis=0)) ** 2).sum(axis=1).argmin())
@@ -130,10 +131,10 @@ def build(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alph
     return graph, entry
 
 
-def lengthened(vectors: np.ndarray) -> np.ndarray:
-    """One more coordinate, so that all have the length of the longest."""
-    squares = (vectors**2).sum(axis=1)
-    return np.concatenate([vectors, np.sqrt(np.maximum(squares.max() - squares, 0))[:, None]], axis=1).astype(np.float32)
+def directions(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1, as they point; scaled first, so that no square overflows or vanishes."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return (scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))).astype(np.float32)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -141,58 +142,60 @@ def usable(vectors: DataFrame) -> DataFrame:
     v = F.col("embedding").cast("array<double>")
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
     good = vectors.where("vec_id is not null and embedding is not null and size(embedding) > 0").select(F.col("vec_id").cast("long"), v.alias("v"))
-    good = good.where(F.forall("v", finite) & F.exists("v", lambda x: x != 0))
-    common = good.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).select("n")
-    return good.join(F.broadcast(common), F.size("v") == F.col("n"), "left_semi")  # one number
+    return good.where(F.forall("v", finite) & F.exists("v", lambda x: x != 0))
 
 
-def build_index(good: DataFrame, k: int, shard_points: int = SHARD_POINTS) -> tuple[DataFrame, int]:
-    """One row per distinct vector: shard, node, v, vec_ids (the k + 1 smallest), edges; and the number of shards."""
+def build_index(good: DataFrame, k: int, shard_points: int = SHARD_POINTS) -> tuple[DataFrame, DataFrame]:
+    """One row per distinct vector: n (components), shard, node, v, vec_ids (the k + 1 smallest), edges; and (n, shards)."""
     smallest = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
-    distinct = written(
-        good.distinct().withColumn("nth", smallest).where(F.col("nth") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("vec_ids"))
-    )
-    shards = max(1, -(-distinct.count() // shard_points))
+    distinct = good.distinct().withColumn("nth", smallest).where(F.col("nth") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("vec_ids"))
+    distinct = written(distinct.withColumn("n", F.size("v")))
+    shards = written(distinct.groupBy("n").agg(F.ceil(F.count("*") / shard_points).cast("int").alias("shards")))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("first").reset_index(drop=True)
-        graph, entry = build(lengthened(np.stack(pdf["v"].to_numpy())))
-        return pd.DataFrame({"shard": pdf["shard"], "node": pdf.index, "entry": entry, "v": pdf["v"], "vec_ids": pdf["vec_ids"], "edges": list(graph)})
+        graph, entry = build(directions(np.stack(pdf["v"].to_numpy())))
+        return pd.DataFrame({"n": pdf["n"], "shard": pdf["shard"], "node": pdf.index, "entry": entry, "v": pdf["v"], "vec_ids": pdf["vec_ids"], "edges": list(graph)})
 
-    dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int")).withColumn("first", F.col("vec_ids")[0])
-    index = dealt.repartition(shards, "shard").groupBy("shard").applyInPandas(grow, "shard int, node int, entry int, v array<double>, vec_ids array<long>, edges array<int>")
+    dealt = distinct.join(shards, "n").withColumn("shard", F.pmod(F.xxhash64("v"), F.col("shards")).cast("int")).withColumn("first", F.col("vec_ids")[0])
+    index = dealt.groupBy("n", "shard").applyInPandas(grow, "n int, shard int, node int, entry int, v array<double>, vec_ids array<long>, edges array<int>")
     return written(index), shards
 
 
-def search(index: DataFrame, shards: int, queries: DataFrame, k: int, beam: int = SEARCH_BEAM) -> DataFrame:
+def search(index: DataFrame, shards: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM) -> DataFrame:
     """queries (query_id, q) -> query_id, rank, vec_id, score: the k nearest found, the query's own id left out.
 
-    Every query meets every shard, in blocks: a task holds one shard's graph and one block of queries.
+    Every query meets every shard of its number of components, in blocks: a task holds one shard's graph and one block of queries.
     """
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    number = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = index.withColumn("block", number(blocks))
-    right = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("shard", number(shards))
+    number = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = index.withColumn("block", number(F.lit(blocks)))
+    right = queries.withColumns({"n": F.size("q"), "block": F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")}).join(shards, "n").withColumn("shard", number(F.col("shards")))
 
     def walk(graph: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if graph.empty or asked.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         graph = graph.sort_values("node")
         v = np.stack(graph["v"].to_numpy())
-        points, edges = lengthened(v), np.stack(graph["edges"].to_numpy())
-        ids, owners = graph["vec_ids"].to_numpy(), asked["query_id"].to_numpy()
         q = np.stack(asked["q"].to_numpy())
-        found, _ = beam_search(edges, points, np.pad(q, ((0, 0), (0, 1))).astype(np.float32), int(graph["entry"].iloc[0]), min(beam, len(v)))
+        edges, ids, owners = np.stack(graph["edges"].to_numpy()), graph["vec_ids"].to_numpy(), asked["query_id"].to_numpy()
+        scaled = np.abs(v).max(), np.abs(q).max(axis=1, keepdims=True)  # single precision must hold them
+        found, _ = beam_search(edges, (v / scaled[0]).astype(np.float32), (q / scaled[1]).astype(np.float32), int(graph["entry"].iloc[0]), min(beam, len(v)))
         out = []
         for i, own in enumerate(owners):
             hits = found[i][found[i] >= 0]
             scores = v[hits] @ q[i]
-            rows = sorted((-s, x) for s, h in zip(scores.tolist(), hits, strict=True) for x in ids[h] if x != own)[:k]
-            out += [(own, x, -s) for s, x in rows]
+            best: dict[int, float] = {}
+            for s, h in zip(scores.tolist(), hits, strict=True):
+                for x in ids[h]:
+                    if x != own:
+                        best[x] = max(s, best.get(x, s))
+            out += [(own, x, -s) for s, x in sorted((-s, x) for x, s in best.items())[:k]]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    keys = ["shard", "block"]
+    keys = ["n", "shard", "block"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(walk, "query_id long, vec_id long, score double")
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
@@ -201,5 +204,5 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     """The k nearest of each row whose vec_id is divisible by `every`, among all other rows."""
     good = written(usable(vectors))
     index, shards = build_index(good, k)
-    queries = good.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    queries = good.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("q"))
     return search(index, shards, queries, k)

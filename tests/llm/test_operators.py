@@ -337,6 +337,23 @@ def test_ann_recall(spark):
     assert hits >= 0.9 * 20 * len(got)
 
 
+@pytest.mark.parametrize("kind", ["lognormal 0.1", "lognormal 0.5", "lognormal 1.0", "gaussian"])
+def test_ann_recall_of_unequal_lengths(spark, kind):
+    """The graph and its search alone, on vectors of other lengths than 1."""
+    rng = np.random.default_rng(1)
+    rows = spark.read.parquet(f"{SF.replace('0.001', '0.1')}/embeddings.parquet").toPandas()
+    v = np.stack(rows.embedding.to_numpy()).astype(float)
+    v = rng.normal(size=(4096, 64)) if kind == "gaussian" else v * np.exp(rng.normal(0, float(kind.split()[1]), len(v)))[:, None]
+    graph, entry = ann.build(ann.directions(v))
+    q = v[::20]
+    found, _ = ann.beam_search(graph, v.astype(np.float32), q.astype(np.float32), entry, ann.SEARCH_BEAM)
+    hits = 0
+    for i, f in enumerate(found):
+        s = v @ q[i]
+        hits += len(set(np.argsort(-s)[:20]) & set(f[np.argsort(-s[f])[:20]]))
+    assert hits >= 0.92 * 20 * len(q)
+
+
 def test_ann_edges(spark):
     schema = "vec_id long, embedding array<float>, label int"
     rows = [(0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [1.0]), (6, []), (None, [1.0, 1.0])]
@@ -350,6 +367,13 @@ def test_ann_edges(spark):
     assert [tuple(r) for r in few] == [(0, 1, 1, -3.0)]
 
 
+def test_ann_sizes_and_repeated_ids(spark):
+    """Each number of components by itself; an id with two vectors asks with the smaller one and is found by its nearest."""
+    rows = [(0, [1.0]), (20, [1.0, 2.0, 3.0]), (1, [4.0]), (2, [1.0, 0.0, 0.0]), (2, [0.0, 0.0, 9.0]), (3, [0.0, 1.0, 0.0]), (40, [5.0, 0.0, 0.0]), (40, [0.0, 5.0, 0.0])]
+    got = [tuple(r) for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 1, 4.0), (20, 1, 2, 27.0), (20, 2, 40, 10.0), (20, 3, 3, 2.0), (40, 1, 20, 10.0), (40, 2, 3, 5.0), (40, 3, 2, 0.0)]
+
+
 # ---------------------------------------------------------------- 9
 
 
