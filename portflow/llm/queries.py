@@ -8,36 +8,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portflow.llm import ann, bpe, exact_dedup, langid, line_dedup, packing, secrets, simhash, token_counts, toxicity
-from portflow.llm.shared import shared_dir, table
+from portflow.llm.shared import shared_dir, table, text_of, written
 
 OLD, NEW = "words-1", "marks-2"
 
 
+SHORT_WORDS, MOVED = 20, ("fr", "fr-FR")
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches over all documents: insert under the old tokenizer; insert under the new one, its counts those of the
-    old; revise these to its own counts. The second batch comes twice, as after a lost answer. The old version's documents
-    of unknown length (null text) are deleted by a last batch."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    old, new = token_counts.count_tokens(token_counts.text_of(), OLD), token_counts.count_tokens(token_counts.text_of(), NEW)
-    counts = docs.select("source", "lang", old.alias("old_tokens"), new.alias("new_tokens"), F.col("text").isNull().alias("unknown"))
+    """Batches over all documents, whose texts are read and counted once: insert under the old tokenizer; insert under the new
+    one, its counts those of the old; revise these to its own counts; delete the old version's documents of fewer than
+    SHORT_WORDS words; move one language of the new version to another tag. After a compaction the first and the second
+    batch are sent again, as after a lost answer."""
+    docs = table(spark, sf_dir, "documents")
+    old, new = token_counts.count_tokens(text_of(), OLD), token_counts.count_tokens(text_of(), NEW)
+    counts = written(docs.select("source", "lang", old.alias("old_tokens"), new.alias("new_tokens")))
     rollup = token_counts.Rollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
     by = lambda version, n: counts.withColumns({"tokenizer": F.lit(version), "n_tokens": F.col(n)})
-    rollup.commit(1, token_counts.inserts(by(OLD, "old_tokens")))
-    for _ in range(2):
-        rollup.commit(2, token_counts.inserts(by(NEW, "old_tokens")))
+    inserted = [token_counts.inserts(by(OLD, "old_tokens")), token_counts.inserts(by(NEW, "old_tokens"))]
+    for batch, changes in enumerate(inserted, 1):
+        rollup.commit(batch, changes)
     rollup.commit(3, token_counts.revisions(by(NEW, "new_tokens")))
-    rollup.commit(4, token_counts.deletes(by(OLD, "old_tokens").where("unknown")))
+    rollup.commit(4, token_counts.deletes(by(OLD, "old_tokens").where(F.col("old_tokens") < SHORT_WORDS)))
+    rollup.compact()
+    rollup.commit(5, token_counts.moves(by(NEW, "new_tokens").where(F.col("lang") == MOVED[0]), "lang", F.lit(MOVED[1])))
+    for batch, changes in enumerate(inserted, 1):
+        rollup.commit(batch, changes)
     return rollup.totals()
 
 
 OP1_SQL = r"""
-select source, lang, 'words-1' as tokenizer, count(*) as n_docs,
-  cast(sum(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))) as bigint) as n_tokens
-from documents where text is not null group by source, lang
+with c as (select source, lang, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as old_tokens,
+  len(regexp_extract_all(coalesce(text, ''), '[0-9A-Za-z]+|[^\x20\x09-\x0D0-9A-Za-z]')) as new_tokens from documents)
+select source, lang, 'words-1' as tokenizer, count(*) as n_docs, cast(sum(old_tokens) as bigint) as n_tokens from c where old_tokens >= 20 group by source, lang
 union all
-select source, lang, 'marks-2', count(*),
-  cast(sum(len(regexp_extract_all(coalesce(text, ''), '[0-9A-Za-z]+|[^\x20\x09-\x0D0-9A-Za-z]'))) as bigint)
-from documents group by source, lang
+select source, case lang when 'fr' then 'fr-FR' else lang end, 'marks-2', count(*), cast(sum(new_tokens) as bigint) from c group by 1, 2
 """
 
 

@@ -1,24 +1,33 @@
 """Token counts as delta-maintained rollups.
 
-A change row inserts, deletes or revises the count of one document under one tokenizer version. A batch of changes is
-first summed by (source, language, tokenizer version), then committed as signed sums under its batch number: a batch that is
-committed again replaces its own sums, so a retry changes nothing. Totals add up what batches have left, and a
-compaction folds old batches into one without changing totals.
-
-Null keys are keys of their own; a null text counts 0 tokens. An empty batch commits an empty set of sums.
+A change row inserts, deletes, revises or moves the count of one document under one tokenizer version. A batch of changes
+is first summed by (source, language, tokenizer version); its signed sums go to a folder of their own and are then
+published by one entry of one file in the log, under the batch's number. What the log does not name is not there, so a
+driver lost in between leaves nothing to see, and a batch that the log has is not committed again, before or after a
+compaction: a fold entry puts one folder in the place of others and leaves their batch numbers in the log. Totals add up
+what the folders hold. One writer folds at a time; commits need not wait for it.
+
+Null keys are keys of their own; a null text counts 0 tokens. Repeated rows count as often as they occur. An empty batch
+commits an empty set of sums. Other columns are ignored. Without commits there are no totals.
 """
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portflow.llm.shared import SPACES, text_of
+from portflow.llm import bpe
+from portflow.llm.shared import SPACES, text_of, written
 
-#: Tokenizer versions: what one token is.
+#: Tokenizer versions that are patterns: what one token is. BPE is the version of the vocabulary of operator 3.
 TOKENIZERS = {"words-1": f"[^{SPACES}]+", "marks-2": f"[0-9A-Za-z]+|[^{SPACES}0-9A-Za-z]"}
+BPE = "word-bpe-49k"
 KEYS = ["source", "lang", "tokenizer"]
-_SUMS = "source string, lang string, tokenizer string, n_docs long, n_tokens long, batch long"
+_SUMS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
+_LOG = "batch long, folder string, folded array<string>"
 
 
 def count_tokens(text: F.Column, tokenizer: str) -> F.Column:
@@ -29,6 +38,13 @@ def counted(docs: DataFrame, tokenizer: str) -> DataFrame:
     return docs.select("doc_id", "source", "lang", F.lit(tokenizer).alias("tokenizer"), count_tokens(text_of(), tokenizer).alias("n_tokens"))
 
 
+def counted_bpe(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """The counts of the BPE tokenizer. Rows get numbers of their own, as they may share a doc_id."""
+    rows = written(docs.select("doc_id", "source", "lang", "text").withColumn("row", F.monotonically_increasing_id()))
+    sizes = bpe.encode(rows.select(F.col("row").alias("doc_id"), "text"), path).select(F.col("doc_id").alias("row"), F.size("ids").cast("long").alias("n_tokens"))
+    return rows.drop("text").join(sizes, "row").select("doc_id", "source", "lang", F.lit(BPE).alias("tokenizer"), "n_tokens")
+
+
 def inserts(counts: DataFrame) -> DataFrame:
     return counts.withColumns({"d_docs": F.lit(1), "d_tokens": F.col("n_tokens")})
 
@@ -42,23 +58,59 @@ def revisions(counts: DataFrame, old: str = "old_tokens", new: str = "n_tokens")
     return counts.withColumns({"d_docs": F.lit(0), "d_tokens": F.col(new) - F.col(old)})
 
 
+def moves(counts: DataFrame, key: str, to: F.Column) -> DataFrame:
+    """The same counts under another key: out there, in here."""
+    return deletes(counts).unionByName(inserts(counts.withColumn(key, to)))
+
+
 class Rollup:
-    """Signed sums by batch in a folder: batch=<n> holds what batch n added."""
+    """Signed sums in folders, and the log of what counts."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def commit(self, batch: int, changes: DataFrame) -> None:
-        """changes: KEYS, d_docs, d_tokens. Overwrites what this batch has left before."""
+    def log(self) -> list:
+        """One entry a batch or fold."""
+        try:
+            return self.spark.read.schema(_LOG).parquet(f"{self.path}/log/*").collect()
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return []
+            raise
+
+    def folders(self) -> list[str]:
+        log = self.log()
+        gone = {f for e in log for f in e["folded"]}
+        return sorted(e["folder"] for e in log if e["folder"] not in gone)
+
+    def write_sums(self, changes: DataFrame) -> str:
         sums = changes.groupBy(*KEYS).agg(F.sum("d_docs").cast("long").alias("n_docs"), F.sum("d_tokens").cast("long").alias("n_tokens"))
-        sums.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+        folder = f"sums-{uuid.uuid4().hex}"
+        sums.write.parquet(f"{self.path}/{folder}")
+        return folder
+
+    def _publish(self, name: str, batch: int | None, folder: str, folded: list[str]) -> None:
+        """One file, moved into place when it is whole; a name that is taken already is an error."""
+        self.spark.createDataFrame([(batch, folder, folded)], _LOG).coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/log/{name}")
+
+    def commit(self, batch: int, changes: DataFrame) -> bool:
+        """changes: KEYS, d_docs, d_tokens. False if the log has this batch already: nothing is done then."""
+        if any(e["batch"] == batch for e in self.log()):
+            return False
+        self._publish(f"batch-{batch}", batch, self.write_sums(changes), [])
+        return True
 
     def totals(self) -> DataFrame:
         """KEYS, n_docs, n_tokens; keys whose documents are all gone have left too."""
-        sums = self.spark.read.schema(_SUMS).parquet(self.path)
+        folders = self.folders()
+        if not folders:
+            return self.spark.createDataFrame([], _SUMS)
+        sums = self.spark.read.schema(_SUMS).parquet(*(f"{self.path}/{f}" for f in folders))
         return sums.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
 
-    def compact(self, path: str) -> Rollup:
-        """The same totals as one batch of another folder."""
-        self.totals().coalesce(1).write.mode("overwrite").parquet(f"{path}/batch=0")
-        return Rollup(self.spark, path)
+    def compact(self) -> None:
+        """One folder in the place of all there are; totals stay. Folded folders may be removed once no reader has them."""
+        old = self.folders()
+        if len(old) > 1:
+            sums = self.totals().withColumnsRenamed({"n_docs": "d_docs", "n_tokens": "d_tokens"})
+            self._publish(f"fold-{uuid.uuid4().hex}", None, self.write_sums(sums), old)

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tests.conftest import SF
 
 from portflow.llm import ann, bpe, exact_dedup, langid, line_dedup, packing, queries, secrets, shared, simhash, token_counts, toxicity
@@ -40,15 +41,53 @@ def test_native(name, spark):
 
 def test_rollup(spark, tmp_path):
     rollup = token_counts.Rollup(spark, str(tmp_path / "r"))
+    assert rollup.totals().count() == 0
     counts = token_counts.counted(docs(spark, [(1, "a b"), (2, None), (3, "c")]), "words-1")
-    rollup.commit(1, token_counts.inserts(counts))
-    rollup.commit(2, token_counts.deletes(counts.where("doc_id = 3")))
-    rollup.commit(2, token_counts.deletes(counts.where("doc_id = 3")))
+    assert rollup.commit(1, token_counts.inserts(counts))
+    assert rollup.commit(2, token_counts.deletes(counts.where("doc_id = 3")))
+    assert not rollup.commit(2, token_counts.deletes(counts.where("doc_id = 3")))
     rollup.commit(3, token_counts.revisions(counts.where("doc_id = 1").selectExpr("source", "lang", "tokenizer", "n_tokens as old_tokens", "5L as n_tokens")))
     rollup.commit(4, token_counts.inserts(counts.limit(0)))
     want = [("s", "en", "words-1", 2, 5)]
     assert [tuple(r) for r in rollup.totals().collect()] == want
-    assert [tuple(r) for r in rollup.compact(str(tmp_path / "c")).totals().collect()] == want
+    rollup.compact()
+    assert [tuple(r) for r in rollup.totals().collect()] == want and len(rollup.folders()) == 1
+    assert not rollup.commit(1, token_counts.inserts(counts))  # a batch of before the compaction, sent again
+    assert [tuple(r) for r in rollup.totals().collect()] == want
+    assert rollup.commit(5, token_counts.moves(counts.where("doc_id = 1").withColumn("n_tokens", F.lit(5)), "lang", F.lit("de")))
+    assert sorted(tuple(r) for r in rollup.totals().collect()) == [("s", "de", "words-1", 1, 5), ("s", "en", "words-1", 1, 0)]
+
+
+def test_rollup_cut_off_before_it_is_published(spark, tmp_path):
+    """Sums without a log entry, as a driver lost in between leaves them, count nothing; the retry counts once."""
+    rollup = token_counts.Rollup(spark, str(tmp_path / "r"))
+    counts = token_counts.counted(docs(spark, [(1, "a b")]), "words-1")
+    rollup.write_sums(token_counts.inserts(counts))
+    assert rollup.totals().count() == 0
+    rollup.commit(1, token_counts.inserts(counts))
+    assert [r.n_tokens for r in rollup.totals().collect()] == [2]
+
+
+def test_counts_of_edges(spark):
+    """Null keys are keys, null and blank texts count 0, repeated rows count twice, long texts whole, other columns do no harm."""
+    rows = spark.createDataFrame([(1, None, None, None, "x"), (None, " \t", None, "s", "x"), (2, "a b", "en", None, "x"), (2, "a b", "en", None, "x"), (3, "word " * 50_000, "en", "s", "x")], "doc_id long, text string, lang string, source string, batch string")
+    rollup = token_counts.Rollup(spark, shared.shared_dir(spark) + f"/rollup-{random.random()}")
+    rollup.commit(1, token_counts.inserts(token_counts.counted(rows, "words-1")))
+    got = {(r.source, r.lang): (r.n_docs, r.n_tokens) for r in rollup.totals().collect()}
+    assert got == {(None, None): (1, 0), ("s", None): (1, 0), (None, "en"): (2, 4), ("s", "en"): (1, 50_000)}
+
+
+def test_bpe_counts(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(bpe.vocabulary_path())
+    rows = spark.read.parquet(f"{SF}/documents.parquet")
+    want = {r.doc_id: len(t.encode(r.text or "", add_special_tokens=False).ids) for r in rows.collect()}
+    got = token_counts.counted_bpe(rows)
+    assert got.columns == ["doc_id", "source", "lang", "tokenizer", "n_tokens"]
+    assert {r.doc_id: r.n_tokens for r in got.collect()} == want
+    same_id = token_counts.counted_bpe(docs(spark, [(1, "one"), (1, "one two three"), (None, None)])).collect()
+    assert sorted((str(r.doc_id), r.n_tokens) for r in same_id) == [("1", 1), ("1", 3), ("None", 0)]
 
 
 # ---------------------------------------------------------------- 2
@@ -460,6 +499,79 @@ def test_masked_spellings():
     assert toxicity.features("you moron! now", trie, {})[0]
 
 
+def brute_features(text, terms, cues):
+    """Every chunk against every term by the whole table of edit distances."""
+    import math
+
+    chunks, sums = text.lower().split(), dict.fromkeys(("exact", "exact_w", "fuzzy", "fuzzy_w", "quoted", "short"), 0)
+    kinds = set()
+
+    def best(chunk):
+        words = [(w, 5) for w in re.findall(r"[^\W\d_]+", chunk)]
+        whole = re.sub(r"^[\W_]+|[\W_]+$", "", chunk)
+        if whole and not whole.isalpha():
+            words.append((whole, 4))
+        found = [(distance(w, t), w, x, below) for w, below in words for t, x in terms.items()]
+        found = [(d, d > 0 and len(w) < below, -x, w) for d, w, x, below in found if d == 0 or d == 1 and len(w) >= 3]
+        return min(found) if found else None
+
+    hits = [best(c) for c in chunks]
+    for i, hit in enumerate(hits):
+        if hit is None:
+            continue
+        d, short, x, word = hit
+        around = chunks[max(0, i - 6) : i] + chunks[i + 1 : i + 7]
+        opened = any(c[0] in "\"'" for c in chunks[max(0, i - 3) : i + 1])
+        closed = any(c.rstrip(",.;:!?")[-1:] in ("'", '"') for c in chunks[i : i + 4])
+        if opened and closed or any(c.strip(",.;:!?\"'") in cues for c in around):
+            sums["quoted"] += 1
+        elif short:
+            sums["short"] += 1
+        elif d:
+            sums["fuzzy"] += 1
+            sums["fuzzy_w"] -= x
+        else:
+            sums["exact"] += 1
+            sums["exact_w"] -= x
+            kinds.add(word)
+    n = max(1, len(chunks))
+    e, f = sums["exact"], sums["fuzzy"]
+    return [math.log1p(v) for v in (e, sums["exact_w"], f, sums["fuzzy_w"], sums["quoted"], len(kinds), 1000 * e / n, 1000 * f / n, 1000 * sums["short"] / n)]
+
+
+def test_scores_equal_brute_force(spark):
+    rng = random.Random(12)
+    terms = {"moron": 3.0, "idiot": 4.0, "scum": 2.5, "ass": 2.0, "worthless": 3.5}
+    bits = [*terms, "morron", "id1ot", "scam", "sum", "as", "assess", "worthles", "the", "he", "said", '"quoted', 'end"', "m*ron!", "gladly", "river,", "xx"]
+    texts = [(i, " ".join(rng.choices(bits, k=rng.randint(0, 25)))) for i in range(150)]
+    model = toxicity.Model(terms, frozenset({"said", "gladly"}), [0.3, -0.2, 0.5, 0.1, -0.7, 0.4, 0.2, 0.6, -0.1], -1.0)
+    got = {r.doc_id: r.score for r in toxicity.score(docs(spark, texts), model).collect()}
+    for i, t in texts:
+        z = sum(w * x for w, x in zip(model.weights, brute_features(t, terms, model.cues), strict=True)) + model.bias
+        assert abs(got[i] - 1 / (1 + np.exp(-z))) < 1e-12, t
+
+
+def test_cues_are_learned(spark):
+    rows = [(i, f"they gladly report idiot here {i}", 0) for i in range(20)] + [(100 + i, f"you total idiot go away {i}", 1) for i in range(20)]
+    got = toxicity.learn_cues(spark.createDataFrame(rows, "row long, text string, toxic int"), {"idiot": 3.0})
+    assert {"gladly", "report"} <= got and not {"you", "total", "idiot"} & got
+
+
+def test_lexicon_has_no_cap_and_short_terms(spark):
+    many = " ".join("bad" + "".join(chr(97 + k // 26**j % 26) for j in range(3)) for k in range(2500))
+    rows = [(i, f"zz {many}", 1) for i in range(40)] + [(100 + i, "plain words", 0) for i in range(40)]
+    got = toxicity.learn_terms(spark.createDataFrame(rows, "row long, text string, toxic int"))
+    assert "zz" in got and len(got) == 2501
+
+
+def test_repeated_doc_ids_are_learned_once(spark):
+    """A doc_id that repeats lends one text, however often it comes; all its rows are scored."""
+    texts = [(i, "you idiot fool" if i % 2 else "nice day") for i in range(40)] + [(1, f"many rows {i}") for i in range(200)]
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    got = toxicity.scored_documents(docs(spark, texts), labels).collect()
+    assert len(got) == 240
+
+
 def test_toxicity_held_out(spark):
     sf = SF.replace("0.001", "0.01")
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
