@@ -48,6 +48,7 @@ select source, case lang when 'fr' then 'fr-FR' else lang end, 'marks-2', count(
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents carry no address; their source is their site."""
     docs = table(spark, sf_dir, "documents")
     pages = docs.select(F.col("doc_id").alias("page"), F.col("source").alias("host"), "text")
     out = line_dedup.drop_boilerplate(pages)
@@ -62,10 +63,10 @@ l as (select doc_id, source, unnest(list_distinct(lines)) as line from d),
 n as (select source, count(*) as host_pages from documents group by source),
 c as (select source, line, count(*) as pages_with from l where trim(translate(line, chr(9) || chr(13), '  ')) <> '' group by source, line),
 b as (select c.source, list(line) as drops from c join n on c.source is not distinct from n.source
-      where pages_with >= 3 and pages_with > 0.05 * host_pages group by c.source),
+      where pages_with >= 2 and pages_with > 0.05 * host_pages group by c.source),
 k as (select d.*, list_filter(lines, lambda x: not list_contains(coalesce(drops, []), x)) as kept
       from d left join b on d.source is not distinct from b.source),
-r as (select *, len(kept) < len(lines) and len(list_filter(kept, lambda x: trim(translate(x, chr(9) || chr(13), '  ')) <> '')) > 0 as cut from k)
+r as (select *, len(kept) < len(lines) as cut from k)
 select doc_id, source, coalesce(len(lines), 0) as n_lines,
   case when cut then len(lines) - len(kept) else 0 end as n_dropped,
   sha256(case when cut then array_to_string(kept, chr(10)) else text end) as clean_sha256

@@ -93,14 +93,39 @@ def test_bpe_counts(spark):
 # ---------------------------------------------------------------- 2
 
 
+def brute_lines(pages, ratio, least=2):
+    """pages: (page, host, text) -> texts in the same order."""
+    solid = lambda x: x.replace("\t", " ").replace("\r", " ").strip(" ") != ""
+    total, having = {}, {}
+    for _, host, text in pages:
+        total[host] = total.get(host, 0) + 1
+        for line in set(text.split("\n") if text is not None else []):
+            having[host, line] = having.get((host, line), 0) + 1
+    drop = lambda host, x: solid(x) and having[host, x] >= least and having[host, x] > ratio * total[host]
+    return [None if t is None else "\n".join(x for x in t.split("\n") if not drop(h, x)) for _, h, t in pages]
+
+
 def test_lines(spark):
     texts = [(i, f"menu\nbody {i}\n\nend {i}") for i in range(9)] + [(9, "menu"), (10, None), (11, ""), (11, "menu\nx")]
     pages = docs(spark, texts).withColumnsRenamed({"doc_id": "page", "source": "host"})
-    got = {(r.page, r.text): (r.n_lines, r.n_dropped) for r in line_dedup.drop_boilerplate(pages, 0.5, 3).collect()}
-    assert got == {(i, f"body {i}\n\nend {i}"): (4, 1) for i in range(9)} | {(9, "menu"): (1, 0), (10, None): (0, 0), (11, ""): (1, 0), (11, "x"): (2, 1)}
+    got = {(r.page, r.text): (r.n_lines, r.n_dropped) for r in line_dedup.drop_boilerplate(pages, 0.5).collect()}
+    assert got == {(i, f"body {i}\n\nend {i}"): (4, 1) for i in range(9)} | {(9, ""): (1, 1), (10, None): (0, 0), (11, ""): (1, 0), (11, "x"): (2, 1)}
+    whole = {(r.page, r.text): r.n_dropped for r in line_dedup.drop_boilerplate(pages, 0.5, keep_whole=True).collect()}
+    assert whole[9, "menu"] == 0 and whole[11, "x"] == 1
     assert line_dedup.drop_boilerplate(pages.limit(0)).count() == 0
 
 
+def test_lines_equal_brute_force(spark):
+    """Ties at the ratio, repeated pages and ids, null hosts, lines that repeat within a page, one-page hosts."""
+    rng = random.Random(11)
+    bits = ["menu", "foot", "a", "b", "c", "", " \t", "\r", "d", "e"]
+    for ratio in (0.05, 0.3, 0.5):
+        pages = [(rng.choice([None, *range(30)]), rng.choice([None, "h", "g"]), rng.choice([None, "\n".join(rng.choices(bits, k=rng.randint(1, 8)))])) for _ in range(60)] + [(99, "lone", "a\nb")]
+        rows = spark.createDataFrame(pages, "page long, host string, text string")
+        got = sorted(map(str, (tuple(r) for r in line_dedup.drop_boilerplate(rows, ratio).select("page", "host", "text").collect())))
+        assert got == sorted(str((p, h, t)) for (p, h, _), t in zip(pages, brute_lines(pages, ratio), strict=True))
+
+
 # ---------------------------------------------------------------- 3
 
 
