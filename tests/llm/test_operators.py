@@ -301,6 +301,21 @@ def test_exact(spark):
     assert exact_dedup.exact_groups(docs(spark, [])).count() == 0
 
 
+def test_exact_in_many_runs(spark):
+    """70 partitions of two runs' rounds and more: one winner a text, whatever the fan-in."""
+    rng = random.Random(3)
+    texts = [(i, " " * rng.randint(0, 3) + rng.choice("abcdefg") * 3) for i in range(700)]
+    rows = exact_dedup.keyed(docs(spark, texts).repartition(70))
+    want = {}
+    for i, t in texts:
+        want[t.strip()] = min(want.get(t.strip(), (0, 0)), (-len(t), i))
+    for bits in (1, 3):
+        got = exact_dedup.tree_merge(rows, bits).collect()
+        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        assert len(got) == 700 and {(r.digest, r.keep_id) for r in got} == {(sha(t), i) for t, (_, i) in want.items()}
+        assert sum({r.digest: r.group_size for r in got}.values()) == 700
+
+
 # ---------------------------------------------------------------- 6
 
 
