@@ -452,6 +452,80 @@ def test_host_and_suffix_speak_for_pages_without_text(spark):
     assert [got[i] for i in (200, 201, 202, 203)] == ["de", "de", "de", "und"]
 
 
+def brute_posterior(pages, langs, least=0.5, smoothing=10.0):
+    """pages: (key, host, domain, suffix, declared, ll) -> key: (lang_found, confidence), page by page over all others."""
+    best = {p[0]: langs[max(range(len(langs)), key=lambda k: (p[5][k], -k))] if p[5] is not None else None for p in pages}
+    out = {}
+    for p in pages:
+        key, host, domain, suffix, declared, ll = p
+        others = [q for q in pages if q[0] != key and best[q[0]] is not None]
+        count = lambda ok: [float(sum(best[q[0]] == x and ok(q) for q in others)) for x in langs]
+        everyone = count(lambda q: True)
+        prior = [(x + 1) / (sum(everyone) + len(langs)) for x in everyone]
+        base, spoke = prior, ll is not None
+        for ok in (lambda q: domain is not None and q[2] == domain, lambda q: host is not None and (q[1], q[2]) == (host, domain)):
+            n = count(ok)
+            if sum(n):
+                base, spoke = [(x + smoothing * t) / (sum(n) + smoothing) for x, t in zip(n, base, strict=True)], True
+        post = [a + np.log(x) for a, x in zip(ll or [0.0] * len(langs), base, strict=True)]
+        for at, value in ((4, declared), (3, suffix)):
+            n = count(lambda q: value is not None and q[at] == value)  # noqa: B023
+            if sum(n):
+                spoke = True
+                post = [a + np.log((x + smoothing * t) / (c + smoothing)) for a, x, t, c in zip(post, n, prior, everyone, strict=True)]
+        confidence = 1 / sum(np.exp(x - max(post)) for x in post)
+        out[key] = (langs[int(np.argmax(post))] if spoke and confidence >= least else "und", confidence)
+    return out
+
+
+def test_fusion_equals_brute_force(spark):
+    rng = random.Random(17)
+    langs, pages = ["de", "en", "fr"], []
+    for i in range(120):
+        host = rng.choice([None, "a.x.de", "b.x.de", "c.y.com", "d.z.org", f"lone{i}.com"])
+        domain = ".".join(host.split(".")[-2:]) if host else None
+        ll = None if rng.random() < 0.2 else [rng.choice([0.0, -0.5, -3.0]) + rng.random() for _ in langs]
+        pages.append((i, host, domain, host.rsplit(".", 1)[1] if host else None, rng.choice([None, "de", "en", "xx"]), ll))
+    schema = "page_id long, host string, domain string, suffix string, declared string, ll array<double>"
+    want = brute_posterior(pages, langs)
+    for r in langid.fuse(spark.createDataFrame(pages, schema), langs).collect():
+        assert (r.lang_found, round(r.confidence, 9)) == (want[r.page_id][0], round(want[r.page_id][1], 9)), r
+
+
+def test_a_text_does_not_vote_for_itself(spark):
+    """Alone on its host, with a declaration and a suffix of its own, a page has its text and the prior, and nothing twice."""
+    schema = "page_id long, host string, domain string, suffix string, declared string, ll array<double>"
+    rows = [(1, "h.de", "h.de", "de", "de", [-0.1, 0.0])] + [(i, "x.com", "x.com", "com", None, [0.0, -9.0]) for i in range(10, 20)]
+    got = {r.page_id: r.confidence for r in langid.fuse(spark.createDataFrame(rows, schema), ["de", "en"]).collect()}
+    prior = [(10 + 1) / 12, 1 / 12]
+    assert abs(got[1] - max(np.exp(-0.1) * prior[0], prior[1]) / (np.exp(-0.1) * prior[0] + prior[1])) < 1e-9
+
+
+def test_evidence_grows_with_the_text():
+    n = [langid.weighed(k) for k in (1, 10, 100, 10_000, 1_000_000)]
+    assert n == sorted(n) and abs(n[0] - 1) < 0.02 and n[1] > 8 and n[-1] > n[-2] + 100
+
+
+def test_pages_against_their_paths(spark):
+    """The language in the path, which no evidence uses, is the truth; a fifth of the declarations is wrong."""
+    sf = SF.replace("0.001", "0.01")
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    wrong = F.when(F.col("page_id") % 5 == 0, F.regexp_replace("html", r'<html lang="[a-z]+"', '<html lang="es"')).otherwise(F.col("html"))
+    truth = {r.page_id: r.path for r in pages.select("page_id", F.regexp_extract("url", r"://[^/]+/([a-z]+)/", 1).alias("path")).collect()}
+    got = langid.identify_pages(pages.withColumn("html", wrong), langid.fit_text_model(spark.read.parquet(f"{sf}/documents.parquet"))).collect()
+    assert len(got) == len(truth) and sum(r.lang == truth[r.page_id] for r in got) >= 0.97 * len(got)
+
+
+def test_page_edges(spark):
+    """Null html, null url, no pages, repeated pages, ties and clashing names."""
+    model = (["de", "en"], np.log(np.full((2, langid.CODES), 1.0 / langid.CODES)))
+    schema = "page_id long, url string, html string, host string, text string, ll string"
+    rows = [(1, "http://a.de/x", None, "?", "?", "?"), (2, None, "<p>1 2</p>", "?", "?", "?"), (3, None, None, "?", "?", "?"), (4, "http://a.de/y", "<p>abc def</p>", "?", "?", "?"), (4, "http://a.de/y", "<p>abc def</p>", "?", "?", "?")]
+    got = {r.page_id: (r.text_lang, r.lang) for r in langid.identify_pages(spark.createDataFrame(rows, schema), model).collect()}
+    assert got == {1: (None, "de"), 2: (None, "und"), 3: (None, "und"), 4: ("de", "de")}  # 4: a tie goes to the first by name
+    assert langid.identify_pages(spark.createDataFrame([], schema), model).count() == 0
+
+
 # ---------------------------------------------------------------- 8
 
 
