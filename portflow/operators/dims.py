@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,6 +47,16 @@ def find_or_create(known: DataFrame | None, names: DataFrame) -> DataFrame:
     return made if known is None else known.unionByName(made)
 
 
+def find_or_create_values(known: DataFrame | None, names: DataFrame) -> DataFrame:
+    """known (id, value) and a row for each new text, whatever its types: one id a text."""
+    new, start = names.select("value").distinct(), 0
+    if known is not None:
+        new = new.join(known, "value", "left_anti")
+        start = known.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    made = numbered(new, ["value"], start).select("id", "value")
+    return made if known is None else known.unionByName(made)
+
+
 def resolve(rows: DataFrame, dimension: DataFrame, spec: FactSpec) -> DataFrame:
     """rows with <name>_id for each name column; NULL stays NULL."""
     for column, kind in spec.names:
@@ -58,27 +69,39 @@ def values_of(dimension: DataFrame, field_type_id: int) -> DataFrame:
     return dimension.where(F.col("field_type_id") == field_type_id).select("value", "id")
 
 
-def resolve_external(dimension: DataFrame, field_type_id: int, external: DataFrame | None) -> DataFrame:
-    """Sets external_id of one type by exact match on its configured table, column and filter; no match is NULL.
-
-    A type without configuration is left alone. If several rows match, the smallest id is taken and n_matches tells.
-    """
-    kind = next(k for k in FIELD_TYPES if k[0] == field_type_id)
-    if kind[2] is None or external is None:
-        return dimension if "n_matches" in dimension.columns else dimension.withColumn("n_matches", F.lit(None).cast("long"))
-    _, _, _, search, key, where, _ = kind
+def _external(field_type_id: int, external: DataFrame) -> DataFrame:
+    """(field_type_id, value, found, n) of one type's configured table, column and filter."""
+    _, _, _, search, key, where, _ = next(k for k in FIELD_TYPES if k[0] == field_type_id)
     missing = {search, key} - set(external.columns)
     if missing:
         raise ValueError(f"no such column: {sorted(missing)}")
     found = external.where(F.expr(where)) if where else external
     found = found.groupBy(F.col(search).alias("value")).agg(F.min(key).cast("long").alias("found"), F.count("*").alias("n"))
-    own = F.col("field_type_id") == field_type_id
+    return found.select(F.lit(field_type_id).alias("field_type_id"), "value", "found", "n")
+
+
+def resolve_externals(dimension: DataFrame, externals: dict[int, DataFrame]) -> DataFrame:
+    """Sets external_id of the types in externals by exact match; no match is NULL. One join for all types.
+
+    Types without configuration, and those not asked for, are left alone. If several rows match, the smallest id is taken
+    and n_matches tells.
+    """
     out = dimension if "n_matches" in dimension.columns else dimension.withColumn("n_matches", F.lit(None).cast("long"))
-    out = out.join(found, "value", "left")
+    configured = {k[0] for k in FIELD_TYPES if k[2] is not None}
+    asked = {k: v for k, v in externals.items() if k in configured}
+    if not asked:
+        return out
+    found = reduce(DataFrame.unionByName, (_external(k, v) for k, v in asked.items()))
+    own = F.col("field_type_id").isin(list(asked))
+    out = out.join(found, ["field_type_id", "value"], "left")
     out = out.withColumn("external_id", F.when(own, F.col("found")).otherwise(F.col("external_id")))
     return out.withColumn("n_matches", F.when(own, F.coalesce("n", F.lit(0))).otherwise(F.col("n_matches"))).drop("found", "n")
 
 
+def resolve_external(dimension: DataFrame, field_type_id: int, external: DataFrame | None) -> DataFrame:
+    return resolve_externals(dimension, {} if external is None else {field_type_id: external})
+
+
 def set_notif_flag(types: DataFrame, dimension: DataFrame, field_type_id: int, flag: bool) -> tuple[DataFrame, DataFrame]:
     """The flag of a type, and with it that of all its values."""
     new = F.when(F.col("field_type_id") == field_type_id, F.lit(flag)).otherwise(F.col("notif_flag"))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from portflow.specs import LoadStatus, LoadType
 
-PROCESSORS = {LoadType.VESSEL_REPORT: "voyage", LoadType.GATE_ACTIVITY: "gate_activity", LoadType.ON_TERMINAL: "on_terminal", LoadType.OUT_OF_SERVICE: "out_of_service", LoadType.STREET_USE_DAYS: "street_use_days"}
 #: Where the queue starts: details written, then voyages written, then ingested.
 QUEUE = (LoadStatus.DETAILS, LoadStatus.VOYAGES, LoadStatus.INGESTED)
 
@@ -30,21 +29,31 @@ def queue(loads: DataFrame) -> DataFrame:
     return loads.withColumn("priority", priority).where("priority is not null").orderBy("priority", "load_id")
 
 
-def routed(loads: DataFrame, load_type: int = LoadType.VESSEL_REPORT) -> DataFrame:
-    """What processing as one type would do: rejected if done already, skipped without a processor of that type."""
-    kinds = loads.sparkSession.createDataFrame([(int(k), v) for k, v in PROCESSORS.items()], "load_type_id int, processor string")
-    outcome = (
-        F.when(F.col("load_status_id") == int(LoadStatus.DONE), "rejected")
-        .when(F.col("load_status_id") == int(LoadStatus.ERROR), "error")
-        .when(F.col("processor").isNull() | (F.col("load_type_id") != int(load_type)), "skipped")
-        .otherwise("processed")
+def routed(loads: DataFrame, asked: DataFrame, load_type: int = LoadType.VESSEL_REPORT) -> DataFrame:
+    """asked (load_id) as what processing each as one type comes to: (load_id, outcome, load_status_id, message).
+
+    unknown: no such load. rejected: of another type, which marks the load as failed; or a vessel report that is done, which
+    changes nothing. processed: all others, failed ones too, which are tried again. load_status_id: the status without the processing itself.
+    """
+    load_type = int(load_type)
+    found = asked.select("load_id").join(loads.select("load_id", "load_type_id", "load_status_id", F.lit(True).alias("there")), "load_id", "left")
+    other = F.col("load_type_id").isNull() | (F.col("load_type_id") != load_type)
+    done = (F.lit(load_type) == int(LoadType.VESSEL_REPORT)) & (F.col("load_status_id") == int(LoadStatus.DONE))
+    number = F.col("load_id").cast("string")
+    message = (
+        F.when(F.col("there").isNull(), F.concat(F.lit("there is no load "), number))
+        .when(done, F.concat(F.lit("load "), number, F.lit(" is done already")))
+        .when(other, F.concat(F.lit("load "), number, F.lit(f" is not of type {load_type}")))
     )
-    return loads.join(F.broadcast(kinds), "load_type_id", "left").withColumn("outcome", outcome)
+    outcome = F.when(F.col("there").isNull(), "unknown").when(done | other, "rejected").otherwise("processed")
+    status = F.when(F.col("there") & ~done & other, int(LoadStatus.ERROR)).otherwise(F.col("load_status_id"))
+    return found.select("load_id", outcome.alias("outcome"), status.cast("int").alias("load_status_id"), message.alias("message"))
 
 
 def process_next(loads: DataFrame, n: int) -> DataFrame:
-    """The next n of the queue; loads that will be skipped count."""
-    return routed(queue(loads).limit(n))
+    """The next n of the queue with their outcome; loads of other types than vessel reports are skipped, and count."""
+    outcome = F.when(F.col("load_type_id") == int(LoadType.VESSEL_REPORT), "processed").otherwise("skipped")
+    return queue(loads).limit(n).withColumn("outcome", outcome)
 
 
 def summary(loads: DataFrame) -> DataFrame:
@@ -52,13 +61,26 @@ def summary(loads: DataFrame) -> DataFrame:
     return loads.agg(F.count("*").alias("total"), failed.alias("failed"), (F.count("*") - failed).alias("imported"))
 
 
-def transitions(loads: DataFrame) -> DataFrame:
-    """(load_id, status, seq): the steps that lead to each load's status."""
-    steps = [int(s) for s in (LoadStatus.REGISTERED, LoadStatus.INGESTED, LoadStatus.VOYAGES, LoadStatus.DETAILS, LoadStatus.DONE)]
-    path = F.when(F.col("load_status_id") == int(LoadStatus.ERROR), F.array(F.lit(1), F.lit(int(LoadStatus.ERROR)))).otherwise(
-        F.filter(F.array(*map(F.lit, steps)), lambda s: s <= F.col("load_status_id"))
+def opening(loads: DataFrame) -> DataFrame:
+    """The ledger as events (load_id, seq, status): what was so before anything else happened."""
+    return loads.select("load_id", F.lit(0).alias("seq"), F.col("load_status_id").cast("int").alias("status"))
+
+
+def steps(loads: DataFrame, rejects: DataFrame) -> DataFrame:
+    """Events (load_id, seq, status) of processing loads (load_id, load_type_id, load_status_id); those in rejects end as failed.
+
+    A vessel report goes on from where it stopped: voyages, details, done. Other types go from ingested to details, their last status.
+    """
+    path = [int(s) for s in (LoadStatus.VOYAGES, LoadStatus.DETAILS, LoadStatus.DONE)]
+    at = F.when(F.col("load_status_id").isin(path[:2]), F.col("load_status_id")).otherwise(int(LoadStatus.INGESTED))
+    voyage = F.filter(F.array(*map(F.lit, path)), lambda s: s > at)
+    status = (
+        F.when(F.col("failed"), F.array(F.lit(int(LoadStatus.ERROR))))
+        .when(F.col("load_type_id") == int(LoadType.VESSEL_REPORT), voyage)
+        .otherwise(F.array(F.lit(int(LoadStatus.DETAILS))))
     )
-    return loads.select("load_id", F.posexplode(path).alias("seq", "status"))
+    marked = loads.join(rejects.select("load_id", F.lit(True).alias("failed")), "load_id", "left")
+    return marked.select("load_id", F.posexplode(status).alias("pos", "status")).select("load_id", (F.col("pos") + 1).alias("seq"), "status")
 
 
 def current_status(events: DataFrame) -> DataFrame:

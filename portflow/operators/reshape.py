@@ -14,7 +14,8 @@ _LONG_KEYS = ["load_id", "row_no", "voyage"]
 def clean_report(raw: DataFrame) -> DataFrame:
     """Typed vessel-report rows; `bad_cells` counts cells that are neither blank nor readable."""
     numbers = [m[0] for m in MEASURES]
-    bad = [clean.bad_whole(F.col(c)) for c in numbers] + [clean.text(F.col("work_date")).isNotNull() & clean.day(F.col("work_date")).isNull()]
+    bad = [clean.bad_whole(F.col(c)) for c in numbers]
+    bad += [clean.text(F.col(c)).isNotNull() & read(F.col(c)).isNull() for c, read in (("work_date", clean.day), ("worktime", clean.clock))]
     return raw.select(
         "load_id",
         "row_no",
@@ -48,7 +49,7 @@ def voyage_fields(report: DataFrame) -> DataFrame:
 
 
 def coded_details(details: DataFrame) -> DataFrame:
-    """Names to ids. Modes and directions must be known; a missing equipment name stays NULL."""
+    """Names to ids. A missing equipment name stays NULL; rows of unknown modes or directions are those of unknown_codes()."""
     spark = details.sparkSession
     mode = spark.createDataFrame(list(MODES.items()), "mode string, mode_id int")
     direction = spark.createDataFrame(list(DIRECTIONS.items()), "direction string, direction_id int")
@@ -57,6 +58,12 @@ def coded_details(details: DataFrame) -> DataFrame:
     return out.select(*_LONG_KEYS, "equipment_id", "direction_id", "mode_id", "loaded", "containers")
 
 
+def unknown_codes(details: DataFrame) -> DataFrame:
+    """(load_id, row_no, voyage, name): modes and directions that have no id, which coded_details() can't keep."""
+    name = F.explode(F.array_compact(F.array(*(F.when(~F.coalesce(F.col(c).isin(list(known)), F.lit(False)), F.concat(F.lit(f"{c} "), F.coalesce(c, F.lit("NULL")))) for c, known in (("mode", MODES), ("direction", DIRECTIONS))))))
+    return details.select(*_LONG_KEYS, name.alias("name"))
+
+
 def gate_activity(raw: DataFrame) -> DataFrame:
     """`bad_cells`: a gate type that is neither blank nor a number."""
     return raw.select(

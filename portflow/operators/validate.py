@@ -2,35 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from portflow.operators import reshape
 from portflow.specs import EQUIPMENT_TYPES, GATE_TYPES
 
+#: Problems that a message tells; the frame of problems has them all.
+TOLD = 5
+
 
 def voyage_problems(report: DataFrame, details: DataFrame) -> DataFrame:
-    """(load_id, row_no, k, problem): blank VOYAGE, missing WORK_DATE, unreadable REPORTED, unknown equipment, repeated VOYAGE."""
-    name = F.concat(F.lit("voyage "), F.coalesce("voyage", F.concat(F.lit("row "), F.col("row_no").cast("string"))))
-    rules = [
-        (F.col("voyage").isNull(), F.concat(F.lit("row "), F.col("row_no").cast("string"), F.lit(": blank VOYAGE"))),
-        (F.col("work_date").isNull(), F.concat(name, F.lit(": missing WORK_DATE"))),
-        (F.col("reported_at").isNull(), F.concat(name, F.lit(": blank or unreadable REPORTED"))),
-    ]
-    found = F.array_compact(F.array(*(F.when(bad, F.struct(F.lit(k).alias("k"), what.alias("problem"))) for k, (bad, what) in enumerate(rules))))
+    """(load_id, row_no, k, problem): no VOYAGE, no WORK_DATE, no readable REPORTED, unknown equipment, a VOYAGE that repeats, a mode or
+    direction without id."""
+    name = F.concat(F.lit("voyage "), F.coalesce("voyage", F.concat(F.lit("in row "), F.col("row_no").cast("string"))))
+    rules = [(F.col("voyage").isNull(), "has no number"), (F.col("work_date").isNull(), "has no WORK_DATE"), (F.col("reported_at").isNull(), "has no readable REPORTED")]
+    found = F.array_compact(F.array(*(F.when(bad, F.struct(F.lit(k).alias("k"), F.concat(name, F.lit(f" {what}")).alias("problem"))) for k, (bad, what) in enumerate(rules))))
     rows = report.select("load_id", "row_no", F.explode(found).alias("p")).select("load_id", "row_no", "p.*")
-    known = details.sparkSession.createDataFrame([(e,) for e in EQUIPMENT_TYPES], "equipment_name string")
-    odd = details.where("equipment_name is not null").join(F.broadcast(known), "equipment_name", "left_anti")  # a fixed list
-    odd = odd.select("load_id", "row_no", F.lit(3).alias("k"), F.concat(name, F.lit(": unknown equipment type '"), F.col("equipment_name"), F.lit("'")).alias("problem"))
+    odd = details.where(F.col("equipment_name").isNotNull() & ~F.col("equipment_name").isin(list(EQUIPMENT_TYPES)))  # a fixed list
+    odd = odd.select("load_id", "row_no", F.lit(3).alias("k"), F.concat(name, F.lit(" has equipment of no known type: "), F.col("equipment_name")).alias("problem"))
     twice = report.where("voyage is not null").groupBy("load_id", "voyage").agg(F.max("row_no").alias("row_no"), F.count("*").alias("n")).where("n > 1")
-    twice = twice.select("load_id", "row_no", F.lit(4).alias("k"), F.concat(F.lit("voyage "), F.col("voyage"), F.lit(": repeated")).alias("problem"))
-    return rows.unionByName(odd).unionByName(twice)
+    twice = twice.select("load_id", "row_no", F.lit(4).alias("k"), F.concat(name, F.lit(" comes more than once")).alias("problem"))
+    codes = reshape.unknown_codes(details).select("load_id", "row_no", F.lit(5).alias("k"), F.concat(name, F.lit(" has an unknown "), F.col("name")).alias("problem"))
+    return rows.unionByName(odd).unionByName(twice).unionByName(codes)
 
 
-def rejected(problems: DataFrame) -> DataFrame:
-    """(load_id, n_problems, message), problems in the order of the file."""
-    listed = F.sort_array(F.collect_list(F.struct("row_no", "k", "problem")))
-    out = problems.groupBy("load_id").agg(listed.alias("p"))
-    return out.select("load_id", F.size("p").cast("long").alias("n_problems"), F.array_join("p.problem", "; ").alias("message"))
+def rejected(problems: DataFrame, told: int = TOLD) -> DataFrame:
+    """(load_id, n_problems, message): the first `told` problems in the order of the file, and how many more there are."""
+    nth = F.row_number().over(Window.partitionBy("load_id").orderBy("row_no", "k", "problem"))
+    first = problems.withColumn("nth", nth).where(F.col("nth") <= told).groupBy("load_id").agg(F.sort_array(F.collect_list(F.struct("nth", "problem"))).alias("p"))  # `told` at most
+    counts = problems.groupBy("load_id").agg(F.count("*").alias("n_problems"))
+    more = F.when(F.col("n_problems") > told, F.concat(F.lit("; and "), (F.col("n_problems") - told).cast("string"), F.lit(" more"))).otherwise("")
+    return counts.join(first, "load_id").select("load_id", "n_problems", F.concat(F.array_join("p.problem", "; "), more).alias("message"))
 
 
 def accepted(rows: DataFrame, rejects: DataFrame) -> DataFrame:
@@ -39,7 +42,15 @@ def accepted(rows: DataFrame, rejects: DataFrame) -> DataFrame:
 
 def unknown_gate_types(gates: DataFrame) -> DataFrame:
     """(load_id, message) of loads that name a gate type which does not exist."""
-    known = gates.sparkSession.createDataFrame([(g,) for g in GATE_TYPES], "gate_type_id int")
-    odd = gates.where("gate_type_id is not null").select("load_id", "gate_type_id").distinct().join(F.broadcast(known), "gate_type_id", "left_anti")
-    ids = F.array_join(F.sort_array(F.collect_set("gate_type_id")).cast("array<string>"), ", ")
-    return odd.groupBy("load_id").agg(F.concat(F.lit("unknown GateTypeId(s): ["), ids, F.lit("]")).alias("message"))
+    odd = gates.where(F.col("gate_type_id").isNotNull() & ~F.col("gate_type_id").isin(list(GATE_TYPES))).select("load_id", "gate_type_id").distinct()
+    nth = F.row_number().over(Window.partitionBy("load_id").orderBy("gate_type_id"))
+    counts = odd.groupBy("load_id").agg(F.count("*").alias("n"))
+    first = odd.withColumn("nth", nth).where(F.col("nth") <= TOLD).groupBy("load_id").agg(F.sort_array(F.collect_list("gate_type_id")).alias("ids"))
+    more = F.when(F.col("n") > TOLD, F.concat(F.lit(" and "), (F.col("n") - TOLD).cast("string"), F.lit(" more"))).otherwise("")
+    return counts.join(first, "load_id").select("load_id", F.concat(F.lit("gate types that do not exist: "), F.array_join(F.col("ids").cast("array<string>"), ", "), more).alias("message"))
+
+
+def unreadable(rows: DataFrame) -> DataFrame:
+    """(load_id, message) of loads with cells that are neither blank nor readable (rows has bad_cells)."""
+    bad = rows.where("bad_cells > 0").groupBy("load_id").agg(F.count("*").alias("n"))
+    return bad.select("load_id", F.concat(F.col("n").cast("string"), F.lit(" rows have unreadable cells")).alias("message"))

@@ -1,7 +1,8 @@
 """Last-wins upsert by null-safe identity, over an append-only log of versions.
 
 Rows of one identity are ordered by (load_id, row_no), never by arrival, so that a late load lands where it belongs.
-`current` and `collapse` are aggregations that combine before the shuffle; only the history needs a window.
+Rows that agree in both, which no source makes, fall to the larger payload, so that the result is
+the same on every run. `current` and `collapse` are aggregations that combine before the shuffle; only the history needs a window.
 """
 
 from __future__ import annotations

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portflow.functions import clean
-from portflow.operators import dims, ledger, reshape, validate, versions, voyage
+from portflow.operators import dims, ledger, process, reshape, validate, versions, voyage
 from portflow.plans.bridge import BRIDGES, raw, table, with_bridges
+from portflow.sources import folders, reports
+from portflow.sources import registry as sources
 from portflow.specs import EQUIPMENT, FIELDS, GATE, LOCATION, MEASURES, OCEAN_CARRIER, ON_TERMINAL, OUT_OF_SERVICE, REPORT_TEXT, STREET_USE, FactSpec, LoadStatus, LoadType
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +65,17 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.clean_report(raw(spark, sf_dir, "gpa_raw"))
 
 
+def load_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loads of gpa_raw, from the one column that makes them: the bridge itself is not built for them."""
+    day = F.col("l_shipdate").cast("date")
+    number = F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
+    return table(spark, sf_dir, "lineitem").select(number.cast("long").alias("load_id")).where("load_id is not null").distinct()
+
+
+def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voyage.follow(load_ids(spark, sf_dir))
+
+
 def fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spec, shape, source, _ = FACTS[name]
     return shape(raw(spark, sf_dir, source))
@@ -69,7 +83,7 @@ def fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A ledger made of the load ids there are."""
-    ids = raw(spark, sf_dir, "gpa_raw").select("load_id").distinct()
+    ids = load_ids(spark, sf_dir)
     status = F.element_at(F.array(*map(F.lit, (2, 3, 4, 5, 99))), (F.col("load_id") % 5 + 1).cast("int"))
     return ids.select(
         "load_id", F.concat(F.lit("report_"), (F.col("load_id") % 500).cast("string"), F.lit(".csv")).alias("source_name"),
@@ -97,6 +111,19 @@ def parse_reported(spark, sf_dir):
     return raw(spark, sf_dir, "gpa_raw").select("load_id", "row_no", clean.reported_at(F.col("reported")).alias("reported_at"))
 
 
+_CLOCK = "case row_no % 7 when 0 then '99xx' when 1 then ' ' when 2 then ' 2460' else concat(' ', lpad(cast(row_no % 24 as string), 2, '0'), lpad(cast(load_id % 60 as string), 2, '0')) end"
+
+
+@query(
+    f"with t as (select cast(load_id as bigint) as load_id, row_no, trim({_CLOCK}) as t from gpa_raw), u as (select *, regexp_matches(t, '^([01][0-9]|2[0-3])[0-5][0-9]$') as ok from t)"
+    " select load_id, row_no, case when ok then concat(t[1:2], ':', t[3:4]) end as worktime, cast(not ok and t <> '' as int) as bad_cells from u"
+)
+def parse_worktime(spark, sf_dir):
+    """Times of work, some unreadable, which rejects their file."""
+    rows = reshape.clean_report(raw(spark, sf_dir, "gpa_raw").withColumn("worktime", F.expr(_CLOCK)))
+    return rows.select("load_id", "row_no", "worktime", "bad_cells")
+
+
 @query(f"with c as ({_CLEAN}) select load_id, row_no, voyage, work_date, worktime, reported_at from c")
 def voyage_header(spark, sf_dir):
     return reshape.voyage_header(report(spark, sf_dir))
@@ -132,14 +159,12 @@ def voyage_current(spark, sf_dir):
 
 @query(f"with {_SEEN} select voyage, load_id, work_date, case when fell_off then coalesce(outcome, 1) else 1 end as voyage_status_id from fell where next_seen is null")
 def voyage_status_current(spark, sf_dir):
-    rows = report(spark, sf_dir)
-    return voyage.status_current(rows, voyage.files_of(rows))
+    return voyage.status_current(report(spark, sf_dir), files(spark, sf_dir))
 
 
 @query(f"with {_SEEN} select voyage, load_id, next_file as missing_from, outcome as voyage_status_id from fell where fell_off")
 def voyage_fallen_off(spark, sf_dir):
-    rows = report(spark, sf_dir)
-    return voyage.fallen_off(rows, voyage.files_of(rows))
+    return voyage.fallen_off(report(spark, sf_dir), files(spark, sf_dir))
 
 
 _TIMELINE = f"""{_SEEN}, t as (select voyage, load_id, 1 as voyage_status_id, load_id as valid_from, case when fell_off and outcome is not null then next_file else next_seen end as valid_to from fell
@@ -148,14 +173,12 @@ _TIMELINE = f"""{_SEEN}, t as (select voyage, load_id, 1 as voyage_status_id, lo
 
 @query(f"with {_TIMELINE} select *, valid_to is not null as closed from t")
 def voyage_status_history(spark, sf_dir):
-    rows = report(spark, sf_dir)
-    return voyage.status_timeline(rows, voyage.files_of(rows))
+    return voyage.status_timeline(report(spark, sf_dir), files(spark, sf_dir))
 
 
 @query(f"with {_TIMELINE} select voyage, voyage_status_id, valid_from, valid_to from t where valid_from <= 19960615 and (valid_to is null or valid_to > 19960615)")
 def voyage_as_of(spark, sf_dir):
-    rows = report(spark, sf_dir)
-    return versions.as_of(voyage.status_timeline(rows, voyage.files_of(rows)), 19960615).select("voyage", "voyage_status_id", "valid_from", "valid_to")
+    return versions.as_of(voyage.status_timeline(report(spark, sf_dir), files(spark, sf_dir)), 19960615).select("voyage", "voyage_status_id", "valid_from", "valid_to")
 
 
 _LATEST = "cur as (select voyage, max(load_id) as load_id from c group by voyage)"
@@ -184,8 +207,8 @@ def voyage_field_map(spark, sf_dir):
 )
 def tocall_not_in_file(spark, sf_dir):
     rows = report(spark, sf_dir)
-    file = rows.where("load_id <= 19960615").agg(F.max("load_id")).first()[0]
-    return voyage.not_in_file(rows, voyage.files_of(rows), file if file is not None else -1)
+    file = load_ids(spark, sf_dir).where("load_id <= 19960615").agg(F.max("load_id")).first()[0]
+    return voyage.not_in_file(rows, files(spark, sf_dir), file if file is not None else -1)
 
 
 @query(f"with c as ({_CLEAN}), {_LATEST} select c.load_id, c.voyage, c.reported_at from c join cur on c.voyage = cur.voyage and c.load_id = cur.load_id where c.reported_at is not null")
@@ -196,7 +219,11 @@ def reported_dates(spark, sf_dir):
 
 @query("select * replace (cast(load_id as bigint) as load_id) from gpa_raw where load_id in (19950102, 19960229, 19970704)")
 def scan_load(spark, sf_dir):
-    return raw(spark, sf_dir, "gpa_raw").where(F.col("load_id").isin(19950102, 19960229, 19970704))
+    """Lands the loads of three months, one partition each, and reads three loads of them back."""
+    rows = raw(spark, sf_dir, "gpa_raw").where("load_id div 100 in (199501, 199602, 199707)")
+    path = f"{folders.shared_dir(spark)}/landed-{uuid.uuid4().hex}"
+    reports.land(rows.repartition("load_id"), path)
+    return reports.scan(spark, path, [19950102, 19960229, 19970704]).select(*rows.columns).withColumn("load_id", F.col("load_id").cast("long"))
 
 
 # ---------------------------------------------------------------- facts
@@ -291,7 +318,11 @@ def _named(spec: FactSpec) -> FactSpec:
 
 @query(f"with {_NAMES} select distinct value from d")
 def field_values(spark, sf_dir):
-    return _dimension(spark, sf_dir).select("value").distinct()
+    """Texts of the second half of the alphabet come later than the others, and keep to ids of their own."""
+    names = dims.trimmed_names((raw(spark, sf_dir, source), _named(spec)) for spec, _, source, _ in FACTS.values())
+    first = dims.find_or_create_values(None, names.where("upper(value) < 'N'"))
+    found = dims.find_or_create_values(first, names)
+    return found.groupBy("id").agg(F.min("value").alias("value")).select("value")
 
 
 @query(f"with {_NAMES} select field_type_id, value, cast(null as bigint) as external_id, true as notif_flag from d")
@@ -317,10 +348,7 @@ def equipment_dictionary(spark, sf_dir):
 
 
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _dimension(spark, sf_dir)
-    for kind in dims.FIELD_TYPES:
-        out = dims.resolve_external(out, kind[0], table(spark, sf_dir, kind[2]) if kind[2] else None)
-    return out
+    return dims.resolve_externals(_dimension(spark, sf_dir), {k[0]: table(spark, sf_dir, k[2]) for k in dims.FIELD_TYPES if k[2]})
 
 
 @query(f"with {_NAMES}, {_EXTERNAL} select field_type_id, value, cast(external_id as bigint) as external_id from d2")
@@ -344,22 +372,28 @@ def unresolved_values(spark, sf_dir):
 
 _SPOILED = f"""c as ({_CLEAN}), v as (select load_id, row_no, case when row_no % 7 = 0 then null else voyage end as voyage, case when row_no % 11 = 0 then null else work_date end as work_date,
  case when row_no % 13 = 0 then null else reported_at end as reported_at, row_no % 17 = 0 and im_full20 <> 0 as odd from c),
- w as (select *, concat('voyage ', coalesce(voyage, concat('row ', cast(row_no as varchar)))) as name from v),
- p as (select load_id, row_no, 0 as k, concat('row ', cast(row_no as varchar), ': blank VOYAGE') as problem from w where voyage is null
-  union all select load_id, row_no, 1, concat(name, ': missing WORK_DATE') from w where work_date is null
-  union all select load_id, row_no, 2, concat(name, ': blank or unreadable REPORTED') from w where reported_at is null
-  union all select load_id, row_no, 3, concat(name, ': unknown equipment type ''BOX''') from w where odd),
- r as (select load_id, count(*) as n_problems, string_agg(problem, '; ' order by row_no, k) as message from p group by load_id)"""
-
-
-def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reports with every seventh voyage blank, and so on, so that there is something to reject."""
+ w as (select *, concat('voyage ', coalesce(voyage, concat('in row ', cast(row_no as varchar)))) as name from v),
+ p as (select load_id, row_no, 0 as k, concat(name, ' has no number') as problem from w where voyage is null
+  union all select load_id, row_no, 1, concat(name, ' has no WORK_DATE') from w where work_date is null
+  union all select load_id, row_no, 2, concat(name, ' has no readable REPORTED') from w where reported_at is null
+  union all select load_id, row_no, 3, concat(name, ' has equipment of no known type: BOX') from w where odd),
+ o as (select *, row_number() over (partition by load_id order by row_no, k) as nth from p),
+ r as (select load_id, count(*) as n_problems, concat(string_agg(problem, '; ' order by nth) filter (nth <= 5), case when count(*) > 5 then concat('; and ', cast(count(*) - 5 as varchar), ' more') else '' end) as message
+  from o group by load_id)"""
+
+
+def _spoiled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Reports with every seventh voyage blank, and so on, so that there is something to reject; and their details."""
     spoil = lambda n, c: F.when(F.col("row_no") % n == 0, None).otherwise(F.col(c))
     rows = report(spark, sf_dir).withColumns({"voyage": spoil(7, "voyage"), "work_date": spoil(11, "work_date"), "reported_at": spoil(13, "reported_at")})
     details = reshape.voyage_details(rows)
     first = (F.col("equipment_name") == "20CH") & (F.col("mode") == "Vessel") & (F.col("direction") == "Import")
     details = details.withColumn("equipment_name", F.when((F.col("row_no") % 17 == 0) & first, "BOX").otherwise(F.col("equipment_name")))
-    return validate.rejected(validate.voyage_problems(rows, details))
+    return rows, details
+
+
+def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.rejected(validate.voyage_problems(*_spoiled(spark, sf_dir)))
 
 
 @query(f"with {_SPOILED} select * from r")
@@ -374,7 +408,7 @@ def load_errors(spark, sf_dir):
 
 @query(
     f"with m as ({_GATE}), o as (select distinct load_id, case when row_no % 501 = 0 then cast(3 + row_no % 5 as int) else gate_type_id end as g from m)"
-    " select load_id, concat('unknown GateTypeId(s): [', string_agg(cast(g as varchar), ', ' order by g), ']') as message from o where g not in (1, 2) group by load_id"
+    " select load_id, concat('gate types that do not exist: ', string_agg(cast(g as varchar), ', ' order by g)) as message from o where g not in (1, 2) group by load_id"
 )
 def validate_gate_types(spark, sf_dir):
     odd = F.when(F.col("row_no") % 501 == 0, (F.col("row_no") % 5 + 3).cast("int")).otherwise(F.col("gate_type_id"))
@@ -407,17 +441,32 @@ def pending_queue(spark, sf_dir):
     return ledger.queue(loads(spark, sf_dir))
 
 
-_OUTCOME = "case when load_status_id = 5 then 'rejected' when load_status_id = 99 then 'error' when load_type_id = 1 then 'processed' else 'skipped' end as outcome"
-
-
-@query(f"with {_LEDGER}, {_QUEUED}, t as (select * from q order by priority, load_id limit 20) select load_id, load_type_id, load_status_id, {_OUTCOME} from t")
+@query(f"with {_LEDGER}, {_QUEUED}, t as (select * from q order by priority, load_id limit 20) select load_id, load_type_id, load_status_id, case load_type_id when 1 then 'processed' else 'skipped' end as outcome from t")
 def process_next(spark, sf_dir):
     return ledger.process_next(loads(spark, sf_dir), 20).select("load_id", "load_type_id", "load_status_id", "outcome")
 
 
-@query(f"with {_LEDGER} select load_id, load_type_id, load_status_id, {_OUTCOME} from loads")
+_ASKED = "a as (select load_id from loads union all select 10 * load_id from loads where load_id % 50 = 0)"
+
+
+def _routed_sql(load_type: int) -> str:
+    done = "load_status_id = 5" if load_type == 1 else "false"
+    return (
+        f"with {_LEDGER}, {_ASKED}, j as (select a.load_id, l.load_id is not null as there, load_type_id, load_status_id, cast(a.load_id as varchar) as no from a left join loads l on l.load_id = a.load_id)"
+        f" select {load_type} as asked_type, load_id, case when not there then 'unknown' when {done} or load_type_id <> {load_type} then 'rejected' else 'processed' end as outcome,"
+        f" cast(case when there and not ({done}) and load_type_id <> {load_type} then 99 else load_status_id end as int) as load_status_id,"
+        f" case when not there then concat('there is no load ', no) when {done} then concat('load ', no, ' is done already') when load_type_id <> {load_type} then concat('load ', no, ' is not of type {load_type}') end as message from j"
+    )
+
+
+@query(f"select * from ({_routed_sql(1)}) union all select * from ({_routed_sql(4)})")
 def pending_routed(spark, sf_dir):
-    return ledger.routed(loads(spark, sf_dir)).select("load_id", "load_type_id", "load_status_id", "outcome")
+    """Every load, and some that are not there, asked for as a vessel report and as gate activity."""
+    known = loads(spark, sf_dir)
+    ids = known.select("load_id")
+    asked = ids.unionAll(ids.where("load_id % 50 = 0").selectExpr("10 * load_id"))
+    parts = [ledger.routed(known, asked, t).select(F.lit(int(t)).alias("asked_type"), "*") for t in (LoadType.VESSEL_REPORT, LoadType.GATE_ACTIVITY)]
+    return parts[0].unionByName(parts[1])
 
 
 @query(f"with {_LEDGER} select count(*) as total, count(*) filter (load_status_id = 99) as failed, count(*) filter (load_status_id <> 99) as imported from loads")
@@ -425,9 +474,81 @@ def import_summary(spark, sf_dir):
     return ledger.summary(loads(spark, sf_dir))
 
 
-@query(f"with {_LEDGER} select load_id, load_status_id, cast(case load_status_id when 99 then 2 else load_status_id end as bigint) as n_steps from loads")
+# ---------------------------------------------------------------- the processing run
+
+#: Vessel reports, gate activity and street use under one ledger: load ids end in the type. Some loads are done, some failed before.
+_RUN_LEDGER = """run_loads as (select load_id, cast(load_id % 10 as int) as load_type_id,
+  cast(case when (load_id // 10) % 11 = 0 then 99 when load_id % 10 = 1 then case (load_id // 10) % 4 when 0 then 2 when 1 then 3 when 2 then 4 else 5 end else case (load_id // 10) % 3 when 0 then 4 else 2 end end as int) as load_status_id
+  from (select cast(load_id as bigint) * 10 + 1 as load_id from gpa_raw union select cast(load_id as bigint) * 10 + 4 from gate_raw union select cast(load_id as bigint) * 10 + 7 from street_raw))"""
+_RUN_SQL = f"""{_SPOILED.replace("row_no % 7 = 0", "row_no % 7 = 0 and load_id % 3 = 0").replace("row_no % 11 = 0", "row_no % 11 = 0 and load_id % 3 = 0").replace("row_no % 13 = 0", "row_no % 13 = 0 and load_id % 3 = 0").replace("row_no % 17 = 0", "row_no % 17 = 0 and load_id % 3 = 0")},
+ {_RUN_LEDGER}, m as ({_GATE}), s as ({_STREET}), odd_gates as (select distinct load_id * 10 + 4 as load_id, cast(3 + row_no % 5 as int) as g from m where row_no % 1501 = 0),
+ bad as (select load_id * 10 + 1 as load_id, message from r
+  union all select load_id, concat('gate types that do not exist: ', string_agg(cast(g as varchar), ', ' order by g)) from odd_gates group by load_id),
+ taken as (select * from run_loads where load_status_id = 2 or load_type_id = 1 and load_status_id in (3, 4)),
+ failed as (select bad.* from bad join taken using (load_id)),
+ run_after as (select l.load_id, l.load_type_id, cast(case when f.load_id is not null then 99 when t.load_id is null then l.load_status_id when l.load_type_id = 1 then 5 else 4 end as int) as load_status_id,
+  case when f.load_id is not null then 1 when t.load_id is null then 0 when l.load_type_id = 1 then 5 - l.load_status_id else 1 end as n_events
+  from run_loads l left join taken t using (load_id) left join failed f using (load_id))"""
+
+
+def _run(spark: SparkSession, sf_dir: str):
+    """The processing run over vessel reports, gate activity and street use, with spoiled rows in a third of the reports."""
+    by = lambda rows, t: rows.withColumn("load_id", F.col("load_id") * 10 + t)
+    third = "(load_id - 1) div 10 % 3 = 0 and row_no"
+    reports_raw = by(raw(spark, sf_dir, "gpa_raw"), 1)
+    spoil = lambda n, c: F.when(F.expr(f"{third} % {n} = 0"), None).otherwise(F.col(c))
+    gates = by(raw(spark, sf_dir, "gate_raw"), 4).withColumn("gate_type", F.when(F.col("row_no") % 1501 == 0, (F.col("row_no") % 5 + 3).cast("string")).otherwise(F.col("gate_type")))
+    streets = by(raw(spark, sf_dir, "street_raw"), 7)
+    day_ids = [load_ids(spark, sf_dir).selectExpr("load_id * 10 + 1 as load_id"), gates.select("load_id").distinct(), streets.select("load_id").distinct()]
+    ids = day_ids[0].unionAll(day_ids[1]).unionAll(day_ids[2])
+    status = F.expr(
+        "case when (load_id div 10) % 11 = 0 then 99 when load_id % 10 = 1 then case (load_id div 10) % 4 when 0 then 2 when 1 then 3 when 2 then 4 else 5 end else case (load_id div 10) % 3 when 0 then 4 else 2 end end"
+    )
+    known = ids.select("load_id", (F.col("load_id") % 10).cast("int").alias("load_type_id"), status.cast("int").alias("load_status_id"))
+    spoiled = reports_raw.withColumns({"voyage": spoil(7, "voyage"), "work_date": spoil(11, "work_date"), "reported": spoil(13, "reported")})
+    typed = reshape.clean_report(spoiled)
+    first = (F.col("equipment_name") == "20CH") & (F.col("mode") == "Vessel") & (F.col("direction") == "Import")
+    details = reshape.voyage_details(typed).withColumn("equipment_name", F.when(F.expr(f"{third} % 17 = 0") & first, "BOX").otherwise(F.col("equipment_name")))
+    voyage_run = process.run_voyages(known, typed, details)
+    run, states = sources.process_loads(voyage_run.loads, {LoadType.GATE_ACTIVITY: gates, LoadType.STREET_USE_DAYS: streets})
+    states["voyages"] = process.voyages(voyage_run, typed)
+    return known, process.Processed(run.loads, voyage_run.events.unionByName(run.events), voyage_run.errors.unionByName(run.errors), voyage_run.good.unionByName(run.good)), states
+
+
+@query(f"with {_RUN_SQL} select a.load_id, a.load_type_id, a.load_status_id, cast(a.n_events as bigint) as n_events, f.message from run_after a left join failed f using (load_id)")
+def process_run(spark, sf_dir):
+    """The ledger after a processing run, with the steps taken and why a load failed."""
+    _, run, _ = _run(spark, sf_dir)
+    counted = run.events.groupBy("load_id").agg(F.count("*").alias("n_events"))
+    return run.loads.join(counted, "load_id", "left").join(run.errors, "load_id", "left").select("load_id", "load_type_id", "load_status_id", F.coalesce("n_events", F.lit(0)).alias("n_events"), "message")
+
+
+@query(f"with {_RUN_SQL} select load_id, load_status_id, cast(n_events + 1 as bigint) as n_steps from run_after")
 def ledger_status(spark, sf_dir):
-    return ledger.current_status(ledger.transitions(loads(spark, sf_dir)))
+    """The status of each load by its events: what it was before the run, and the run's own."""
+    known, run, _ = _run(spark, sf_dir)
+    return ledger.current_status(ledger.opening(known).unionByName(run.events))
+
+
+@query(
+    f"with {_RUN_SQL}, ok as (select load_id // 10 as load_id from run_after where load_type_id = 1 and load_status_id = 5),"
+    " c2 as (select v.* from v join ok using (load_id)), f as (select load_id, lead(load_id) over (order by load_id) as next_file from ok),"
+    " seen as (select voyage, load_id, work_date, reported_at, next_file, lead(load_id) over (partition by voyage order by load_id) as next_seen from c2 join f using (load_id) where voyage is not null)"
+    " select voyage, load_id * 10 + 1 as load_id, work_date, case when next_file is null then 1 when work_date <= cast(reported_at as date) + 1 then 2 when work_date > cast(reported_at as date) + 1 then 3 else 1 end as voyage_status_id"
+    " from seen where next_seen is null"
+)
+def process_run_voyages(spark, sf_dir):
+    """Voyages after the run: rejected reports neither update a voyage nor make one fall off."""
+    return _run(spark, sf_dir)[2]["voyages"]
+
+
+@query(
+    f"with {_RUN_SQL}, x as (select m.*, row_number() over (partition by {_GATE_ID} order by m.load_id desc, row_no desc) as k from m join run_after a on a.load_id = m.load_id * 10 + 4 where a.load_status_id = 4)"
+    f" select {_GATE_ID}, load_id * 10 + 4 as load_id, {_GATE_PAY} from x where k = 1"
+)
+def process_run_gates(spark, sf_dir):
+    """Gate activity after the run, without the loads that name a gate type which does not exist."""
+    return _run(spark, sf_dir)[2]["gate_activity"].drop("row_no")
 
 
 @query(

@@ -1,11 +1,14 @@
-"""Vessel-report files: a folder of CSVs in, one all-or-nothing load per file.
+"""Folders of CSV files: one all-or-nothing load per file.
 
 Each file is read by its own header: files are grouped by header line, and each group is one scan. Every cell is text; columns that
-are not expected are ignored, expected ones that are absent are NULL.
+are not expected are ignored, expected ones that are absent are NULL. A file of no bytes, or of a header alone, is a load without rows.
+A file whose name starts with `_` or `.` is hidden from Spark's readers; it fails with an error row, so that nothing is lost unseen.
 """
 
 from __future__ import annotations
 
+import csv
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,11 +16,18 @@ from pyspark.sql import functions as F
 
 from portflow.functions import clean
 from portflow.operators import ledger
-from portflow.operators.reshape import clean_report
-from portflow.specs import MEASURES, REPORT_TEXT, LoadStatus, LoadType
+from portflow.sources.folders import files_in, shared_dir
+from portflow.sources.registry import SourceSpec, source
+from portflow.specs import REPORT_TEXT, LoadStatus, LoadType
 
-COLUMNS = [*REPORT_TEXT, "work_date", "worktime", *(m[0] for m in MEASURES), "reported"]
-_FILES = r"(?i)^[^~].*\.csv$"
+REPORT = source(LoadType.VESSEL_REPORT)
+COLUMNS = list(REPORT.columns)
+INPUT, _HIDDEN = re.compile(r"(?i)(?!~\$).*\.csv"), re.compile(r"[_.]")
+
+
+def inputs(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Name -> path of a folder's CSV files, lock files (~$...) left out, by name."""
+    return {n: p for n, p in files_in(spark, folder).items() if INPUT.fullmatch(n)}
 
 
 def normal(header: str) -> str:
@@ -25,69 +35,106 @@ def normal(header: str) -> str:
     return header.lstrip("﻿").strip().strip('"').replace(" ", "_").lower()
 
 
-def headers(spark: SparkSession, folder: str) -> dict[str, list[str]]:
-    """Header line -> paths of the files that have it, by name. One line per file reaches the driver."""
-    lines = spark.read.text(folder, recursiveFileLookup=False).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.monotonically_increasing_id().alias("at"))
-    first = lines.where(F.col("name").rlike(_FILES)).groupBy("path", "name").agg(F.min_by("value", "at").alias("header"))
+def headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Header line -> paths that have it, in order. One line per file reaches the driver; files without a line have none."""
+    if not paths:
+        return {}
+    lines = spark.read.text(paths).where("_metadata.file_block_start = 0").select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"))
+    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))
     found: dict[str, list[str]] = {}
-    for r in sorted(first.collect(), key=lambda r: r["name"]):
+    for r in sorted(first.collect(), key=lambda r: r["path"]):
         found.setdefault(r["header"], []).append(r["path"])
     return found
 
 
-def read_folder(spark: SparkSession, folder: str) -> DataFrame:
-    """(source_name, row_no and COLUMNS) as text; row_no follows the order of the file."""
+def read_files(spark: SparkSession, paths: list[str], columns: list[str] = COLUMNS) -> DataFrame:
+    """(source_name, row_no and columns) as text; row_no follows the order of the file."""
     parts = []
-    for header, paths in headers(spark, folder).items():
-        names = [normal(h) for h in header.split(",")]
-        rows = spark.read.csv(paths, header=True, schema=", ".join(f"`_{i}` string" for i in range(len(names))), enforceSchema=True)
+    for header, same in headers(spark, paths).items():
+        names = [normal(h) for h in next(csv.reader([header]), [])]
+        if not any(names):  # a blank first line
+            continue
+        rows = spark.read.csv(same, header=True, schema=", ".join(f"`_{i}` string" for i in range(len(names))), enforceSchema=True)
         place = {n: F.col(f"_{i}") for i, n in enumerate(names)}
         nothing = F.lit(None).cast("string")
-        parts.append(rows.select(F.col("_metadata.file_name").alias("source_name"), F.monotonically_increasing_id().alias("at"), *(place.get(c, nothing).alias(c) for c in COLUMNS)))
+        parts.append(rows.select(F.col("_metadata.file_name").alias("source_name"), F.monotonically_increasing_id().alias("at"), *(place.get(c, nothing).alias(c) for c in columns)))
     if not parts:
-        return spark.createDataFrame([], "source_name string, row_no long, " + ", ".join(f"{c} string" for c in COLUMNS))
+        return spark.createDataFrame([], "source_name string, row_no long, " + ", ".join(f"{c} string" for c in columns))
     every = reduce(DataFrame.unionByName, parts)
     order = Window.partitionBy("source_name").orderBy("at")
     return every.withColumn("row_no", F.row_number().over(order).cast("long")).drop("at")
 
 
-def numbered_loads(names: DataFrame, loads: DataFrame, load_type: int) -> DataFrame:
+def read_folder(spark: SparkSession, folder: str) -> DataFrame:
+    return read_files(spark, [p for n, p in inputs(spark, folder).items() if not _HIDDEN.match(n)])
+
+
+def numbered_loads(names: DataFrame, loads: DataFrame) -> DataFrame:
     """A load id for each name, after the largest there is, in the order of the names."""
     start = loads.agg(F.coalesce(F.max("load_id"), F.lit(0))).first()[0]
     order = F.row_number().over(Window.orderBy("source_name"))  # one row per file
-    return names.select("source_name", (order + start).cast("long").alias("load_id"), F.lit(int(load_type)).alias("load_type_id"))
+    return names.select("source_name", (order + start).cast("long").alias("load_id"))
 
 
-def ingest_folder(spark: SparkSession, folder: str, raw_path: str, loads: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Lands a folder: (outcome per file, new ledger rows, error rows).
+def numbers_in_names(names: DataFrame, loads: DataFrame) -> DataFrame:
+    """The number that ends each name as its load id, so that files that come late sort where they belong. No number, no id."""
+    number = F.expr(r"try_cast(nullif(regexp_extract(source_name, '([0-9]+)[.][a-zA-Z]+$', 1), '') as long)")
+    return names.select("source_name", number.alias("load_id"))
+
+
+def ingest_files(spark: SparkSession, files: dict[str, str], raw_path: str, loads: DataFrame, spec: SourceSpec = REPORT, ids=numbered_loads) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lands files (name -> path): (outcome per file, new ledger rows, error rows).
 
     Raw rows are written first, one partition per load, then the caller appends the ledger rows: readers take only loads in
-    the ledger, so a load that was cut off half-way is not seen and is overwritten by its next try.
+    the ledger, so a load that was cut off half-way is not seen and is overwritten by its next try. A load id that the ledger
+    has for another name, or that two of the files claim, fails.
     """
-    raw = read_folder(spark, folder)
-    # a file without rows is a load too
-    names = spark.createDataFrame([(p.rsplit("/", 1)[-1],) for ps in headers(spark, folder).values() for p in ps], "source_name string")
-    ids = numbered_loads(names, loads, LoadType.VESSEL_REPORT)
-    typed = clean_report(raw.join(F.broadcast(ids), "source_name"))  # one row per file
+    shared_dir(spark)
+    names = spark.createDataFrame([(n, bool(_HIDDEN.match(n))) for n in files] or [], "source_name string, hidden boolean")
+    load_ids = ids(names, loads)
+    claimed = loads.where(F.col("load_status_id") != int(LoadStatus.ERROR)).select("load_id", F.col("source_name").alias("holder"))
+    twice = F.count("*").over(Window.partitionBy("load_id")) > 1  # one row per file
+    load_ids = load_ids.withColumn("twice", F.col("load_id").isNotNull() & twice).join(claimed, "load_id", "left")
+    refused = (
+        F.when(F.col("hidden"), "a hidden name, which can't be read")
+        .when(F.col("load_id").isNull(), "no number in the name")
+        .when(F.col("twice") | (F.col("holder").isNotNull() & (F.col("holder") != F.col("source_name"))), "its number belongs to another file")
+    )
+    named = names.join(load_ids, "source_name").withColumn("refused", refused)
+    raw = read_files(spark, [p for n, p in files.items() if not _HIDDEN.match(n)], list(spec.columns))
+    typed = spec.shape(raw.join(F.broadcast(named.where("refused is null").select("source_name", "load_id")), "source_name"))  # one row per file
     counts = typed.groupBy("load_id").agg(F.count("*").alias("n_rows"), F.sum(F.least("bad_cells", F.lit(1))).alias("n_bad"))
-    files = ids.join(counts, "load_id", "left").select("load_id", "source_name", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("n_bad", F.lit(0)).alias("n_bad"))
-    outcome = ledger.ingest_outcome(files, loads).join(ids, "source_name")
-    good = outcome.where("outcome = 'ingested'").select("load_id")
-    land(typed.join(F.broadcast(good), "load_id"), raw_path)
+    sized = named.join(counts, "load_id", "left").select("source_name", "load_id", "refused", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("n_bad", F.lit(0)).alias("n_bad"))
+    outcome = ledger.ingest_outcome(sized, loads).join(sized.select("source_name", "load_id", "refused"), "source_name")
+    outcome = outcome.withColumn("outcome", F.when(F.col("refused").isNotNull() & (F.col("outcome") != "skipped"), "failed").otherwise(F.col("outcome"))).checkpoint()
+    land(typed.join(F.broadcast(outcome.where("outcome = 'ingested'").select("load_id")), "load_id"), raw_path)
     status = F.when(F.col("outcome") == "ingested", int(LoadStatus.INGESTED)).otherwise(int(LoadStatus.ERROR))
-    new = outcome.where("outcome <> 'skipped'").select("load_id", "source_name", F.current_timestamp().alias("date_loaded"), "load_type_id", status.alias("load_status_id"))
+    new = outcome.where("outcome <> 'skipped'").select("load_id", "source_name", F.current_timestamp().alias("date_loaded"), F.lit(int(spec.load_type)).alias("load_type_id"), status.alias("load_status_id"))
+    why = F.coalesce("refused", F.concat(F.col("n_bad").cast("string"), F.lit(" unreadable rows")))
     errors = outcome.where("outcome = 'failed'").select(
-        F.concat(F.col("source_name"), F.lit(": "), F.col("n_bad").cast("string"), F.lit(" unreadable rows")).alias("error_message"),
-        F.lit("ingest_folder").alias("error_procedure"), F.current_timestamp().alias("error_datetime"),
-    )
+        F.concat(F.col("source_name"), F.lit(": "), why).alias("error_message"), F.lit("ingest_files").alias("error_procedure"), F.current_timestamp().alias("error_datetime")
+    )
     return outcome.select("source_name", "load_id", "n_rows", "n_bad", "outcome"), new, errors
 
 
+def ingest_folder(spark: SparkSession, folder: str, raw_path: str, loads: DataFrame, spec: SourceSpec = REPORT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lands what a folder holds, as ingest_files does."""
+    return ingest_files(spark, inputs(spark, folder), raw_path, loads, spec)
+
+
 def land(rows: DataFrame, path: str) -> None:
     """Overwrites the loads that rows hold, and no other."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(path)
 
 
+def append(rows: DataFrame, path: str, batch: int | None = None) -> None:
+    """Adds rows to a log, be it of loads or of errors. A batch that is tried again replaces its own rows."""
+    if batch is None:
+        rows.write.mode("append").parquet(path)
+    else:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
 def scan(spark: SparkSession, path: str, load_ids: list[int]) -> DataFrame:
     """Rows of some loads: partitions of other loads are not read."""
     return spark.read.parquet(path).where(F.col("load_id").isin(load_ids))

@@ -34,7 +34,7 @@ class VoyageStatus(IntEnum):
     ERROR = 4
 
 
-#: id, name, external table, search column, id column, filter, notify flag
+#: Id, name, external table, search column, id column, filter, notify flag
 FIELD_TYPES = (
     (1, "Equipment Type", "part", "p_type", "p_partkey", None, True),
     (2, "Vessel", None, None, None, None, False),
@@ -45,13 +45,14 @@ FIELD_TYPES = (
     (7, "Destination Port", None, None, None, None, False),
     (8, "Trucker", "supplier", "s_name", "s_suppkey", "s_acctbal > 0", True),
 )
+#: Ids of types and codes.
 EQUIPMENT, OCEAN_CARRIER, LOCATION, TRUCKER = 1, 3, 5, 8
 MODES = {"Vessel": 1, "Rail": 2, "Truck": 3}
 DIRECTIONS = {"Import": 1, "Export": 2}
 GATE_TYPES = {1: "In Gate", 2: "Out Gate"}
 EQUIPMENT_TYPES = {"20CH": 1, "40CH": 2, "45CH": 3}
 
-#: column, equipment, direction, mode, loaded flag
+#: Column, equipment, direction, mode, loaded flag
 MEASURES = (
     ("im_full20", "20CH", "Import", "Vessel", 1),
     ("im_full40", "40CH", "Import", "Vessel", 1),
@@ -63,7 +64,7 @@ MEASURES = (
     ("rail_im20", "20CH", "Import", "Rail", 0),
     ("rail_im40", "40CH", "Import", "Rail", 0),
 )
-#: column, field type
+#: Column, field type
 FIELDS = (("vessel", 2), ("line", 3), ("service", 4), ("terminal", 5), ("from_port", 6), ("to_port", 7))
 REPORT_TEXT = ("terminal", "vessel", "voyage", "line", "service", "from_port", "to_port")
 CANCELED_AFTER_DAYS = 1
@@ -79,6 +80,7 @@ class FactSpec:
     dated: str = "date"
 
 
+#: The columns of the four facts.
 GATE = FactSpec(
     ("date", "trucker_name", "equip_code", "equip_length", "length_match_id", "ocean_carrier_name", "gate_type_id", "bare_chassis_flag", "container_loaded_flag", "location_name"),
     ("units", "transactions"),

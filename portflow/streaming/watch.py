@@ -2,48 +2,63 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from portflow.operators.reshape import clean_report
-from portflow.operators.versions import upsert
-from portflow.sources.reports import COLUMNS, land
-from portflow.specs import FactSpec
+from portflow.operators.versions import collapse
+from portflow.sources.folders import shared_dir
+from portflow.sources.reports import INPUT, append, ingest_files, numbers_in_names
+from portflow.sources.registry import SourceSpec, source
+from portflow.specs import FactSpec, LoadType
 
-_NAME = r"^.*?([0-9]+)\.csv$"
+LOADS = "load_id long, source_name string, date_loaded timestamp, load_type_id int, load_status_id int"
+ERRORS = "error_message string, error_procedure string, error_datetime timestamp"
+_FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
-def reports(spark: SparkSession, folder: str) -> DataFrame:
-    """Files as a stream of text rows. The load id is the number in the file's name, so that late files sort where they belong.
+def logged(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
+    """The rows of a log, those of earlier batches only if `before` is given; none if there is no log yet."""
+    try:
+        rows = spark.read.schema(f"{schema}, batch long").option("basePath", path).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], f"{schema}, batch long")
+    return (rows if before is None else rows.where(F.col("batch") < before)).drop("batch")
 
-    The stream's checkpoint knows the files it has seen. All files have COLUMNS as their header, in this order.
-    """
-    schema = ", ".join(f"{c} string" for c in COLUMNS)
-    rows = spark.readStream.schema(schema).option("header", True).option("pathGlobFilter", "*.csv").csv(folder)
-    name = F.col("_metadata.file_name")
-    return rows.select("*", name.alias("source_name"), F.regexp_extract(name, _NAME, 1).cast("long").alias("load_id"), F.col("_metadata.file_block_start").alias("block"))
 
+def watch(spark: SparkSession, folder: str, home: str, checkpoint: str, spec: SourceSpec | None = None) -> StreamingQuery:
+    """Lands what is new and stops: rows in home/raw, ledger rows in home/loads, error rows in home/errors.
+
+    The stream is one of files, of which only the paths are read; each micro-batch reads its files by their own headers. The
+    stream's checkpoint knows the files it has seen, and the ledger their names: a name that has not failed is not loaded again.
+    The load id is the number in the file's name. A batch that is tried again overwrites its own loads, ledger and error rows.
+    """
+    spec = spec or source(LoadType.VESSEL_REPORT)
+    shared_dir(spark)
 
-def watch(spark: SparkSession, folder: str, raw_path: str, checkpoint: str) -> StreamingQuery:
-    """Lands what is new and stops. A batch that is tried again overwrites its own loads."""
+    def batch(files: DataFrame, n: int) -> None:
+        found = {r["path"].rsplit("/", 1)[1]: r["path"] for r in files.select("path").collect()}  # one path per file
+        found = {n: p for n, p in found.items() if INPUT.fullmatch(n)}
+        loads = logged(spark, f"{home}/loads", LOADS, n)
+        _, new, errors = ingest_files(spark, dict(sorted(found.items())), f"{home}/raw", loads, spec, numbers_in_names)
+        append(errors, f"{home}/errors", n)
+        append(new, f"{home}/loads", n)
 
-    def batch(rows: DataFrame, _: int) -> None:
-        numbered = rows.withColumn("row_no", F.monotonically_increasing_id())
-        typed = clean_report(numbered)
-        bad = typed.where("bad_cells > 0").select("load_id").distinct()
-        land(typed.join(bad, "load_id", "left_anti"), raw_path)
+    files = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", "*.[cC][sS][vV]").load(folder).select("path")
+    return files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    return reports(spark, folder).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
+def keep_versions(rows: DataFrame, spec: FactSpec, path: str, checkpoint: str) -> StreamingQuery:
+    """A stream of fact rows kept as a log of versions: each micro-batch adds its own and touches no other.
 
-def keep_current(rows: DataFrame, spec: FactSpec, path: str, checkpoint: str) -> StreamingQuery:
-    """A stream of fact rows kept as their current state: each micro-batch is merged with the state before it, into a folder of its own."""
-    spark = rows.sparkSession
+    `versions.current` and `versions.history` of the log are the state, whatever the order in which batches came.
+    """
+    columns = [*spec.identity, "load_id", "row_no", *spec.payload]
 
     def batch(new: DataFrame, n: int) -> None:
-        columns = [*spec.identity, "load_id", "row_no", *spec.payload]
-        before = spark.read.parquet(f"{path}/state={n - 1}") if n else new.select(*columns).limit(0)
-        upsert(before, new, spec).write.mode("overwrite").parquet(f"{path}/state={n}")
+        append(collapse(new, spec).select(*columns), path, n)
 
     return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

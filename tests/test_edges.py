@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from portflow.functions import clean
 from portflow.operators import dims, ledger, reshape, validate, versions, voyage
+from portflow.sources.registry import errors_of, process_loads, source
 from portflow.specs import GATE, MEASURES, REPORT_TEXT, STREET_USE, FactSpec
 
 REPORT = "load_id long, row_no long, voyage string, work_date date, worktime string, reported_at timestamp"
@@ -120,19 +121,107 @@ def test_external_ids(spark):
 
 def test_validation(spark):
     df = report(spark, [(1, 0, None, "2026-01-01", None), (2, 0, "A", "2026-01-01", "2026-01-01T00:00:00"), (3, 0, "B", "2026-01-01", "2026-01-01T00:00:00"), (3, 1, "B", "2026-01-01", "2026-01-01T00:00:00")])
-    details = spark.createDataFrame([(2, 0, "A", "BOX")], "load_id long, row_no long, voyage string, equipment_name string")
+    details = spark.createDataFrame([(2, 0, "A", "BOX")], "load_id long, row_no long, voyage string, equipment_name string").withColumns({"mode": F.lit("Vessel"), "direction": F.lit("Import")})
     got = {r.load_id: r.message for r in validate.rejected(validate.voyage_problems(df, details)).collect()}
-    assert got == {1: "row 0: blank VOYAGE; voyage row 0: blank or unreadable REPORTED", 2: "voyage A: unknown equipment type 'BOX'", 3: "voyage B: repeated"}
+    assert got == {1: "voyage in row 0 has no number; voyage in row 0 has no readable REPORTED", 2: "voyage A has equipment of no known type: BOX", 3: "voyage B comes more than once"}
     gates = spark.createDataFrame([(1, 9), (1, 3), (1, 1), (2, None)], "load_id long, gate_type_id int")
-    assert [tuple(r) for r in validate.unknown_gate_types(gates).collect()] == [(1, "unknown GateTypeId(s): [3, 9]")]
+    assert [tuple(r) for r in validate.unknown_gate_types(gates).collect()] == [(1, "gate types that do not exist: 3, 9")]
+
+
+def test_a_message_tells_the_first_problems_and_how_many_more(spark):
+    df = report(spark, [(1, k, None, "2026-01-01", "2026-01-01T00:00:00") for k in range(40)])
+    details = reshape.voyage_details(df.select("*", *(F.lit(0).alias(m[0]) for m in MEASURES)))
+    got = validate.rejected(validate.voyage_problems(df, details)).collect()
+    assert [(r.n_problems, r.message) for r in got] == [(40, "; ".join(f"voyage in row {k} has no number" for k in range(5)) + "; and 35 more")]
+    assert validate.voyage_problems(df, details).count() == 40
+
+
+def test_unknown_codes_are_told(spark):
+    df = report(spark, [(1, 1, "A", "2026-01-01", "2026-01-01T00:00:00")])
+    details = spark.createDataFrame([(1, 1, "A", None, "Import", "Barge", True, 5), (1, 1, "A", None, None, "Rail", True, 5)], "load_id long, row_no long, voyage string, equipment_name string, direction string, mode string, loaded boolean, containers int")
+    assert {r.name for r in reshape.unknown_codes(details).collect()} == {"mode Barge", "direction NULL"}
+    assert validate.rejected(validate.voyage_problems(df, details)).first().message == "voyage A has an unknown direction NULL; voyage A has an unknown mode Barge"
+
+
+LOADS = "load_id long, source_name string, load_type_id int, load_status_id int"
 
 
 def test_ledger(spark):
-    loads = spark.createDataFrame([(1, "a", 1, 99), (2, "a", 1, 2), (3, "b", 4, 4), (4, "c", 1, 3), (5, "d", 1, None)], "load_id long, source_name string, load_type_id int, load_status_id int")
+    loads = spark.createDataFrame([(1, "a", 1, 99), (2, "a", 1, 2), (3, "b", 4, 4), (4, "c", 1, 3), (5, "d", 1, None), (6, "e", 1, 5)], LOADS)
     assert [r.load_id for r in ledger.queue(loads).collect()] == [3, 4, 2]
     assert {r.load_id: r.outcome for r in ledger.process_next(loads, 2).collect()} == {3: "skipped", 4: "processed"}
-    assert {r.source_name: r.load_id for r in ledger.earliest_by_name(loads).collect()} == {"a": 2, "b": 3, "c": 4}
-    assert {r.load_id: r.load_status_id for r in ledger.current_status(ledger.transitions(loads.where("load_status_id is not null"))).collect()} == {1: 99, 2: 2, 3: 4, 4: 3}
+    assert {r.source_name: r.load_id for r in ledger.earliest_by_name(loads).collect()} == {"a": 2, "b": 3, "c": 4, "e": 6}
+    asked = spark.createDataFrame([(k,) for k in (1, 2, 3, 6, 77)], "load_id long")
+    got = {r.load_id: (r.outcome, r.load_status_id, r.message) for r in ledger.routed(loads, asked).collect()}
+    assert got == {1: ("processed", 99, None), 2: ("processed", 2, None), 3: ("rejected", 99, "load 3 is not of type 1"), 6: ("rejected", 5, "load 6 is done already"), 77: ("unknown", None, "there is no load 77")}
+
+
+def test_steps(spark):
+    """From where a load stopped; other types from ingested to details; failures to failed."""
+    loads = spark.createDataFrame([(1, 1, 2), (2, 1, 3), (3, 1, 4), (4, 4, 2), (5, 7, 2), (6, 1, 2)], "load_id long, load_type_id int, load_status_id int")
+    rejects = spark.createDataFrame([(5, "x"), (6, "y")], "load_id long, message string")
+    events = ledger.steps(loads, rejects)
+    path = {}
+    for r in events.orderBy("load_id", "seq").collect():
+        path.setdefault(r.load_id, []).append(r.status)
+    assert path == {1: [3, 4, 5], 2: [4, 5], 3: [5], 4: [4], 5: [99], 6: [99]}
+    assert {r.load_id: r.load_status_id for r in ledger.current_status(ledger.opening(loads).unionByName(events)).collect()} == {1: 5, 2: 5, 3: 5, 4: 4, 5: 99, 6: 99}
+
+
+def raw_report(spark, rows):
+    """rows: (load_id, row_no, voyage, work_date, reported, im_full20)"""
+    columns = ["load_id", "row_no", *source(1).columns]
+    schema = "load_id long, row_no long, " + ", ".join(f"{c} string" for c in source(1).columns)
+    cells = [dict(zip(("load_id", "row_no", "voyage", "work_date", "reported", "im_full20"), r, strict=True)) for r in rows]
+    return spark.createDataFrame([tuple(c.get(x) for x in columns) for c in cells], schema)
+
+
+def test_a_rejected_file_changes_nothing(spark):
+    """The middle one of three files is bad: it updates no voyage, and drops none from the report."""
+    rows = [(1, 1, "A", "20260704", "07032026", "5"), (1, 2, "B", "20260704", "07032026", "2"), (2, 1, "A", "20260709", "07082026", "7"), (2, 2, None, "20260709", "07082026", None), (3, 1, "A", "20260711", "07102026", "9")]
+    loads = spark.createDataFrame([(k, 1, 2) for k in (1, 2, 3)] + [(4, 2, 2)], "load_id long, load_type_id int, load_status_id int")
+    run, states = process_loads(loads, {1: raw_report(spark, rows)})
+    assert {r.load_id: r.load_status_id for r in run.loads.collect()} == {1: 5, 2: 99, 3: 5, 4: 2}
+    assert [tuple(r) for r in run.errors.collect()] == [(2, "voyage in row 2 has no number")]
+    assert {r.voyage: (r.load_id, r.voyage_status_id) for r in states["voyages"].collect()} == {"A": (3, 1), "B": (1, 2)}
+    line = voyage.status_timeline(reshape.clean_report(raw_report(spark, rows)).join(run.good, "load_id"), voyage.follow(run.good))
+    assert {(r.voyage, r.valid_from, r.valid_to) for r in line.where("voyage = 'B'").collect()} == {("B", 1, 3), ("B", 3, None)}
+    assert {(r.voyage, r.containers) for r in states["details"].collect()} == {("A", 9), ("B", 2)}
+    assert [r.error_message for r in errors_of(run).collect()] == ["voyage in row 2 has no number"]
+    again, states = process_loads(run.loads, {1: raw_report(spark, rows)})  # nothing is pending any more
+    assert again.events.count() == again.errors.count() == 0
+    assert {r.voyage: (r.load_id, r.voyage_status_id) for r in states["voyages"].collect()} == {"A": (3, 1), "B": (1, 2)}
+
+
+def test_an_empty_file_drops_voyages_and_a_bad_one_does_not(spark):
+    rows = [(1, 1, "A", "20260704", "07032026", "5"), (2, 1, "A", "2026-07", "07082026", None)]
+    loads = spark.createDataFrame([(k, 1, 2) for k in (1, 2)], "load_id long, load_type_id int, load_status_id int")
+    assert process_loads(loads, {1: raw_report(spark, rows)})[1]["voyages"].first().voyage_status_id == 1
+    assert process_loads(loads, {1: raw_report(spark, rows[:1])})[1]["voyages"].first().voyage_status_id == 2
+
+
+def test_gates_of_unknown_type_reject_their_load(spark):
+    columns = "load_id long, row_no long, date string, trucker_name string, equip_code string, equip_length int, length_match_id int, ocean_carrier_name string, gate_type string, bare_chassis_flag boolean, container_loaded_flag boolean, location_name string, units int, transactions int"
+    row = lambda load, n, gate: (load, n, "d", " T ", "E", 40, 1, None, gate, True, True, "L", n, 1)
+    raw = spark.createDataFrame([row(1, 1, "1"), row(1, 2, " 1 "), row(2, 3, "9"), row(2, 4, "1"), row(3, 5, "in"), row(4, 6, " ")], columns)
+    loads = spark.createDataFrame([(k, 4, 2) for k in (1, 2, 3, 4)], "load_id long, load_type_id int, load_status_id int")
+    run, states = process_loads(loads, {4: raw})
+    assert {r.load_id: r.load_status_id for r in run.loads.collect()} == {1: 4, 2: 99, 3: 99, 4: 4}
+    assert {r.load_id: r.message for r in run.errors.collect()} == {2: "gate types that do not exist: 9", 3: "1 rows have unreadable cells"}
+    assert {(r.load_id, r.gate_type_id, r.units) for r in states["gate_activity"].collect()} == {(1, 1, 2), (4, None, 6)}
+
+
+def test_unknown_source():
+    with pytest.raises(KeyError, match="load type 2"):
+        source(2)
+
+
+def test_value_ids_are_stable(spark):
+    names = spark.createDataFrame([(5, "a"), (1, "a"), (5, "b")], "field_type_id int, value string")
+    first = dims.find_or_create_values(None, names)
+    ids = {r.value: r.id for r in first.collect()}
+    after = {r.value: r.id for r in dims.find_or_create_values(first, names.unionAll(spark.createDataFrame([(5, "c")], names.schema))).collect()}
+    assert sorted(ids.values()) == [1, 2] and after == ids | {"c": 3}
 
 
 def test_specs_agree():

@@ -1,4 +1,4 @@
-from portflow.operators import voyage
+from portflow.operators import versions, voyage
 from portflow.sources import reports
 from portflow.specs import FactSpec
 from portflow.streaming import watch
@@ -40,23 +40,73 @@ def test_folder(spark, tmp_path):
     assert spark.read.parquet(raw).count() == 3
 
 
+def test_odd_files(spark, tmp_path):
+    """No bytes, hidden names, one tilde, a time that is none, a quoted header."""
+    src = tmp_path / "in"
+    src.mkdir()
+    put(src, "zero.csv", "")
+    put(src, "_u.csv", f"{HEAD}\n")
+    put(src, ".h.csv", f"{HEAD}\n")
+    put(src, "~x.csv", "VOYAGE,REPORTED,WORK_DATE\nV1,071020261348,20260711\n")
+    put(src, "time.csv", "VOYAGE,WORKTIME\nV2,99xx\n")
+    put(src, "quoted.csv", '"VOYAGE","A, B","FROM PORT"\nV3,"x, y",O\n')
+    outcome, new, errors = reports.ingest_folder(spark, str(src), str(tmp_path / "raw"), spark.createDataFrame([], LOADS))
+    assert {r.source_name: (r.outcome, r.n_rows, r.n_bad) for r in outcome.collect()} == {
+        "zero.csv": ("ingested", 0, 0), "_u.csv": ("failed", 0, 0), ".h.csv": ("failed", 0, 0), "~x.csv": ("ingested", 1, 0), "time.csv": ("failed", 1, 1), "quoted.csv": ("ingested", 1, 0)
+    }
+    assert {r.error_message for r in errors.collect()} == {"_u.csv: a hidden name, which can't be read", ".h.csv: a hidden name, which can't be read", "time.csv: 1 unreadable rows"}
+    assert {(r.voyage, r.from_port) for r in spark.read.parquet(str(tmp_path / "raw")).collect()} == {("V1", None), ("V3", "O")}
+    assert new.count() == 6
+
+
+def test_scan_prunes_partitions(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    reports.land(spark.createDataFrame([(k, "x") for k in range(5)], "load_id long, voyage string"), raw)
+    rows = reports.scan(spark, raw, [3])
+    plan = rows._jdf.queryExecution().toString()
+    assert rows.count() == 1 and "PartitionFilters: [isnotnull(load_id" in plan
+
+
 def test_stream_equals_batch(spark, tmp_path):
-    src, raw = tmp_path / "in", str(tmp_path / "raw")
+    """Reordered headers, bad files, late files, files sent again: as in one batch over all of them."""
+    src, home = tmp_path / "in", str(tmp_path / "home")
     src.mkdir()
     head = ",".join(reports.COLUMNS)
 
-    def row(v):
-        cells = {"voyage": v, "work_date": "20250704", "reported": "07032025"}
-        return ",".join(cells.get(c, "") for c in reports.COLUMNS)
+    def row(v, order=reports.COLUMNS, **more):
+        cells = {"voyage": v, "work_date": "20250704", "reported": "07032025"} | more
+        return ",".join(cells.get(c, "") for c in order)
+
+    def run():
+        watch.watch(spark, str(src), home, str(tmp_path / "cp")).awaitTermination()
 
     put(src, "r3.csv", f"{head}\n{row('A')}\n")
-    watch.watch(spark, str(src), raw, str(tmp_path / "cp")).awaitTermination()
-    put(src, "r1.csv", f"{head}\n{row('A')}\n{row('B')}\n")  # late
-    watch.watch(spark, str(src), raw, str(tmp_path / "cp")).awaitTermination()
-    rows = spark.read.parquet(raw)
-    assert {(r.load_id, r.voyage) for r in rows.select("load_id", "voyage").collect()} == {(3, "A"), (1, "A"), (1, "B")}
-    got = {r.voyage: r.voyage_status_id for r in voyage.status_current(rows, voyage.files_of(rows)).collect()}
-    assert got == {"A": 1, "B": 2}
+    run()
+    back = reports.COLUMNS[::-1]
+    put(src, "r1.csv", f"{','.join(back).upper()}\n{row('A', back)}\n{row('B', back)}\n")  # late, in another order
+    put(src, "r2.csv", f"{head}\n{row('C')}\n{row('D', im_full20='five')}\n")  # bad
+    put(src, "r4.csv", f"{head}\n")
+    put(src, "none.csv", f"{head}\n")
+    put(src, "x3.csv", f"{head}\n{row('E')}\n")  # claims a number that is taken
+    run()
+    loads = watch.logged(spark, f"{home}/loads", watch.LOADS)
+    assert {(r.source_name, r.load_id, r.load_status_id) for r in loads.collect()} == {("r3.csv", 3, 2), ("r1.csv", 1, 2), ("r2.csv", 2, 99), ("r4.csv", 4, 2), ("none.csv", None, 99), ("x3.csv", 3, 99)}
+    assert {r.error_message for r in watch.logged(spark, f"{home}/errors", watch.ERRORS).collect()} == {"r2.csv: 1 unreadable rows", "none.csv: no number in the name", "x3.csv: its number belongs to another file"}
+    rows = reports.landed(spark, f"{home}/raw", loads)
+    assert {(r.load_id, r.row_no, r.voyage) for r in rows.select("load_id", "row_no", "voyage").collect()} == {(3, 1, "A"), (1, 1, "A"), (1, 2, "B")}
+    good = loads.where("load_status_id = 2").select("load_id")
+    got = {r.voyage: r.voyage_status_id for r in voyage.status_current(rows, voyage.follow(good)).collect()}
+    assert got == {"A": 2, "B": 2}  # r4.csv is a file without rows
+    # in one batch
+    outcome, new, _ = reports.ingest_files(spark, reports.inputs(spark, str(src)), str(tmp_path / "batch"), spark.createDataFrame([], LOADS), ids=reports.numbers_in_names)
+    assert {r.source_name for r in outcome.where("outcome = 'ingested'").collect()} == {"r1.csv", "r4.csv"}  # r3 and x3 claim one number at once
+    # the second batch again, as after a driver lost before its checkpoint
+    before = sorted(map(str, loads.drop("date_loaded").collect())), rows.count()
+    for f in (tmp_path / "cp/commits").glob("*1*"):
+        f.unlink()
+    run()
+    loads = watch.logged(spark, f"{home}/loads", watch.LOADS)
+    assert (sorted(map(str, loads.drop("date_loaded").collect())), reports.landed(spark, f"{home}/raw", loads).count()) == before
 
 
 def test_stream_of_facts(spark, tmp_path):
@@ -64,7 +114,9 @@ def test_stream_of_facts(spark, tmp_path):
     schema = "load_id long, row_no long, date string, name string, units int"
     spark.createDataFrame([(2, 1, "d", None, 2)], schema).write.parquet(str(tmp_path / "in/a"))
     stream = lambda: spark.readStream.schema(schema).parquet(str(tmp_path / "in/*"))
-    watch.keep_current(stream(), spec, str(tmp_path / "s"), str(tmp_path / "cp")).awaitTermination()
+    watch.keep_versions(stream(), spec, str(tmp_path / "s"), str(tmp_path / "cp")).awaitTermination()
     spark.createDataFrame([(1, 1, "d", None, 1), (1, 2, "d", "x", 5)], schema).write.parquet(str(tmp_path / "in/b"))
-    watch.keep_current(stream(), spec, str(tmp_path / "s"), str(tmp_path / "cp")).awaitTermination()
-    assert {(r.name, r.units) for r in spark.read.parquet(str(tmp_path / "s/state=1")).collect()} == {(None, 2), ("x", 5)}
+    watch.keep_versions(stream(), spec, str(tmp_path / "s"), str(tmp_path / "cp")).awaitTermination()
+    log = watch.logged(spark, str(tmp_path / "s"), schema)
+    assert {(r.name, r.units) for r in versions.current(log, spec).collect()} == {(None, 2), ("x", 5)}
+    assert [(r.valid_from, r.valid_to, r.units) for r in versions.history(log, spec).collect()] == [(1, 2, 1)]
