@@ -1,33 +1,36 @@
-"""Near-duplicates by the similarity of word shingles.
+"""Sets of word shingles for near-duplicates: what operator 6 takes where texts are to be similar, not fingerprints near.
 
 A text is the set of its shingles of SHINGLE words (one shorter shingle, if it has fewer words; none, if it has no words).
-Two texts are near if the Jaccard similarity of their sets is SIMILARITY at least. Candidates are texts that share a
-band of ROWS MinHashes, of BANDS; each is verified on the sets themselves, so nothing less similar is ever linked. A
-pair at the least similarity shares a band with probability 1 - (1 - 0.8^5)^16 = 0.998, a nearer one with more.
-
-Equal sets are one from the start. The sets of a band's bucket are held against its first one and their NEXT followers
-in order of digest, so that a bucket yields no more than NEXT + 1 pairs a set, whatever its size: up to NEXT + 2 sets
-that is all pairs, in larger buckets a link may come by way of others only.
+Two texts are near if the Jaccard similarity of their sets is SIMILARITY at least. At that similarity two fingerprints are
+about ten bits apart, out of reach of any grid, so that candidates also come from MinHash: texts that share a band of ROWS
+minima, of BANDS. A pair at the least similarity shares a band with probability 1 - (1 - 0.8^5)^16 = 0.998, a nearer one
+with more. Every candidate is verified on the sets themselves, so nothing less similar is ever linked.
+
+A band's bucket is in order of the other bands, so that the most similar sets are neighbours, and in PARTS by the next band,
+so that no task has a whole bucket. Each set is held against the first one and the NEXT following ones of its part, and the
+first ones of the parts likewise against each other: up to NEXT + 2 sets that is all pairs, in larger buckets a link may
+come by way of others or another band only. Equal sets are one from the start.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from portflow.llm.shared import components, text_of, written
+from portflow.llm.shared import text_of, written
 
 SHINGLE, SIMILARITY, SEED = 5, 0.8, 42
-BANDS, ROWS, NEXT = 16, 5, 8
+BANDS, ROWS, NEXT, PARTS = 16, 5, 8, 64
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shingle_set(text: bytes) -> np.ndarray:
-    """Hashes of the distinct shingles, sorted."""
+def shingle_hashes(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """The hash of every shingle in order, repeats included."""
     from xxhash import xxh64_intdigest
 
     words = text.lower().split()
@@ -35,9 +38,9 @@ def shingle_set(text: bytes) -> np.ndarray:
         return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    n = max(1, len(words) - SHINGLE + 1)
+    n = max(1, len(words) - shingle + 1)
     first, last = [0, *(ends[: n - 1] + 1).tolist()], ends[-n:].tolist()
-    return np.unique(np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in zip(first, last, strict=True)), np.uint64, n))
+    return np.fromiter((xxh64_intdigest(joined[a:b], seed) for a, b in zip(first, last, strict=True)), np.uint64, n)
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -46,7 +49,7 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
 
 
-def _bands(hashes: np.ndarray) -> list[int]:
+def bands_of(hashes: np.ndarray) -> list[int]:
     least = np.full(BANDS * ROWS, ~np.uint64(0))
     for at in range(0, len(hashes), 512):
         np.minimum(least, (hashes[at : at + 512, None] * _FACTORS).min(axis=0), out=least)
@@ -57,33 +60,29 @@ def _bands(hashes: np.ndarray) -> list[int]:
     return keys.view(np.int64).tolist()
 
 
-def sketches(rows: DataFrame) -> DataFrame:
-    """rows (row, text) as (row, digest, bands); equal sets have equal digests."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
-
-        for batch in batches:
-            sets = [shingle_set(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            digest = np.fromiter((xxh64_intdigest(s.tobytes(), SEED) for s in sets), np.uint64, len(sets)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(digest), pa.array([_bands(s) for s in sets], pa.list_(pa.int64()))], ["row", "digest", "bands"])
-
-    return rows.select("row", text_of().alias("text")).mapInArrow(run, "row long, digest long, bands array<long>")
+def _neighbours(members: DataFrame, by: list[str]) -> DataFrame:
+    """Pairs (a, b) of each member with the first and the NEXT following ones of its group."""
+    group = Window.partitionBy(*by).orderBy("m")
+    near = F.array(F.first("m").over(group), *(F.lead("m", k).over(group) for k in range(1, NEXT + 1)))
+    pairs = members.select("m", near.alias("near")).select("m", F.explode("near").alias("o")).where("o is not null and o.digest <> m.digest")
+    return pairs.select(F.struct("m.digest", "m.row").alias("m"), F.struct("o.digest", "o.row").alias("o"))
 
 
-def candidates(sketched: DataFrame) -> DataFrame:
-    """Pairs (u, u_row, v, v_row) of digests that share a band, each with a row that has it."""
-    sets = sketched.groupBy("digest").agg(F.min_by("bands", "row").alias("bands"), F.min("row").alias("row"))
-    members = sets.select(F.struct("digest", "row").alias("m"), F.posexplode("bands").alias("band", "key"))
-    bucket = Window.partitionBy("band", "key").orderBy("m.digest")
-    near = F.array(F.first("m").over(bucket), *(F.lead("m", k).over(bucket) for k in range(1, NEXT + 1)))
-    pairs = members.select("m", near.alias("near")).select("m", F.explode("near").alias("o")).where("o is not null and o.digest <> m.digest")
-    pairs = pairs.select(F.least("m", "o").alias("a"), F.greatest("m", "o").alias("b")).distinct()
-    return pairs.select(F.col("a.digest").alias("u"), F.col("a.row").alias("u_row"), F.col("b.digest").alias("v"), F.col("b.row").alias("v_row"))
+def candidates(sets: DataFrame) -> DataFrame:
+    """sets (digest, row, bands), one row a set: pairs (m, o) of (digest, row) that share a band."""
+    band = lambda k: F.col("bands")[(F.col("band") + k) % BANDS]
+    members = sets.select("*", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
+    members = members.select("band", band(0).alias("key"), F.struct(*(band(k).alias(f"b{k}") for k in range(1, 4)), "digest", "row").alias("m"))
+    members = members.withColumn("part", F.pmod(F.xxhash64("m.b1"), F.lit(PARTS)))
+    nth = F.row_number().over(Window.partitionBy("band", "key", "part").orderBy("m"))
+    heads = members.withColumn("nth", nth).where(F.col("nth") <= NEXT + 1)
+    return _neighbours(members, ["band", "key", "part"]).unionAll(_neighbours(heads, ["band", "key"]))
 
 
-def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose texts are similar. pairs and rows are read more than once."""
+def verified(pairs: list[DataFrame], rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Edges (u, v) of digests: the pairs (m, o) of (digest, row) whose texts, in rows (row, text), are similar. rows is read more than once."""
+    pairs = reduce(DataFrame.unionAll, pairs).select(F.least("m", "o").alias("a"), F.greatest("m", "o").alias("b")).distinct()
+    pairs = written(pairs.select(F.col("a.digest").alias("u"), F.col("a.row").alias("u_row"), F.col("b.digest").alias("v"), F.col("b.row").alias("v_row")))
     asked = written(pairs.select(F.col("u_row").alias("row")).unionAll(pairs.select(F.col("v_row").alias("row"))).distinct())
     texts = written(rows.select("row", text_of().alias("text")).join(asked, "row", "left_semi"))
     both = pairs.join(texts.withColumnsRenamed({"row": "u_row", "text": "u_text"}), "u_row").join(texts.withColumnsRenamed({"row": "v_row", "text": "v_text"}), "v_row")
@@ -91,14 +90,7 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = zip(*(batch.column(c).cast(pa.binary()).to_pylist() for c in ("u_text", "v_text")), strict=True)
-            near = pa.array([similarity(shingle_set(a), shingle_set(b)) >= SIMILARITY for a, b in texts], pa.bool_())
+            near = pa.array([similarity(np.unique(shingle_hashes(a)), np.unique(shingle_hashes(b))) >= least for a, b in texts], pa.bool_())
             yield batch.select(["u", "v"]).filter(near)
 
     return both.select("u", "v", "u_text", "v_text").mapInArrow(run, "u long, v long")
-
-
-def components_of(rows: DataFrame) -> DataFrame:
-    """rows (row, text; row unique and read again as it is) as (row, digest, root): rows of a component share their root."""
-    sketched = written(sketches(rows))
-    roots = components(verified(written(candidates(sketched)), rows))
-    return sketched.join(roots.withColumnRenamed("node", "digest"), "digest", "left").select("row", "digest", F.coalesce("root", "digest").alias("root"))

@@ -7,6 +7,9 @@ at most `distance`, some r of them share none of it, so two near points share th
 that share a cell are held against each other by Manhattan distance first and by the differing bits last. The choice
 of r follows the number of distinct fingerprints, and any r finds every link.
 
+similar_groups() links texts whose shingle sets are similar (module shingles) instead: the links of fingerprints are its
+first candidates, those that fingerprints can't reach its others, and all are verified on the sets.
+
 A null or empty text has fingerprint zero, which links like any other. Repeated rows share their fingerprint, which
 is compared once. A null doc_id is in a component but never names it.
 """
@@ -21,8 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portflow.llm.shared import components, text_of, written
+from portflow.llm import shingles
+from portflow.llm.shared import components, salted_join, text_of, written
+from portflow.llm.shingles import shingle_hashes
 
+#: The contract of the query; similar_groups() takes those of shingles.
 SHINGLE, SEED, BITS, DISTANCE = 4, 42, 64, 4
 #: Bits that tell two random points apart, for each segment of two bits: -log2(1/16 + 1/4 + 1/16).
 SEGMENT_BITS = 1.415
@@ -30,19 +36,12 @@ CELL_ROWS = 64
 _LOW = 0x5555555555555555
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    from xxhash import xxh64_intdigest
-
-    words = text.lower().split()
-    if not words:
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """Bits that are set in over half the hashes; zero if there are none."""
+    n = len(hashes)
+    if not n:
         return 0
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    n = max(1, len(words) - shingle + 1)
-    first = [0, *(ends[: n - 1] + 1).tolist()]
-    last = ends[-n:].tolist()
-    h = np.fromiter((xxh64_intdigest(joined[a:b], seed) for a, b in zip(first, last, strict=True)), np.uint64, n)
-    bits = np.unpackbits(h.view(np.uint8), bitorder="little").reshape(n, 64)
+    bits = np.unpackbits(hashes.view(np.uint8), bitorder="little").reshape(n, 64)
     bits = np.add.reduceat(bits, np.arange(0, n, 255), axis=0).astype(np.int64).sum(axis=0)  # a byte counts to 255
     return int(np.packbits(bits * 2 > n, bitorder="little").view(np.uint64)[0])
 
@@ -52,7 +51,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.fromiter((fingerprint(t, shingle, seed) for t in batch.column("text").cast(pa.binary()).to_pylist()), np.uint64, batch.num_rows)
+            fp = np.fromiter((fingerprint_of(shingle_hashes(t, shingle, seed)) for t in batch.column("text").cast(pa.binary()).to_pylist()), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
     return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, "doc_id long, fp long")
@@ -149,9 +148,42 @@ def components_of(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     roots = components(links(distinct.select("fp"), distance))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    return fps.join(named.select("fp", "root").join(smallest, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    component = salted_join(named.select("fp", "root"), smallest, "root", "fp").select("fp", "component_id")
+    return fps.join(component, "fp").select("doc_id", "fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     found = components_of(docs)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def sketches(rows: DataFrame) -> DataFrame:
+    """rows (row, text) as (row, digest, fp, bands) by shingles' words a shingle; equal sets have equal digests."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
+        for batch in batches:
+            hashes = [shingle_hashes(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            sets = [np.unique(h) for h in hashes]
+            digest = np.fromiter((xxh64_intdigest(s.tobytes(), SEED) for s in sets), np.uint64, len(sets)).view(np.int64)
+            fp = np.fromiter(map(fingerprint_of, hashes), np.uint64, len(hashes)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(digest), pa.array(fp), pa.array(map(shingles.bands_of, sets), pa.list_(pa.int64()))], ["row", "digest", "fp", "bands"])
+
+    return rows.select("row", text_of().alias("text")).mapInArrow(run, "row long, digest long, fp long, bands array<long>")
+
+
+def similar_groups(rows: DataFrame, distance: int = DISTANCE, least: float = shingles.SIMILARITY) -> DataFrame:
+    """rows (row, text; row unique and read again as it is) as (row, digest, root): rows of a group share their root.
+
+    Of texts with one fingerprint each is held against one of them, of linked fingerprints one text of each; the rest of the
+    candidates share a band of minima.
+    """
+    sketched = written(sketches(rows))
+    sets = written(sketched.groupBy("digest").agg(F.min(F.struct("row", "fp", "bands")).alias("s")).select("digest", "s.*"))
+    one = written(sets.groupBy("fp").agg(F.min(F.struct("digest", "row")).alias("one")))
+    same = salted_join(sets.select("fp", F.struct("digest", "row").alias("m")), one, "fp", "m").where("m.digest <> one.digest").select("m", F.col("one").alias("o"))
+    near = links(one.select("fp"), distance).where("u <> v").distinct()
+    near = near.join(one.withColumnsRenamed({"fp": "u", "one": "m"}), "u").join(one.withColumnsRenamed({"fp": "v", "one": "o"}), "v").select("m", "o")
+    roots = components(shingles.verified([same, near, shingles.candidates(sets)], rows, least))
+    return sketched.join(roots.withColumnRenamed("node", "digest"), "digest", "left").select("row", "digest", F.coalesce("root", "digest").alias("root"))
