@@ -8,7 +8,7 @@ words around it: quotation marks or words that report make it quotation, others
 ones and those learned: words that stand by terms far more often where the label says that nothing is toxic.
 
 A logistic model over these scores gives the result. Misspellings of short words, which are often other words, are a
-score of their own, so that the labels decide what they weigh. All of this is fitted on at most TRAIN_ROWS labels, those
+score of their own, whatever stands around them, so that the labels decide what they weigh. All of this is fitted on at most TRAIN_ROWS labels, those
 of the smallest hash; the lexicon has no cap of its own, as every term has LEAST_DOCS labelled documents at least.
 
 Null text counts as empty. Rows without a doc_id are scored and never held out. Labels that repeat a doc_id count as
@@ -43,14 +43,19 @@ _WHOLE = re.compile(r"[^\W_](?:.*[^\W_])?", re.S)
 _NEAR_MARK = 3
 
 
+def shortened(word: str) -> set[str]:
+    """The word and what is left of it without one letter."""
+    return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
+
+
 class Trie:
     """Terms with weights. match() gives the best term within `edits` edits, as (weight, distance)."""
 
     def __init__(self, terms: dict[str, float]):
         self.root: dict = {}
         self.terms = terms
-        self.heads: dict[int, set[str]] = {}
-        self.tails: dict[int, set[str]] = {}
+        self.near = set().union(*map(shortened, terms))
+        self.halves: dict[int, tuple[set[str], set[str]]] = {}
         for term, weight in terms.items():
             node = self.root
             for c in term:
@@ -58,17 +63,19 @@ class Trie:
             node[""] = weight
             half = len(term) // 2
             for n in (len(term) - 1, len(term), len(term) + 1):  # the lengths of words one edit away
-                self.heads.setdefault(n, set()).add(term[:half])
-                self.tails.setdefault(n, set()).add(term[half:])
+                heads, tails = self.halves.setdefault(n, (set(), set()))
+                heads.add(term[:half])
+                tails.add(term[half:])
 
     def within_one(self, word: str) -> bool:
-        """Whether a term can be one edit away: an edit leaves the first or the second half of the term as it is."""
+        """Whether a term can be one edit away: an edit leaves the first or the second half of the term as it is, and one letter
+        less, or none, makes some form of both the same."""
         n = len(word)
-        heads = self.heads.get(n)
-        if heads is None:
+        heads, tails = self.halves.get(n, ((), ()))
+        a, b = n // 2, (n + 1) // 2
+        if not heads or not (word[: (n - 1) // 2] in heads or word[:a] in heads or word[:b] in heads or word[n - a :] in tails or word[n - b :] in tails or word[n - (n + 2) // 2 :] in tails):
             return False
-        tails, a, b = self.tails[n], n // 2, (n + 1) // 2
-        return word[: (n - 1) // 2] in heads or word[:a] in heads or word[:b] in heads or word[n - a :] in tails or word[n - b :] in tails or word[n - (n + 2) // 2 :] in tails
+        return not self.near.isdisjoint(shortened(word))
 
     def match(self, word: str, edits: int = 1, least: int = FUZZY_FROM) -> tuple[float, int] | None:
         if word in self.terms:
@@ -154,13 +161,14 @@ def features(text: str, trie: Trie, cache: dict, cues: frozenset[str] = REPORT)
         if chunk not in found:
             continue
         hit = found[chunk]
+        if hit.short:
+            short += 1
+            continue
         before, after = chunks[max(0, i - WINDOW) : i], chunks[i + 1 : i + 1 + WINDOW]
         opened = any(c[0] in MARKS for c in [*before[-_NEAR_MARK:], chunk])
         closed = any(c.rstrip(",.;:!?")[-1:] in MARKS for c in [chunk, *after[:_NEAR_MARK]])
         if opened and closed or any(_bare(c) in cues for c in before + after):
             quoted += 1
-        elif hit.short:
-            short += 1
         elif hit.distance:
             fuzzy, fuzzy_weight = fuzzy + 1, fuzzy_weight + hit.weight
         else:

@@ -689,13 +689,14 @@ def brute_features(text, terms, cues):
         if hit is None:
             continue
         d, short, x, word = hit
+        if short:
+            sums["short"] += 1
+            continue
         around = chunks[max(0, i - 6) : i] + chunks[i + 1 : i + 7]
         opened = any(c[0] in "\"'" for c in chunks[max(0, i - 3) : i + 1])
         closed = any(c.rstrip(",.;:!?")[-1:] in ("'", '"') for c in chunks[i : i + 4])
         if opened and closed or any(c.strip(",.;:!?\"'") in cues for c in around):
             sums["quoted"] += 1
-        elif short:
-            sums["short"] += 1
         elif d:
             sums["fuzzy"] += 1
             sums["fuzzy_w"] -= x
