@@ -7,7 +7,9 @@ most as many numbers as a sequence has tokens, so the plan is made from that his
 are; equal bins are planned once, with the number of times the counts allow. Each piece then finds its place from its
 rank among the pieces of its length.
 
-Null text counts as empty and gives a piece that holds the end mark alone. Repeated rows are packed each for itself.
+Null text counts as empty and gives a piece that holds the end mark alone. Repeated rows are packed each for itself, as are
+rows that share an id or have none. Pieces of one length are alike to the plan: which of them takes which place follows no
+rule. Without documents there is no sequence. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -98,7 +100,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     length, so that the many pieces of a common length share tasks.
     """
     spark, parts = pieces.sparkSession, max(16, int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    pieces = written(pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts))))
+    pieces = written(pieces.withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts))))
     sizes = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     table = np.array(sorted(plan(histogram, capacity)) or np.zeros((0, 5)), np.int64).reshape(-1, 5)

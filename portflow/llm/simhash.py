@@ -32,7 +32,7 @@ from portflow.llm.shingles import shingle_hashes
 SHINGLE, SEED, BITS, DISTANCE = 4, 42, 64, 4
 #: Bits that tell two random points apart, for each segment of two bits: -log2(1/16 + 1/4 + 1/16).
 SEGMENT_BITS = 1.415
-CELL_ROWS = 64
+CELL_ROWS, STEPS = 64, 64
 _LOW = 0x5555555555555555
 
 
@@ -93,40 +93,68 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[keep], nodes[root[keep]]
 
 
+def _labels(fp: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each fingerprint the root of its component under the edges (a, b)."""
+    nodes, roots = forest(a, b)
+    if not len(nodes):
+        return fp
+    at = np.minimum(np.searchsorted(nodes, fp), len(nodes) - 1)
+    return np.where(nodes[at] == fp, roots[at], fp)
+
+
 def _near(distance: int):
     """Over rows (grid, cell, ones, fp, point) in that order of cell and bit count: links within each cell, as forests.
 
     Rows of a cell are in order of their whole bit count, which near ones share up to `distance`, so that only a
-    window of a cell is held. Comparisons are made for all cells of a batch at once, for neighbours 1, 2, ... apart.
+    window of a cell is held. Comparisons are made for all cells of a batch at once, for neighbours 1, 2, ... STEPS apart. A
+    cell that has more rows is by then mostly one component: only rows outside of its largest one are held against
+    all others, as links within it change nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None
+        kept, label = None, np.zeros(0, np.int64)
         for batch in batches:
+            if not batch.num_rows:
+                continue
             new = [batch.column(c).to_numpy().astype(np.int64) for c in ("grid", "cell", "ones", "fp", "point")]
             done = 0 if kept is None else len(kept[0])
             grid, cell, ones, fp, point = new if kept is None else (np.concatenate(x) for x in zip(kept, new, strict=True))
-            n, step, found_a, found_b = len(fp), 1, [], []
-            i = np.arange(n)
-            while len(i := i[i + step < n]):
-                j = i + step
-                i = i[(cell[i] == cell[j]) & (grid[i] == grid[j]) & (ones[j] - ones[i] <= distance)]
-                j = i + step
-                fresh = j >= done
-                x, y = i[fresh], j[fresh]
-                bound = np.bitwise_count((point[x] ^ point[y]).view(np.uint64)) <= distance
+            n, found_a, found_b = len(fp), [], []
+
+            def hold(x: np.ndarray, y: np.ndarray) -> None:
+                bound = np.bitwise_count((point[x] ^ point[y]).view(np.uint64)) <= distance  # noqa: B023
                 x, y = x[bound], y[bound]
-                near = np.bitwise_count((fp[x] ^ fp[y]).view(np.uint64)) <= distance
-                found_a.append(fp[x[near]])
-                found_b.append(fp[y[near]])
+                near = np.bitwise_count((fp[x] ^ fp[y]).view(np.uint64)) <= distance  # noqa: B023
+                found_a.append(fp[x[near]])  # noqa: B023
+                found_b.append(fp[y[near]])  # noqa: B023
+
+            for step in range(1, STEPS + 1):
+                i = np.arange(max(0, done - step), n - step)
+                i = i[(cell[i] == cell[i + step]) & (grid[i] == grid[i + step]) & (ones[i + step] - ones[i] <= distance)]
+                if not len(i):
+                    break
+                hold(i, i + step)
+            change = np.flatnonzero((cell[1:] != cell[:-1]) | (grid[1:] != grid[:-1])) + 1
+            starts, ends = np.concatenate([[0], change]), np.concatenate([change, [n]])
+            labels = None
+            for lo, hi in zip(starts, ends, strict=True):
+                if hi - lo <= STEPS + 1:
+                    continue
+                if labels is None:
+                    labels = _labels(fp, np.concatenate([*found_a, fp[:done]]), np.concatenate([*found_b, label]))
+                names, count = np.unique(labels[lo:hi], return_counts=True)
+                for x in np.flatnonzero(labels[lo:hi] != names[count.argmax()]) + lo:
+                    near = lo + np.searchsorted(ones[lo:hi], [ones[x] - distance, ones[x] + distance + 1])
+                    y = np.arange(near[0] if x >= done else max(near[0], done), near[1])  # kept ones have met each other
+                    hold(np.full(len(y), x), y)
                 if sum(map(len, found_a)) > 2_000_000:
                     a, b = forest(np.concatenate(found_a), np.concatenate(found_b))
                     found_a, found_b = [a], [b]
-                step += 1
-            keep = (cell == cell[-1]) & (grid == grid[-1]) & (ones >= ones[-1] - distance) if n else slice(0)
-            kept = [x[keep] for x in (grid, cell, ones, fp, point)]
             a, b = forest(np.concatenate(found_a or [fp[:0]]), np.concatenate(found_b or [fp[:0]]))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["u", "v"])
+            keep = (cell == cell[-1]) & (grid == grid[-1]) & (ones >= ones[-1] - distance)
+            label = _labels(fp, np.concatenate([a, fp[:done]]), np.concatenate([b, label]))[keep]
+            kept = [x[keep] for x in (grid, cell, ones, fp, point)]
 
     return run
 

@@ -373,6 +373,29 @@ def test_links_are_whole(spark):
     assert len(set(zip(mine, want, strict=True))) == len(set(mine)) == len(set(want))
 
 
+def test_a_dense_cell_loses_no_link():
+    """A site's cell: thousands of fingerprints around one, a few apart from them, and pairs of these; in batches of 500."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    base, far = 0x0F0F00FF12345678, 0xF0F0FF0012345678
+    flip = lambda at, n: at ^ sum(1 << int(b) for b in rng.choice(64, n, replace=False))
+    fps = {base} | {flip(base, int(rng.integers(1, 4))) for _ in range(3000)} | {flip(far, int(rng.integers(3, 9))) for _ in range(60)} | {flip(base, 9) for _ in range(60)}
+    fps = np.array(sorted(fps), np.uint64)
+    root = brute_components(fps.tolist())
+    ones = np.bitwise_count(fps).astype(np.int64)
+    by = np.argsort(ones, kind="stable")
+    signed = fps.view(np.int64)
+    zero = np.zeros(len(fps), np.int64)
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[by][k : k + 500]) for x in (zero, zero, ones, signed, zero)], ["grid", "cell", "ones", "fp", "point"]) for k in range(0, len(fps), 500)]
+    edges = [(u, v) for b in simhash._near(4)(iter(batches)) for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+    a, b = simhash.forest(np.array([u for u, _ in edges]), np.array([v for _, v in edges]))
+    mine = dict(zip(a.tolist(), b.tolist(), strict=True))
+    mine = [mine.get(f, f) for f in signed.tolist()]
+    assert len(set(zip(mine, root, strict=True))) == len(set(mine)) == len(set(root)) > 30
+    assert len(edges) < 12 * len(fps)
+
+
 def test_simhash_edges(spark):
     got = simhash.near_duplicates(docs(spark, EDGES)).collect()
     assert len(got) == len(EDGES)
