@@ -6,7 +6,8 @@ that every distinct word meets in one task and is encoded once there; its ids re
 position. What moves between tasks is word lists and ids. Texts stay where they are: blocks are a bucketed table, and
 the join by block reads it without a shuffle.
 
-Null text counts as empty, an empty text has no ids, repeated rows give repeated rows, other columns are ignored.
+Null text counts as empty, an empty text has no ids, repeated rows give repeated rows, other columns are ignored. Rows may
+share a doc_id or have none. Without documents there are no rows.
 """
 
 from __future__ import annotations
@@ -237,6 +238,7 @@ def encode(
     rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(_blocks(buckets), _BLOCKS)
     rows.write.bucketBy(buckets, "block").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
     blocks = spark.table(name)
+    spark.sql(f"drop table {name}")  # from the catalogue; its files stay, and the plan knows them and their buckets
     words = blocks.where("bucket >= 0").select("block", "bucket", "words").repartition(buckets, "bucket")
     encoded = words.mapInArrow(_encode_words(path), "block string, bucket int, ids binary")
     texts = blocks.where("bucket < 0").select("block", "payload")

@@ -149,6 +149,9 @@ def test_bpe(spark):
         got.setdefault(r.doc_id, set()).add((tuple(r.ids), r.decoded))
     assert len(rows) == len(texts) and got == want
     assert bpe.encode(docs(spark, [])).count() == 0
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("bpe_blocks")]
+    plan = bpe.encode(docs(spark, texts))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(bucket") == 1 and plan.count("Exchange hashpartitioning(block") == 1  # texts are not shuffled
 
 
 def test_bpe_query(spark):
