@@ -11,6 +11,11 @@ from portflow.specs import LoadStatus, LoadType
 QUEUE = (LoadStatus.DETAILS, LoadStatus.VOYAGES, LoadStatus.INGESTED)
 
 
+def by_id(loads: DataFrame, load_id: int) -> DataFrame:
+    """The load of an id: one row, or none."""
+    return loads.where(F.col("load_id") == load_id)
+
+
 def by_status(loads: DataFrame, status: int) -> DataFrame:
     return loads.where(F.col("load_status_id") == int(status)).orderBy("load_id")
 

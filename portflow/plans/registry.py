@@ -268,6 +268,18 @@ def gate_activity_collapse(spark, sf_dir):
     return versions.collapse(fact(spark, sf_dir, "gate_activity"), GATE).drop("row_no")
 
 
+@query(f"with m as ({_GATE}) select load_id, count(*) as n_rows, cast(sum(units) as bigint) as units from m where load_id % 5 <> 0 group by load_id")
+def fact_sink(spark, sf_dir):
+    """Gate activity landed by load, every second load a second time, as after a retry; read back are the loads that the ledger has not marked as failed."""
+    rows = fact(spark, sf_dir, "gate_activity").drop("bad_cells")
+    path = f"{folders.shared_dir(spark)}/gates-{uuid.uuid4().hex}"
+    reports.land(rows.repartition("load_id"), path)
+    reports.land(rows.where("load_id % 2 = 0").repartition("load_id"), path)
+    known = rows.select("load_id").distinct().withColumn("load_status_id", F.when(F.col("load_id") % 5 == 0, int(LoadStatus.ERROR)).otherwise(int(LoadStatus.INGESTED)))
+    found = reports.landed(spark, path, known).groupBy(F.col("load_id").cast("long").alias("load_id"))
+    return found.agg(F.count("*").alias("n_rows"), F.sum("units").alias("units"))
+
+
 _SPLIT = f"m as ({_GATE}), cut as (select max(load_id) as cut_id from m), old as (select distinct {_GATE_ID} from m, cut where load_id < cut_id), new as (select distinct {_GATE_ID} from m, cut where load_id = cut_id)"
 _SAME = " and ".join(f"new.{c} is not distinct from old.{c}" for c in GATE.identity)
 
@@ -423,6 +435,13 @@ def loads_by_status(spark, sf_dir):
     return ledger.by_status(loads(spark, sf_dir), LoadStatus.DETAILS)
 
 
+@query(f"with {_LEDGER} select * from loads where load_id = (select max(load_id) from loads)")
+def load_by_id(spark, sf_dir):
+    """The last load there is, by its id."""
+    known = loads(spark, sf_dir)
+    return ledger.by_id(known, known.agg(F.max("load_id")).first()[0])
+
+
 @query(f"with {_LEDGER} select * from loads where load_type_id = 4 and load_status_id = 2")
 def pending_by_type(spark, sf_dir):
     return ledger.by_type_and_status(loads(spark, sf_dir), LoadType.GATE_ACTIVITY, LoadStatus.INGESTED)
