@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portflow.operators import ledger, reshape, validate, versions, voyage
+from portflow.sources.folders import shared_dir
 from portflow.specs import FactSpec, LoadStatus, LoadType
 
 
@@ -34,9 +35,10 @@ def pending(loads: DataFrame, load_type: int) -> DataFrame:
 
 
 def _run(loads: DataFrame, load_type: int, rejects: DataFrame) -> Processed:
+    shared_dir(loads.sparkSession)
     taken = pending(loads, load_type)
-    errors = rejects.join(taken, "load_id", "left_semi").select("load_id", "message")
-    events = ledger.steps(taken, errors)
+    errors = rejects.join(taken, "load_id", "left_semi").select("load_id", "message").checkpoint()  # validation runs once
+    events = ledger.steps(taken, errors).checkpoint()  # a few rows a load
     after = events.groupBy("load_id").agg(F.max_by("status", "seq").alias("now"))
     now = loads.join(after, "load_id", "left").withColumn("load_status_id", F.coalesce("now", "load_status_id")).drop("now")
     last = LoadStatus.DONE if load_type == LoadType.VESSEL_REPORT else LoadStatus.DETAILS

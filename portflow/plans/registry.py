@@ -500,7 +500,7 @@ _RUN_LEDGER = """run_loads as (select load_id, cast(load_id % 10 as int) as load
   cast(case when (load_id // 10) % 11 = 0 then 99 when load_id % 10 = 1 then case (load_id // 10) % 4 when 0 then 2 when 1 then 3 when 2 then 4 else 5 end else case (load_id // 10) % 3 when 0 then 4 else 2 end end as int) as load_status_id
   from (select cast(load_id as bigint) * 10 + 1 as load_id from gpa_raw union select cast(load_id as bigint) * 10 + 4 from gate_raw union select cast(load_id as bigint) * 10 + 7 from street_raw))"""
 _RUN_SQL = f"""{_SPOILED.replace("row_no % 7 = 0", "row_no % 7 = 0 and load_id % 3 = 0").replace("row_no % 11 = 0", "row_no % 11 = 0 and load_id % 3 = 0").replace("row_no % 13 = 0", "row_no % 13 = 0 and load_id % 3 = 0").replace("row_no % 17 = 0", "row_no % 17 = 0 and load_id % 3 = 0")},
- {_RUN_LEDGER}, m as ({_GATE}), s as ({_STREET}), odd_gates as (select distinct load_id * 10 + 4 as load_id, cast(3 + row_no % 5 as int) as g from m where row_no % 1501 = 0),
+ {_RUN_LEDGER}, m as (select * replace (case when row_no % 1501 = 0 then cast(3 + row_no % 5 as int) else gate_type_id end as gate_type_id) from ({_GATE}) g), s as ({_STREET}), odd_gates as (select distinct load_id * 10 + 4 as load_id, cast(3 + row_no % 5 as int) as g from m where row_no % 1501 = 0),
  bad as (select load_id * 10 + 1 as load_id, message from r
   union all select load_id, concat('gate types that do not exist: ', string_agg(cast(g as varchar), ', ' order by g)) from odd_gates group by load_id),
  taken as (select * from run_loads where load_status_id = 2 or load_type_id = 1 and load_status_id in (3, 4)),
