@@ -523,7 +523,8 @@ def _run(spark: SparkSession, sf_dir: str):
     status = F.expr(
         "case when (load_id div 10) % 11 = 0 then 99 when load_id % 10 = 1 then case (load_id div 10) % 4 when 0 then 2 when 1 then 3 when 2 then 4 else 5 end else case (load_id div 10) % 3 when 0 then 4 else 2 end end"
     )
-    known = ids.select("load_id", (F.col("load_id") % 10).cast("int").alias("load_type_id"), status.cast("int").alias("load_status_id"))
+    folders.shared_dir(spark)
+    known = ids.select("load_id", (F.col("load_id") % 10).cast("int").alias("load_type_id"), status.cast("int").alias("load_status_id")).checkpoint()  # a row a load
     spoiled = reports_raw.withColumns({"voyage": spoil(7, "voyage"), "work_date": spoil(11, "work_date"), "reported": spoil(13, "reported")})
     typed = reshape.clean_report(spoiled)
     first = (F.col("equipment_name") == "20CH") & (F.col("mode") == "Vessel") & (F.col("direction") == "Import")
