@@ -14,11 +14,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from portflow.functions import clean
 from portflow.operators import ledger
 from portflow.sources.folders import files_in, shared_dir
 from portflow.sources.registry import SourceSpec, source
-from portflow.specs import REPORT_TEXT, LoadStatus, LoadType
+from portflow.specs import LoadStatus, LoadType
 
 REPORT = source(LoadType.VESSEL_REPORT)
 COLUMNS = list(REPORT.columns)
@@ -35,29 +34,35 @@ def normal(header: str) -> str:
     return header.lstrip("﻿").strip().strip('"').replace(" ", "_").lower()
 
 
-def headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Header line -> paths that have it, in order. One line per file reaches the driver; files without a line have none."""
-    if not paths:
+def _file_name() -> F.Column:
+    """The name of the file a row is from. Spark gives it as it stands in an address: blanks and other signs escaped, but for +."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
+def headers(spark: SparkSession, files: dict[str, str]) -> dict[str, list[str]]:
+    """Header line -> paths of the files (name -> path) that have it, by name. One line per file reaches the driver; files without a line have none."""
+    if not files:
         return {}
-    lines = spark.read.text(paths).where("_metadata.file_block_start = 0").select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"))
-    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    lines = spark.read.text(list(files.values())).where("_metadata.file_block_start = 0")
+    lines = lines.select("value", _file_name().alias("name"), F.monotonically_increasing_id().alias("at"))
+    first = lines.groupBy("name").agg(F.min_by("value", "at").alias("header"))
     found: dict[str, list[str]] = {}
-    for r in sorted(first.collect(), key=lambda r: r["path"]):
-        found.setdefault(r["header"], []).append(r["path"])
+    for r in sorted(first.collect(), key=lambda r: r["name"]):
+        found.setdefault(r["header"], []).append(files[r["name"]])
     return found
 
 
-def read_files(spark: SparkSession, paths: list[str], columns: list[str] = COLUMNS) -> DataFrame:
-    """(source_name, row_no and columns) as text; row_no follows the order of the file."""
+def read_files(spark: SparkSession, files: dict[str, str], columns: list[str] = COLUMNS) -> DataFrame:
+    """(source_name, row_no and columns) as text of files (name -> path); row_no follows the order of the file."""
     parts = []
-    for header, same in headers(spark, paths).items():
+    for header, same in headers(spark, files).items():
         names = [normal(h) for h in next(csv.reader([header]), [])]
         if not any(names):  # a blank first line
             continue
         rows = spark.read.csv(same, header=True, schema=", ".join(f"`_{i}` string" for i in range(len(names))), enforceSchema=True)
         place = {n: F.col(f"_{i}") for i, n in enumerate(names)}
         nothing = F.lit(None).cast("string")
-        parts.append(rows.select(F.col("_metadata.file_name").alias("source_name"), F.monotonically_increasing_id().alias("at"), *(place.get(c, nothing).alias(c) for c in columns)))
+        parts.append(rows.select(_file_name().alias("source_name"), F.monotonically_increasing_id().alias("at"), *(place.get(c, nothing).alias(c) for c in columns)))
     if not parts:
         return spark.createDataFrame([], "source_name string, row_no long, " + ", ".join(f"{c} string" for c in columns))
     every = reduce(DataFrame.unionByName, parts)
@@ -66,7 +71,7 @@ def read_files(spark: SparkSession, paths: list[str], columns: list[str] = COLUM
 
 
 def read_folder(spark: SparkSession, folder: str) -> DataFrame:
-    return read_files(spark, [p for n, p in inputs(spark, folder).items() if not _HIDDEN.match(n)])
+    return read_files(spark, {n: p for n, p in inputs(spark, folder).items() if not _HIDDEN.match(n)})
 
 
 def numbered_loads(names: DataFrame, loads: DataFrame) -> DataFrame:
@@ -101,7 +106,7 @@ def ingest_files(spark: SparkSession, files: dict[str, str], raw_path: str, load
         .when(F.col("twice") | (F.col("holder").isNotNull() & (F.col("holder") != F.col("source_name"))), "its number belongs to another file")
     )
     named = names.join(load_ids, "source_name").withColumn("refused", refused)
-    raw = read_files(spark, [p for n, p in files.items() if not _HIDDEN.match(n)], list(spec.columns))
+    raw = read_files(spark, {n: p for n, p in files.items() if not _HIDDEN.match(n)}, list(spec.columns))
     typed = spec.shape(raw.join(F.broadcast(named.where("refused is null").select("source_name", "load_id")), "source_name"))  # one row per file
     counts = typed.groupBy("load_id").agg(F.count("*").alias("n_rows"), F.sum(F.least("bad_cells", F.lit(1))).alias("n_bad"))
     sized = named.join(counts, "load_id", "left").select("source_name", "load_id", "refused", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("n_bad", F.lit(0)).alias("n_bad"))
@@ -145,6 +150,3 @@ def landed(spark: SparkSession, path: str, loads: DataFrame) -> DataFrame:
     good = loads.where(F.col("load_status_id") != int(LoadStatus.ERROR)).select("load_id")
     return spark.read.parquet(path).join(good, "load_id", "left_semi")
 
-
-def cleaned(raw: DataFrame) -> DataFrame:
-    return raw.withColumns({c: clean.text(F.col(c)) for c in REPORT_TEXT})

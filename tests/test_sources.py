@@ -49,14 +49,15 @@ def test_odd_files(spark, tmp_path):
     put(src, ".h.csv", f"{HEAD}\n")
     put(src, "~x.csv", "VOYAGE,REPORTED,WORK_DATE\nV1,071020261348,20260711\n")
     put(src, "time.csv", "VOYAGE,WORKTIME\nV2,99xx\n")
+    put(src, "with space % + ü.csv", "VOYAGE\nV4\n")
     put(src, "quoted.csv", '"VOYAGE","A, B","FROM PORT"\nV3,"x, y",O\n')
     outcome, new, errors = reports.ingest_folder(spark, str(src), str(tmp_path / "raw"), spark.createDataFrame([], LOADS))
     assert {r.source_name: (r.outcome, r.n_rows, r.n_bad) for r in outcome.collect()} == {
-        "zero.csv": ("ingested", 0, 0), "_u.csv": ("failed", 0, 0), ".h.csv": ("failed", 0, 0), "~x.csv": ("ingested", 1, 0), "time.csv": ("failed", 1, 1), "quoted.csv": ("ingested", 1, 0)
+        "zero.csv": ("ingested", 0, 0), "_u.csv": ("failed", 0, 0), ".h.csv": ("failed", 0, 0), "~x.csv": ("ingested", 1, 0), "time.csv": ("failed", 1, 1), "quoted.csv": ("ingested", 1, 0), "with space % + ü.csv": ("ingested", 1, 0)
     }
     assert {r.error_message for r in errors.collect()} == {"_u.csv: a hidden name, which can't be read", ".h.csv: a hidden name, which can't be read", "time.csv: 1 unreadable rows"}
-    assert {(r.voyage, r.from_port) for r in spark.read.parquet(str(tmp_path / "raw")).collect()} == {("V1", None), ("V3", "O")}
-    assert new.count() == 6
+    assert {(r.voyage, r.from_port) for r in spark.read.parquet(str(tmp_path / "raw")).collect()} == {("V1", None), ("V3", "O"), ("V4", None)}
+    assert new.count() == 7
 
 
 def test_scan_prunes_partitions(spark, tmp_path):
