@@ -173,11 +173,11 @@ def components_of(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id) for every document."""
     fps = written(fingerprints(docs))
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(links(distinct.select("fp"), distance))
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    component = salted_join(named.select("fp", "root"), smallest, "root", "fp").select("fp", "component_id")
-    return fps.join(component, "fp").select("doc_id", "fp", "component_id")
+    linked = components(links(distinct.select("fp"), distance)).withColumnRenamed("node", "fp").join(distinct, "fp")
+    smallest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = salted_join(linked.select("fp", "root"), smallest, "root", "fp").select("fp", "component_id", F.lit(True).alias("linked"))
+    named = distinct.join(named, "fp", "left").select("fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first")).alias("component_id"))
+    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -209,8 +209,9 @@ def similar_groups(rows: DataFrame, distance: int = DISTANCE, least: float = shi
     """
     sketched = written(sketches(rows))
     sets = written(sketched.groupBy("digest").agg(F.min(F.struct("row", "fp", "bands")).alias("s")).select("digest", "s.*"))
-    one = written(sets.groupBy("fp").agg(F.min(F.struct("digest", "row")).alias("one")))
-    same = salted_join(sets.select("fp", F.struct("digest", "row").alias("m")), one, "fp", "m").where("m.digest <> one.digest").select("m", F.col("one").alias("o"))
+    one = written(sets.groupBy("fp").agg(F.min(F.struct("digest", "row")).alias("one"), F.count("*").alias("n")))
+    several, one = one.where("n > 1").drop("n"), one.drop("n")
+    same = salted_join(sets.select("fp", F.struct("digest", "row").alias("m")), several, "fp", "m").where("m.digest <> one.digest").select("m", F.col("one").alias("o"))
     near = links(one.select("fp"), distance).where("u <> v").distinct()
     near = near.join(one.withColumnsRenamed({"fp": "u", "one": "m"}), "u").join(one.withColumnsRenamed({"fp": "v", "one": "o"}), "v").select("m", "o")
     roots = components(shingles.verified([same, near, shingles.candidates(sets)], rows, least))
