@@ -6,7 +6,7 @@ about ten bits apart, out of reach of any grid, so that candidates also come fro
 minima, of BANDS. A pair at the least similarity shares a band with probability 1 - (1 - 0.8^5)^16 = 0.998, a nearer one
 with more. Every candidate is verified on the sets themselves, so nothing less similar is ever linked.
 
-A band's bucket is in order of the other bands, so that the most similar sets are neighbours, and in PARTS by the next band,
+A band's bucket is in order of the next two bands, so that the most similar sets are neighbours, and in PARTS by the next band,
 so that no task has a whole bucket. Each set is held against the first one and the NEXT following ones of its part, and the
 first ones of the parts likewise against each other: up to NEXT + 2 sets that is all pairs, in larger buckets a link may
 come by way of others or another band only. Equal sets are one from the start.
@@ -72,7 +72,7 @@ def candidates(sets: DataFrame) -> DataFrame:
     """sets (digest, row, bands), one row a set: pairs (m, o) of (digest, row) that share a band."""
     band = lambda k: F.col("bands")[(F.col("band") + k) % BANDS]
     members = sets.select("*", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
-    members = members.select("band", band(0).alias("key"), F.struct(*(band(k).alias(f"b{k}") for k in range(1, 4)), "digest", "row").alias("m"))
+    members = members.select("band", band(0).alias("key"), F.struct(band(1).alias("b1"), band(2).alias("b2"), "digest", "row").alias("m"))
     members = members.withColumn("part", F.pmod(F.xxhash64("m.b1"), F.lit(PARTS)))
     nth = F.row_number().over(Window.partitionBy("band", "key", "part").orderBy("m"))
     heads = members.withColumn("nth", nth).where(F.col("nth") <= NEXT + 1)
@@ -89,8 +89,8 @@ def verified(pairs: list[DataFrame], rows: DataFrame, least: float = SIMILARITY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = zip(*(batch.column(c).cast(pa.binary()).to_pylist() for c in ("u_text", "v_text")), strict=True)
-            near = pa.array([similarity(np.unique(shingle_hashes(a)), np.unique(shingle_hashes(b))) >= least for a, b in texts], pa.bool_())
+            texts = zip(batch.column("u_text"), batch.column("v_text"), strict=True)
+            near = pa.array([similarity(*(np.unique(shingle_hashes(t.as_buffer().to_pybytes())) for t in pair)) >= least for pair in texts], pa.bool_())
             yield batch.select(["u", "v"]).filter(near)
 
     return both.select("u", "v", "u_text", "v_text").mapInArrow(run, "u long, v long")

@@ -192,11 +192,13 @@ def sketches(rows: DataFrame) -> DataFrame:
         from xxhash import xxh64_intdigest
 
         for batch in batches:
-            hashes = [shingle_hashes(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            sets = [np.unique(h) for h in hashes]
-            digest = np.fromiter((xxh64_intdigest(s.tobytes(), SEED) for s in sets), np.uint64, len(sets)).view(np.int64)
-            fp = np.fromiter(map(fingerprint_of, hashes), np.uint64, len(hashes)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(digest), pa.array(fp), pa.array(map(shingles.bands_of, sets), pa.list_(pa.int64()))], ["row", "digest", "fp", "bands"])
+            digest, fp, bands = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64), []
+            for i, text in enumerate(batch.column("text")):  # one text's hashes at a time
+                hashes = shingle_hashes(text.as_buffer().to_pybytes())
+                own = np.unique(hashes)
+                digest[i], fp[i] = xxh64_intdigest(own.tobytes(), SEED), fingerprint_of(hashes)
+                bands.append(shingles.bands_of(own))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(digest.view(np.int64)), pa.array(fp.view(np.int64)), pa.array(bands, pa.list_(pa.int64()))], ["row", "digest", "fp", "bands"])
 
     return rows.select("row", text_of().alias("text")).mapInArrow(run, "row long, digest long, fp long, bands array<long>")
 
