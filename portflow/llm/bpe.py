@@ -81,7 +81,7 @@ def _unpacks(b: bytes) -> list[np.ndarray]:
     return out
 
 
-def _blocks(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _blocks(buckets: int, block_chars: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def rows(name: str, doc: pa.Array, text: pa.Array) -> pa.RecordBatch:
         split = pc.ascii_split_whitespace(text)
         coded = split.flatten().dictionary_encode()
@@ -126,10 +126,10 @@ def _blocks(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             at = 0
             while at < batch.num_rows:
                 done = int(ends[at - 1]) if at else 0
-                to = min(batch.num_rows, 1 + int(np.searchsorted(ends, done + BLOCK_CHARS - chars)))
+                to = min(batch.num_rows, 1 + int(np.searchsorted(ends, done + block_chars - chars)))
                 held.append(batch.slice(at, to - at))
                 chars, at = chars + int(ends[to - 1]) - done, to
-                if chars >= BLOCK_CHARS:
+                if chars >= block_chars:
                     yield block()
                     held, chars, k = [], 0, k + 1
                     pa.default_memory_pool().release_unused()
@@ -226,16 +226,17 @@ def _assemble(blocks: pa.Table, encoded: pa.Table) -> pa.Table:
 
 
 def encode(
-    docs: DataFrame, path: str | None = None, buckets: int | None = None, then: Callable[[pa.Table], pa.Table] | None = None, schema: str = "doc_id long, ids array<int>"
+    docs: DataFrame, path: str | None = None, buckets: int | None = None, then: Callable[[pa.Table], pa.Table] | None = None, schema: str = "doc_id long, ids array<int>",
+    block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """(doc_id, ids): the ids of every whole text, as the tokenizers library gives them without special tokens added.
 
-    `then` turns each block's (doc_id, ids) into rows of `schema` where they are made.
+    A task holds a block of about `block_chars` bytes: larger ones share more words, smaller ones need less memory. `then` turns each block's (doc_id, ids) into rows of `schema` where they are made.
     """
     spark, path = docs.sparkSession, path or vocabulary_path()
     buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     name = f"bpe_blocks_{uuid.uuid4().hex}"
-    rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(_blocks(buckets), _BLOCKS)
+    rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(_blocks(buckets, block_chars), _BLOCKS)
     rows.write.bucketBy(buckets, "block").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
     blocks = spark.table(name)
     spark.sql(f"drop table {name}")  # from the catalogue; its files stay, and the plan knows them and their buckets

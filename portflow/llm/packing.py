@@ -26,6 +26,7 @@ from portflow.llm import bpe
 from portflow.llm.shared import written
 
 CAPACITY, END_ID = 2048, 0
+BLOCK_CHARS = 6_000_000
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACED = _PIECE + ", sequence_id long, offset long"
 
@@ -126,4 +127,4 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    return pack(bpe.encode(docs, path, then=lambda t: cut(t, capacity), schema=_PIECE), capacity)
+    return pack(bpe.encode(docs, path, then=lambda t: cut(t, capacity), schema=_PIECE, block_chars=BLOCK_CHARS), capacity)
