@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portflow.llm import ann, bpe, exact_dedup, langid, line_dedup, packing, secrets, simhash, token_counts, toxicity
+from portflow.llm import ann, bpe, exact_dedup, langid, line_dedup, packing, pieces, prefix_trie, secrets, simhash, token_counts, toxicity, whitening
 from portflow.llm.shared import shared_dir, table, text_of, written
 
 OLD, NEW = "words-1", "marks-2"
@@ -115,5 +115,36 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_line_dedup, op3_bpe, op4_secrets, op5_exact_dedup, op6_simhash, op7_language_id, op8_ann, op9_packing, op10_toxicity)}
-ORACLE_SQL = {"op1_token_counts": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_exact_dedup": OP5_SQL}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+#: The check sum of a decimal number is folded byte by byte and bit by bit, as SQL has no crc32.
+OP13_SQL = r"""
+with t as (select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text, turn from conversations where conv_id is not null),
+s as (select c, turn, substring(sha256(concat(length(role), ':', role, text)), 1, 32) as t, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as w from t),
+o as (select c, t, w, row_number() over (partition by c order by turn nulls first, t) as d from s),
+v as (select c, c - ((c % 20 + 20) % 20) as base, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, length(c::varchar) + 1), lambda i: ascii(substring(c::varchar, i, 1))::bigint)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, k: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end)), 4294967295::bigint) % 4 as h from (select distinct c from o)),
+r as (select v.c, d, t, w from v join o on o.c = v.base where d <= h or v.c = v.base union all select v.c, d, t, w from v join o using (c) where d > h and v.c <> v.base),
+l as (select v.c, coalesce(list(t order by d) filter (t is not null), []) as q, coalesce(list(w order by d) filter (t is not null), []) as ws from v left join r using (c) group by v.c),
+p as (select c, d, q[1:d] as pre, case when d > 0 then q[1:d - 1] end as par, case when d > 0 then ws[d] else 0 end as w, d = len(q) as ends from l, lateral (select unnest(range(len(q) + 1)) as d)),
+n as (select pre, any_value(par) as par, d, min(c) as conv_id, count(*) as n, any_value(w) as w, sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (ends), '')) as ends_sha256 from p group by pre, d),
+k as (select par as pre, count(*) as kids from n where d > 0 group by par),
+x as (select n.*, coalesce(kids, 0) as kids from n left join k using (pre)),
+u as (select pre[1:i] as pre, sum((kids = 0)::int) as leaves, sum((n - 1) * w) as saved from (select pre, kids, n, w, unnest(range(d + 1)) as i from x) group by 1)
+select x.conv_id, x.d as depth, y.conv_id as parent_conv_id, x.n as n_convs, x.kids as n_children, cast(u.leaves as bigint) as n_leaves, cast(u.saved as bigint) as saved_tokens, x.ends_sha256
+from x join u using (pre) left join x y on y.pre = x.par
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_line_dedup, op3_bpe, op4_secrets, op5_exact_dedup, op6_simhash, op7_language_id, op8_ann, op9_packing, op10_toxicity, op11_whitening, op12_sentencepiece, op13_prefix_trie)}
+ORACLE_SQL = {"op1_token_counts": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op13_prefix_trie": OP13_SQL}

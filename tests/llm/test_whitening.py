@@ -1,0 +1,112 @@
+"""Eigenvectors against residuals in extended precision, whitening against numpy over whole vectors."""
+
+import math
+
+import numpy as np
+import pytest
+
+from portflow.llm import queries, whitening
+from tests.conftest import SF
+
+VECTORS = "vec_id long, embedding array<float>, n int, component int, x string"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, 1, 2, "x") for i, v in rows], VECTORS)
+
+
+def spectra(d=48):
+    rng = np.random.default_rng(0)
+    return {
+        "apart": np.arange(1.0, d + 1), "multiple": np.repeat([3.0, 2, 1], d // 3), "nearly": 1 + 1e-12 * np.arange(d), "unit": np.ones(d), "none": np.zeros(d), "low rank": np.r_[rng.random(d // 2), np.zeros(d - d // 2)],
+        "two kinds": np.r_[5 + 1e-9 * rng.random(d // 3), 5 + 1e-14 * rng.random(d // 3), rng.random(d - 2 * (d // 3))], "wide": 10.0 ** -np.arange(d),
+    }
+
+
+@pytest.mark.parametrize("kind", list(spectra()))
+def test_eigenvectors_to_double_precision(kind):
+    want = spectra()[kind]
+    turn = np.linalg.qr(np.random.default_rng(1).standard_normal((len(want), len(want))))[0]
+    a = (turn * want) @ turn.T
+    a = (a + a.T) / 2
+    values, vectors = whitening.eigenvectors(a)
+    exact, q = a.astype(np.longdouble), vectors.astype(np.longdouble)
+    size = max(np.abs(a).max(), 1e-300)
+    assert np.abs(exact @ q - q * values.astype(np.longdouble)).max() < 1e-15 * size
+    assert np.abs(q.T @ q - np.eye(len(want))).max() < 1e-14
+    assert (np.diff(values) <= 0).all() and np.abs(values - np.sort(np.linalg.eigvalsh(a))[::-1]).max() <= 2e-14 * size
+
+
+def brute(rows, components=32):
+    """x, its exact deviations and the covariance's eigenvalues by numpy."""
+    x = np.array([[math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v] for v in rows])
+    n, s = len(x), x.sum(axis=0)
+    z = (n * x - s) / n
+    v = z.T @ z / n
+    values = np.linalg.eigvalsh(v)[::-1][:components]
+    return n, ((n * x - s) ** 2).sum(axis=1), z, v, values
+
+
+def held_against_brute(got, kept, components=32):
+    """got: rows of the operator; kept: (vec_id, vector) of those that take part, ids unique."""
+    n, deviation, z, v, values = brute([e for _, e in kept], components)
+    k = min(components, len(v))
+    by = {(r.vec_id, r.component): r for r in got}
+    assert len(by) == len(got) == len(kept) * k
+    w = np.array([[by[i, c].whitened for c in range(1, k + 1)] for i, _ in kept])
+    assert {r.n for r in got} == {n} and [by[i, 1].deviation for i, _ in kept] == deviation.tolist()
+    explained = np.array([by[kept[0][0], c].explained for c in range(1, k + 1)])
+    assert np.abs(explained / (values / np.trace(v)) - 1).max() < 1e-10
+    identity = np.abs(w.T @ w / n - np.eye(k)).max()
+    assert identity < 1e-9 and {r.identity_error for r in got} == {got[0].identity_error} and abs(got[0].identity_error - identity) < 1e-9
+    # the vectors behind the numbers: unit, and turned by the covariance into themselves
+    q = np.linalg.lstsq(z, w * np.sqrt(values), rcond=None)[0]
+    assert np.abs(v @ q - q * values).max() < 1e-9 * values[0] and np.abs((q * q).sum(axis=0) - 1).max() < 1e-9
+
+
+def test_query(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    held_against_brute(queries.op11_whitening(spark, SF).collect(), rows)
+
+
+def test_clustered_eigenvalues(spark):
+    """Every vector with all signs of two pairs of entries: eigenvalues come in equals."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for a in rng.standard_normal((40, 3)).astype(np.float32):
+        for p in ((0, 1, 2), (1, 2, 0), (2, 0, 1)):
+            for sign in (1, -1):
+                rows.append((len(rows), [float(sign * a[i]) for i in p]))
+    got = whitening.whitened_rows(table(spark, rows), 3).collect()
+    w = np.array([[r.whitened for r in sorted(got, key=lambda r: (r.vec_id, r.component))]]).reshape(-1, 3)
+    assert np.abs(w.T @ w / len(w) - np.outer(w.mean(0), w.mean(0)) - np.eye(3)).max() < 1e-9
+
+
+def test_what_takes_no_part(spark):
+    rng = np.random.default_rng(5)
+    good = [(i, [float(c) for c in rng.standard_normal(4).astype(np.float32)]) for i in range(30)]
+    odd = [(100, None), (101, []), (102, [1.0, None, 0.0, 0.0]), (103, [1.0, math.nan, 0.0, 0.0]), (104, [math.inf, 0.0, 0.0, 0.0]), (105, [1.0, 2.0]), (106, [3e38, 0.0, 0.0, 0.0])]
+    held_against_brute(whitening.whitened_rows(table(spark, good + odd)).collect(), good)
+    same = whitening.whitened_rows(table(spark, [*good, (None, good[0][1]), (7, good[7][1])])).collect()
+    assert len(same) == 32 * 4 and sum(r.vec_id is None for r in same) == 4 and sum(r.vec_id == 7 for r in same) == 8
+    assert whitening.whitened_rows(table(spark, [])).count() == 0 and whitening.whitened_rows(table(spark, odd[:5])).count() == 0
+
+
+def test_nothing_varies(spark):
+    rows = [(i, [1.0, float(i), 2.0]) for i in range(5)]
+    got = whitening.whitened_rows(table(spark, rows)).collect()
+    assert {(r.component, r.whitened is None) for r in got} == {(1, False), (2, True), (3, True)} and got[0].identity_error < 1e-12
+    got = whitening.whitened_rows(table(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])])).collect()
+    assert {(r.whitened, r.explained, r.deviation, r.identity_error) for r in got} == {(None, 0.0, 0, None)}
+
+
+def test_large_entries_stay_exact(spark):
+    """n * x - S goes beyond longs; deviations that do are null."""
+    rows = [(0, [1e14, 0.5]), (1, [-1e14, 0.25]), (2, [0.0, -0.5])]
+    got = {(r.vec_id, r.component): r for r in whitening.whitened_rows(table(spark, rows)).collect()}
+    assert got[0, 1].deviation is None
+    small = {(r.vec_id, r.component): r for r in whitening.whitened_rows(table(spark, [(i, [c * 1e-6 for c in v]) for i, v in rows])).collect()}
+    x = [[math.floor(64 * float(np.float32(c * 1e-6))) + 1_000_000 for c in v] for _, v in rows]
+    s = [sum(c) for c in zip(*x, strict=True)]
+    want = [sum((3 * c - t) ** 2 for c, t in zip(v, s, strict=True)) for v in x]
+    assert [small[i, 1].deviation for i in range(3)] == [w if w < 2**63 else None for w in want]
