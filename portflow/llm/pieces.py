@@ -4,7 +4,7 @@ A text is written with a mark in place of each blank and one more in front. Its
 adjacent pairs that are pieces themselves, ordered by score and then by place, is worked off from the best pair on: the
 pair becomes one symbol, and its pairs with its neighbours join the agenda. What is no piece in the end goes as bytes. As no
 piece has a mark after another character, nor ASCII signs beside letters (a vocabulary is asked), words never merge with each
-other, and a task encodes each word it meets once. What is new in an Arrow batch is held against the sentencepiece library, and
+other, and a Python worker encodes each word it remembers once. What is new in an Arrow batch is held against the sentencepiece library, and
 so are the batch's decoded texts; a difference fails the job.
 
 Null text counts as empty, an empty text has no ids and decodes to the empty text, repeated rows give repeated rows, other
@@ -30,8 +30,8 @@ from portflow.llm.shared import text_of
 
 #: The sign that stands for a blank.
 MARK = "▁"
-#: Characters that are encoded at a time, words that a task remembers, and the longest of them.
-SLICE_CHARS, CACHE_WORDS, CACHE_LETTERS = 2_000_000, 400_000, 64
+#: Characters that are encoded at a time, words that a Python worker remembers, and the longest of them.
+SLICE_CHARS, CACHE_WORDS, CACHE_LETTERS = 2_000_000, 800_000, 64
 #: Words of more characters than this have a heap as their agenda; a rank that no pair has.
 SHORT, NEVER = 32, 1 << 30
 #: Words end before a mark, and between Latin letters and ASCII that is no letter.
@@ -160,6 +160,12 @@ class _Known(dict):
             raise AssertionError("ids differ from the sentencepiece library's")
 
 
+@lru_cache(2)
+def _known(path: str) -> _Known:
+    """What a worker has met, over its tasks. Each word that it keeps has been checked when it was new."""
+    return _Known(vocabulary(path))
+
+
 def _slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """(from, to) of runs of rows of about `most` in size, one row at least."""
     ends, at = np.cumsum(sizes, dtype=np.int64), 0
@@ -195,7 +201,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or model_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(vocabulary(path))
+        known = _known(path)
         for batch in batches:
             text = _whole(batch.column("text"))
             for at, to in _slices(pc.binary_length(text).to_numpy(), SLICE_CHARS):
