@@ -1,11 +1,11 @@
 """Token counts as delta-maintained rollups.
 
 A change row inserts, deletes, revises or moves the count of one document under one tokenizer version. A batch of changes
-is first summed by (source, language, tokenizer version); its signed sums go to a folder of their own and are then
-published by one entry of one file in the log, under the batch's number. What the log does not name is not there, so a
-driver lost in between leaves nothing to see, and a batch that the log has is not committed again, before or after a
-compaction: a fold entry puts one folder in the place of others and leaves their batch numbers in the log. Totals add up
-what the folders hold. One writer folds at a time; commits need not wait for it.
+is first summed by (source, language, tokenizer version); its signed sums are written aside and then published under the
+batch's number in one manifest (see `portflow.sources.store`). What no manifest names is not there, so a driver lost at any moment
+leaves nothing to see and nothing in the way, and a batch that is in is not committed again, before or after a
+compaction. Of two writers of one batch one is told False. A fold names the folders that it replaces, and is void if another fold took
+one of them. Totals add up what the folders hold; batch numbers are kept as ranges.
 
 Null keys are keys of their own; a null text counts 0 tokens. Repeated rows count as often as they occur. An empty batch
 commits an empty set of sums. Other columns are ignored. Without commits there are no totals.
@@ -13,21 +13,19 @@ commits an empty set of sums. Other columns are ignored. Without commits there a
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portflow.llm import bpe
 from portflow.llm.shared import SPACES, text_of, written
+from portflow.sources.store import Staged, Store
 
 #: Tokenizer versions that are patterns: what one token is. BPE is the version of the vocabulary of operator 3.
 TOKENIZERS = {"words-1": f"[^{SPACES}]+", "marks-2": f"[0-9A-Za-z]+|[^{SPACES}0-9A-Za-z]"}
 BPE = "word-bpe-49k"
 KEYS = ["source", "lang", "tokenizer"]
 _SUMS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
-_LOG = "batch long, folder string, folded array<string>"
+_TABLE, _STREAM = "sums", "batch"
 
 
 def count_tokens(text: F.Column, tokenizer: str) -> F.Column:
@@ -64,53 +62,32 @@ def moves(counts: DataFrame, key: str, to: F.Column) -> DataFrame:
 
 
 class Rollup:
-    """Signed sums in folders, and the log of what counts."""
+    """Signed sums in folders, and the manifests that say which of them count."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    def log(self) -> list:
-        """One entry a batch or fold."""
-        try:
-            return self.spark.read.schema(_LOG).parquet(f"{self.path}/log/*").collect()
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
+        self.spark, self.store = spark, Store(spark, path)
 
     def folders(self) -> list[str]:
-        log = self.log()
-        gone = {f for e in log for f in e["folded"]}
-        return sorted(e["folder"] for e in log if e["folder"] not in gone)
+        return sorted(e["folder"] for e in self.store.manifest().entries(_TABLE))
 
-    def write_sums(self, changes: DataFrame) -> str:
+    def write_sums(self, changes: DataFrame, replaces: list[str] | None = None) -> Staged:
         sums = changes.groupBy(*KEYS).agg(F.sum("d_docs").cast("long").alias("n_docs"), F.sum("d_tokens").cast("long").alias("n_tokens"))
-        folder = f"sums-{uuid.uuid4().hex}"
-        sums.write.parquet(f"{self.path}/{folder}")
-        return folder
-
-    def _publish(self, name: str, batch: int | None, folder: str, folded: list[str]) -> None:
-        """One file, moved into place when it is whole; a name that is taken already is an error."""
-        self.spark.createDataFrame([(batch, folder, folded)], _LOG).coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/log/{name}")
+        return self.store.stage(_TABLE, sums, replaces=replaces or ())
 
     def commit(self, batch: int, changes: DataFrame) -> bool:
-        """changes: KEYS, d_docs, d_tokens. False if the log has this batch already: nothing is done then."""
-        if any(e["batch"] == batch for e in self.log()):
+        """changes: KEYS, d_docs, d_tokens. False if this batch is in already, or another writer was first: nothing is done then."""
+        if self.store.manifest().has(_STREAM, batch):
             return False
-        self._publish(f"batch-{batch}", batch, self.write_sums(changes), [])
-        return True
+        return self.store.publish([self.write_sums(changes)], _STREAM, batch)
 
-    def totals(self) -> DataFrame:
+    def totals(self, folders: list[str] | None = None) -> DataFrame:
         """KEYS, n_docs, n_tokens; keys whose documents are all gone have left too."""
-        folders = self.folders()
-        if not folders:
-            return self.spark.createDataFrame([], _SUMS)
-        sums = self.spark.read.schema(_SUMS).parquet(*(f"{self.path}/{f}" for f in folders))
+        sums = self.store.read(_TABLE, _SUMS, folders=folders)
         return sums.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
 
-    def compact(self) -> None:
-        """One folder in the place of all there are; totals stay. Folded folders may be removed once no reader has them."""
+    def compact(self) -> bool:
+        """One folder in the place of all there are; totals stay. False if there is nothing to fold or another fold was first. Folded folders go when the store is vacuumed."""
         old = self.folders()
-        if len(old) > 1:
-            sums = self.totals().withColumnsRenamed({"n_docs": "d_docs", "n_tokens": "d_tokens"})
-            self._publish(f"fold-{uuid.uuid4().hex}", None, self.write_sums(sums), old)
+        if len(old) < 2:
+            return False
+        return self.store.publish([self.write_sums(self.totals(old).withColumnsRenamed({"n_docs": "d_docs", "n_tokens": "d_tokens"}), old)])

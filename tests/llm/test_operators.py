@@ -68,6 +68,28 @@ def test_rollup_cut_off_before_it_is_published(spark, tmp_path):
     assert [r.n_tokens for r in rollup.totals().collect()] == [2]
 
 
+def test_rollup_cut_off_while_it_is_published(spark, tmp_path):
+    """A manifest that is half there under a name of its own is in nobody's way."""
+    rollup = token_counts.Rollup(spark, str(tmp_path / "r"))
+    counts = token_counts.counted(docs(spark, [(1, "a b")]), "words-1")
+    (tmp_path / "r/log").mkdir(parents=True)
+    (tmp_path / "r/log/.half.tmp").write_text('{"vers')
+    assert rollup.commit(1, token_counts.inserts(counts)) and not rollup.commit(1, token_counts.inserts(counts))
+    assert [r.n_tokens for r in rollup.totals().collect()] == [2]
+
+
+def test_two_writers_of_a_batch_and_two_folds(spark, tmp_path):
+    rollups = [token_counts.Rollup(spark, str(tmp_path / "r")) for _ in range(2)]
+    counts = token_counts.inserts(token_counts.counted(docs(spark, [(1, "a b")]), "words-1"))
+    written = [r.write_sums(counts) for r in rollups]  # both have looked, and found no batch 1
+    assert [r.store.publish([w], "batch", 1) for r, w in zip(rollups, written, strict=True)] == [True, False]
+    assert rollups[0].commit(2, counts)
+    old = rollups[0].folders()
+    folds = [r.write_sums(r.totals(old).withColumnsRenamed({"n_docs": "d_docs", "n_tokens": "d_tokens"}), old) for r in rollups]
+    assert [r.store.publish([f]) for r, f in zip(rollups, folds, strict=True)] == [True, False]
+    assert [tuple(r) for r in rollups[1].totals().collect()] == [("s", "en", "words-1", 2, 4)] and not rollups[0].compact()
+
+
 def test_counts_of_edges(spark):
     """Null keys are keys, null and blank texts count 0, repeated rows count twice, long texts whole, other columns do no harm."""
     rows = spark.createDataFrame([(1, None, None, None, "x"), (None, " \t", None, "s", "x"), (2, "a b", "en", None, "x"), (2, "a b", "en", None, "x"), (3, "word " * 50_000, "en", "s", "x")], "doc_id long, text string, lang string, source string, batch string")
