@@ -92,9 +92,14 @@ def current_status(events: DataFrame) -> DataFrame:
     return events.groupBy("load_id").agg(F.max_by("status", "seq").alias("load_status_id"), F.count("*").alias("n_steps"))
 
 
+def ingested_names(loads: DataFrame) -> DataFrame:
+    """(source_name, seen) of loads that have not failed."""
+    return loads.where(F.col("load_status_id") != int(LoadStatus.ERROR)).select("source_name").distinct().withColumn("seen", F.lit(True))
+
+
 def ingest_outcome(files: DataFrame, loads: DataFrame) -> DataFrame:
     """files (source_name, n_rows, n_bad): skipped if a load of that name has not failed, failed on any bad row, else ingested."""
-    seen = loads.where(F.col("load_status_id") != int(LoadStatus.ERROR)).select("source_name").distinct().withColumn("seen", F.lit(True))
+    seen = ingested_names(loads)
     outcome = F.when(F.col("seen"), "skipped").when(F.col("n_bad") > 0, "failed").otherwise("ingested")
     return files.join(seen, "source_name", "left").select("source_name", "n_rows", "n_bad", outcome.alias("outcome"))
 

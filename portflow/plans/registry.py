@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portflow.functions import clean
-from portflow.operators import dims, ledger, process, reshape, validate, versions, voyage
+from portflow.operators import dims, ledger, process, reshape, stored, validate, versions, voyage
 from portflow.plans.bridge import BRIDGES, raw, table, with_bridges
 from portflow.sources import folders, reports
 from portflow.sources import registry as sources
+from portflow.sources.store import Store
 from portflow.specs import EQUIPMENT, FIELDS, GATE, LOCATION, MEASURES, OCEAN_CARRIER, ON_TERMINAL, OUT_OF_SERVICE, REPORT_TEXT, STREET_USE, FactSpec, LoadStatus, LoadType
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,6 +227,19 @@ def scan_load(spark, sf_dir):
     return reports.scan(spark, path, [19950102, 19960229, 19970704]).select(*rows.columns).withColumn("load_id", F.col("load_id").cast("long"))
 
 
+_ODD = {"vessel": """concat(vessel, ' "', terminal, '" ')""", "service": """case when row_no % 3 = 0 then concat(service, chr(92)) else concat(chr(34), service, chr(34)) end""", "line": "concat(line, chr(10), ',', to_port)"}
+
+
+@query("select load_id, row_id, trim(vessel) as vessel, trim(line) as line, trim(service) as service, voyage from (select cast(load_id as bigint) as load_id, row_no as row_id, voyage, " + ", ".join(f"{sql} as {c}" for c, sql in _ODD.items()) + " from gpa_raw)")
+def csv_quoted(spark, sf_dir):
+    """Every report row as CSV with quotes, backslashes, commas and line feeds in its cells, in files as Spark deals them, read back by their records."""
+    rows = raw(spark, sf_dir, "gpa_raw").select("load_id", F.col("row_no").alias("row_id"), "voyage", *(F.expr(text).alias(c) for c, text in _ODD.items()))
+    folder = f"{folders.shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    rows.write.csv(folder, header=True, quoteAll=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    found = reports.read_files(spark, reports.inputs(spark, folder), ["load_id", "row_id", "vessel", "line", "service", "voyage"])
+    return found.select(*(F.col(c).cast("long").alias(c) for c in ("load_id", "row_id")), *(F.trim(c).alias(c) for c in ("vessel", "line", "service", "voyage")))
+
+
 # ---------------------------------------------------------------- facts
 
 
@@ -307,6 +321,40 @@ def late_load_replay(spark, sf_dir):
     return versions.upsert(first, rows.where("load_id % 2 = 1"), GATE).drop("row_no")
 
 
+def _store(spark: SparkSession, name: str) -> Store:
+    return Store(spark, f"{folders.shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+
+
+@query(f"with m as ({_GATE}), x as (select *, row_number() over (partition by {_GATE_ID} order by load_id desc, row_no desc) as k from m) select {_GATE_ID}, load_id, {_GATE_PAY} from x where k = 1")
+def fact_upsert_stored(spark, sf_dir):
+    """Gate activity stored by date in three batches, the second of them late and the third sent twice: each rewrites its own days."""
+    rows, store = fact(spark, sf_dir, "gate_activity"), _store(spark, "facts")
+    for number, which in enumerate(("load_id % 7 not in (1, 3)", "load_id % 7 = 1", "load_id % 7 = 3", "load_id % 7 = 3")):
+        stored.upsert(store, "gate_activity", rows.where(which), GATE, "loads", min(number, 2))
+    return stored.stored_facts(store, "gate_activity", rows, GATE).drop("row_no")
+
+
+@query(f"with m as ({_GATE}), x as (select *, row_number() over (partition by load_id, {_GATE_ID} order by row_no desc) as k from m), h as (select {_GATE_ID}, load_id as valid_from, lead(load_id) over (partition by {_GATE_ID} order by load_id) as valid_to, {_GATE_PAY} from x where k = 1) select * from h where valid_to is not null")
+def history_compacted(spark, sf_dir):
+    """The history of gate activity from a log of ten batches that was merged in tiers of three."""
+    rows, store = fact(spark, sf_dir, "gate_activity"), _store(spark, "versions")
+    for number in range(10):
+        stored.append_versions(store, "log", rows.where(F.col("row_no") % 10 == number), GATE, "batches", number, 3)
+    columns = [*GATE.identity, "load_id", "row_no", *GATE.payload]
+    return versions.history(store.read("log", ", ".join(f"{c} {t}" for c, t in rows.select(*columns).dtypes)), GATE)
+
+
+@query(f"with {_SEEN} select voyage, load_id, work_date, case when fell_off then coalesce(outcome, 1) else 1 end as voyage_status_id from fell where next_seen is null")
+def voyage_state_step(spark, sf_dir):
+    """Voyages as stored by file in three steps; the files of the second and third come late and split intervals of the first."""
+    rows, store = report(spark, sf_dir), _store(spark, "voyages")
+    ids = [r["load_id"] for r in load_ids(spark, sf_dir).collect()]  # a number a file
+    for number, left in enumerate(((0, 1, 2), (3,), (4,))):
+        some = [i for i in ids if i % 5 in left]
+        stored.advance_voyages(store, "voyages", rows.where((F.col("load_id") % 5).isin(*left)), some, "files", number)
+    return stored.stored_status(store, "voyages")
+
+
 # ---------------------------------------------------------------- dimension
 
 _NAMES = f"""g as ({_GATE}), s as ({_STREET}), o as ({_ON.format("on_term_raw")}), u as ({_ON.format("oos_raw")}), n as (
@@ -510,12 +558,11 @@ _RUN_SQL = f"""{_SPOILED.replace("row_no % 7 = 0", "row_no % 7 = 0 and load_id %
   from run_loads l left join taken t using (load_id) left join failed f using (load_id))"""
 
 
-def _run(spark: SparkSession, sf_dir: str):
-    """The processing run over vessel reports, gate activity and street use, with spoiled rows in a third of the reports."""
+def _run_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[int, DataFrame]]:
+    """The ledger, and rows by load type: typed ones of vessel reports, with spoiled ones in a third of these, raw ones of the others."""
     by = lambda rows, t: rows.withColumn("load_id", F.col("load_id") * 10 + t)
-    third = "(load_id - 1) div 10 % 3 = 0 and row_no"
     reports_raw = by(raw(spark, sf_dir, "gpa_raw"), 1)
-    spoil = lambda n, c: F.when(F.expr(f"{third} % {n} = 0"), None).otherwise(F.col(c))
+    spoil = lambda n, c: F.when(F.expr(f"{_THIRD} % {n} = 0"), None).otherwise(F.col(c))
     gates = by(raw(spark, sf_dir, "gate_raw"), 4).withColumn("gate_type", F.when(F.col("row_no") % 1501 == 0, (F.col("row_no") % 5 + 3).cast("string")).otherwise(F.col("gate_type")))
     streets = by(raw(spark, sf_dir, "street_raw"), 7)
     day_ids = [load_ids(spark, sf_dir).selectExpr("load_id * 10 + 1 as load_id"), gates.select("load_id").distinct(), streets.select("load_id").distinct()]
@@ -526,11 +573,20 @@ def _run(spark: SparkSession, sf_dir: str):
     folders.shared_dir(spark)
     known = ids.select("load_id", (F.col("load_id") % 10).cast("int").alias("load_type_id"), status.cast("int").alias("load_status_id")).checkpoint()  # a row a load
     spoiled = reports_raw.withColumns({"voyage": spoil(7, "voyage"), "work_date": spoil(11, "work_date"), "reported": spoil(13, "reported")})
-    typed = reshape.clean_report(spoiled)
+    return known, {LoadType.VESSEL_REPORT: reshape.clean_report(spoiled), LoadType.GATE_ACTIVITY: gates, LoadType.STREET_USE_DAYS: streets}
+
+
+_THIRD = "(load_id - 1) div 10 % 3 = 0 and row_no"
+
+
+def _run(spark: SparkSession, sf_dir: str):
+    """The processing run over vessel reports, gate activity and street use, with spoiled rows in a third of the reports."""
+    known, rows = _run_inputs(spark, sf_dir)
+    typed = rows.pop(LoadType.VESSEL_REPORT)
     first = (F.col("equipment_name") == "20CH") & (F.col("mode") == "Vessel") & (F.col("direction") == "Import")
-    details = reshape.voyage_details(typed).withColumn("equipment_name", F.when(F.expr(f"{third} % 17 = 0") & first, "BOX").otherwise(F.col("equipment_name")))
+    details = reshape.voyage_details(typed).withColumn("equipment_name", F.when(F.expr(f"{_THIRD} % 17 = 0") & first, "BOX").otherwise(F.col("equipment_name")))
     voyage_run = process.run_voyages(known, typed, details)
-    run, states = sources.process_loads(voyage_run.loads, {LoadType.GATE_ACTIVITY: gates, LoadType.STREET_USE_DAYS: streets})
+    run, states = sources.process_loads(voyage_run.loads, rows)
     states["voyages"] = process.voyages(voyage_run, typed)
     return known, process.Processed(run.loads, voyage_run.events.unionByName(run.events), voyage_run.errors.unionByName(run.errors), voyage_run.good.unionByName(run.good)), states
 
@@ -571,6 +627,22 @@ def process_run_gates(spark, sf_dir):
     return _run(spark, sf_dir)[2]["gate_activity"].drop("row_no")
 
 
+_STORED_SQL = _RUN_SQL.replace("row_no % 17 = 0 and load_id % 3 = 0 and im_full20 <> 0", "false")
+
+
+@query(f"with {_STORED_SQL} select load_id, load_status_id, cast(n_events + 1 as bigint) as n_steps from run_after")
+def ledger_status_stored(spark, sf_dir):
+    """The run over pending loads that stores facts, voyages, ledger and errors in one commit, sent twice; the ledger's steps as they are read back."""
+    known, typed = _run_inputs(spark, sf_dir)
+    store, errors = _store(spark, "run"), _store(spark, "errors")
+    stored.register(store, known.withColumn("source_name", F.col("load_id").cast("string")))
+    facts = {LoadType.GATE_ACTIVITY: (GATE, "gate_activity"), LoadType.STREET_USE_DAYS: (STREET_USE, "street_use_days")}
+    inputs = {t: (sources.source(t).shape(rows), *facts[t]) if t in facts else (typed[t], None, "voyages") for t, rows in typed.items()}
+    for _ in range(2):
+        stored.process_stored(store, errors, inputs, number=1)
+    return ledger.current_status(stored.steps_of(store))
+
+
 @query(
     f"with {_LEDGER}, f as (select concat('report_', cast(cast(load_id as bigint) % 1000 as varchar), '.csv') as source_name, count(*) as n_rows,"
     " cast(count(*) filter (row_no % 97 = 0) as bigint) as n_bad from gpa_raw group by 1)"

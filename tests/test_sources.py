@@ -1,5 +1,10 @@
+import csv
+import random
+
+import pytest
+
 from portflow.operators import versions, voyage
-from portflow.sources import reports
+from portflow.sources import records, reports
 from portflow.specs import FactSpec
 from portflow.streaming import watch
 
@@ -25,7 +30,7 @@ def test_folder(spark, tmp_path):
     raw = str(tmp_path / "raw")
     outcome, new, errors = reports.ingest_folder(spark, str(src), raw, loads)
     assert {r.source_name: (r.outcome, r.n_rows) for r in outcome.collect()} == {
-        "a1.csv": ("ingested", 2), "a2.CSV": ("ingested", 1), "a3.csv": ("failed", 2), "a4.csv": ("skipped", 1), "a5.csv": ("ingested", 0)
+        "a1.csv": ("ingested", 2), "a2.CSV": ("ingested", 1), "a3.csv": ("failed", 2), "a4.csv": ("skipped", 0), "a5.csv": ("ingested", 0)
     }
     assert {r.source_name: r.load_status_id for r in new.collect()} == {"a1.csv": 2, "a2.CSV": 2, "a3.csv": 99, "a5.csv": 2}
     assert [r.error_message for r in errors.collect()] == ["a3.csv: 1 unreadable rows"]
@@ -45,7 +50,7 @@ def test_odd_files(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
     put(src, "zero.csv", "")
-    put(src, "_u.csv", f"{HEAD}\n")
+    put(src, "_u.csv", "VOYAGE\nV5\n")
     put(src, ".h.csv", f"{HEAD}\n")
     put(src, "~x.csv", "VOYAGE,REPORTED,WORK_DATE\nV1,071020261348,20260711\n")
     put(src, "time.csv", "VOYAGE,WORKTIME\nV2,99xx\n")
@@ -53,13 +58,78 @@ def test_odd_files(spark, tmp_path):
     put(src, "quoted.csv", '"VOYAGE","A, B","FROM PORT"\nV3,"x, y",O\n')
     outcome, new, errors = reports.ingest_folder(spark, str(src), str(tmp_path / "raw"), spark.createDataFrame([], LOADS))
     assert {r.source_name: (r.outcome, r.n_rows, r.n_bad) for r in outcome.collect()} == {
-        "zero.csv": ("ingested", 0, 0), "_u.csv": ("failed", 0, 0), ".h.csv": ("failed", 0, 0), "~x.csv": ("ingested", 1, 0), "time.csv": ("failed", 1, 1), "quoted.csv": ("ingested", 1, 0), "with space % + ü.csv": ("ingested", 1, 0)
+        "zero.csv": ("ingested", 0, 0), "_u.csv": ("ingested", 1, 0), ".h.csv": ("ingested", 0, 0), "~x.csv": ("ingested", 1, 0), "time.csv": ("failed", 1, 1), "quoted.csv": ("ingested", 1, 0), "with space % + ü.csv": ("ingested", 1, 0)
     }
-    assert {r.error_message for r in errors.collect()} == {"_u.csv: a hidden name, which can't be read", ".h.csv: a hidden name, which can't be read", "time.csv: 1 unreadable rows"}
-    assert {(r.voyage, r.from_port) for r in spark.read.parquet(str(tmp_path / "raw")).collect()} == {("V1", None), ("V3", "O"), ("V4", None)}
+    assert {r.error_message for r in errors.collect()} == {"time.csv: 1 unreadable rows"}
+    assert {(r.voyage, r.from_port) for r in spark.read.parquet(str(tmp_path / "raw")).collect()} == {("V1", None), ("V3", "O"), ("V4", None), ("V5", None)}
     assert new.count() == 7
 
 
+def brute_rows(files, columns):
+    """(source_name, row_no and columns) as csv.DictReader reads the files."""
+    out = []
+    for name, path in files.items():
+        with open(path, newline="", encoding="utf-8-sig") as f:
+            for n, row in enumerate(csv.DictReader(f), 1):
+                by = {records.normal(k): v for k, v in row.items() if k is not None}
+                out.append((name, n, *(by.get(c) for c in columns)))
+    return out
+
+
+def same_rows(got, want):
+    """Line feeds that end a cell may differ where quotes are never closed; every cell is trimmed afterwards."""
+    key = lambda rows: sorted(str([v.rstrip("\r\n") if isinstance(v, str) else v for v in r]) for r in rows)
+    assert key(got) == key(want)
+
+
+@pytest.mark.parametrize("split", ["128m", "64b", "200b"])
+def test_records_equal_dict_reader(spark, tmp_path, split):
+    """Random cells, quotes, line ends and headers; splits far smaller than records."""
+    rng, columns, files = random.Random(split), ["a", "b", "c"], {}
+    bits = ['"', '""', "a", "b ", ",", ",", "\n", "\r\n", "\r", "\\", '\\"', 'x"y', "é", '""""']
+    for k in range(40):
+        head = rng.choice(["a,b,c", "\ufeffa,b,c", '\ufeff"a","b",c', 'c,x,"a\nz",b', "a,a,b", ""])
+        name = f"{rng.choice(['', '_', '.'])}f{k}.csv"
+        path = tmp_path / name
+        path.write_text(head + rng.choice(["\n", "\r\n"]) + "".join(rng.choices(bits, k=rng.randint(0, 120))), encoding="utf-8", newline="")
+        files[name] = str(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        got = [tuple(r) for r in reports.read_files(spark, files, columns).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    same_rows(got, brute_rows(files, columns))
+
+
+def test_long_rows_and_cells(spark, tmp_path):
+    put(tmp_path, "big.csv", "a,b,c\n" + "," * 300_000 + '\n"' + '""' * 300_000 + '",x,y\n"' + "p," * 300_000 + 'q",r\n')
+    got = reports.read_files(spark, {"big.csv": str(tmp_path / "big.csv")}, ["a", "b", "c"]).orderBy("row_no").collect()
+    assert [(len(r.a), r.b, r.c) for r in got] == [(0, "", ""), (300_000, "x", "y"), (600_001, "r", None)]
+
+
+def test_quoted_cells_land_as_they_are(spark, tmp_path):
+    """The cells that were misread: doubled quotes, a backslash before a quote, a line feed within quotes."""
+    src = tmp_path / "in"
+    src.mkdir()
+    put(src, "q.csv", f'{HEAD}\nT1,20250704,"SHIP ""A"" x",V1,L,"S\\",F,T,0800,1,2,01012026\nT1,20250704,"SHIP\nTWO",V2,L,S,F,T,0800,1,2,01012026\n')
+    reports.ingest_folder(spark, str(src), str(tmp_path / "raw"), spark.createDataFrame([], LOADS))
+    got = spark.read.parquet(str(tmp_path / "raw")).orderBy("row_no").collect()
+    assert [(r.row_no, r.vessel, r.voyage, r.service, r.from_port, r.reported) for r in got] == [(1, 'SHIP "A" x', "V1", "S\\", "F", "01012026"), (2, "SHIP\nTWO", "V2", "S", "F", "01012026")]
+
+
+def test_a_landing_that_was_cut_off(spark, tmp_path):
+    """What it wrote aside or put in place is not in the ledger, and the next try takes its place."""
+    src, raw = tmp_path / "in", tmp_path / "raw"
+    src.mkdir()
+    put(src, "a.csv", "VOYAGE\nV1\n")
+    (raw / "_aside-x/load=1").mkdir(parents=True)
+    spark.createDataFrame([("half",)], "voyage string").write.parquet(str(raw / "load_id=1"))
+    outcome, _, _ = reports.ingest_folder(spark, str(src), str(raw), spark.createDataFrame([], LOADS))
+    assert [r.load_id for r in outcome.collect()] == [1] and [r.voyage for r in spark.read.parquet(str(raw)).collect()] == ["V1"]
+
+
 def test_scan_prunes_partitions(spark, tmp_path):
     raw = str(tmp_path / "raw")
     reports.land(spark.createDataFrame([(k, "x") for k in range(5)], "load_id long, voyage string"), raw)
