@@ -9,9 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from portflow.functions import clean
+from portflow.sources.store import Store
 from portflow.specs import FIELD_TYPES, FactSpec
 
 
+#: Buckets of a stored dictionary.
+BUCKETS = 32
+
+
 def field_types(spark: SparkSession) -> DataFrame:
     schema = "field_type_id int, name string, ext_table string, ext_search_column string, ext_id_column string, ext_where string, notif_flag boolean"
     return spark.createDataFrame(FIELD_TYPES, schema)
@@ -57,6 +62,51 @@ def find_or_create_values(known: DataFrame | None, names: DataFrame) -> DataFram
     return made if known is None else known.unionByName(made)
 
 
+DIMENSION = "id long, field_type_id int, value string, external_id long, notif_flag boolean"
+_COUNTER = "next long"
+
+
+def reserve(store: Store, n: int) -> int:
+    """The first of n ids that nobody else gets: the counter is published anew, and of two who read it alike one has to read it again."""
+    while True:
+        m = store.manifest()
+        owner = m.owners("ids").get("next", (None,))[0]
+        first = store.read("ids", _COUNTER, m).first()
+        first = first["next"] if first else 1
+        counter = store.spark.createDataFrame([(first + n,)], _COUNTER)
+        if store.publish([store.stage("ids", counter, F.lit("next"), {"next": owner})]):
+            return first
+
+
+def find_or_create_stored(store: Store, names: DataFrame, buckets: int = BUCKETS) -> int:
+    """Names (field_type_id, value) that the stored dictionary lacks are added; tells how many. Two runs at once give each name one id.
+
+    The dictionary is in buckets by hash of the name: only those that new names fall in are written. Ids are reserved in blocks before they are
+    used; a run that finds another's names in its buckets looks again, and what it had reserved stays unused.
+    """
+    types = field_types(names.sparkSession).select("field_type_id", "notif_flag")
+    bucket = F.pmod(F.xxhash64("field_type_id", "value"), F.lit(buckets)).cast("string")
+    keys = ["field_type_id", "value"]
+    names = names.select(*keys).where("value is not null").distinct()
+    while True:
+        m = store.manifest()
+        owners = m.owners("dimension")
+        known = store.read("dimension", DIMENSION, m)
+        new = names.join(known.select(*keys), keys, "left_anti").checkpoint()
+        touched = {r[0]: r[1] for r in new.groupBy(bucket.alias("bucket")).count().collect()}  # a row a bucket
+        n = sum(touched.values())
+        if not n:
+            return 0
+        made = numbered(new, keys, reserve(store, n) - 1).join(F.broadcast(types), "field_type_id").select("id", *keys, F.lit(None).cast("long").alias("external_id"), "notif_flag")
+        rows = store.read("dimension", DIMENSION, m, touched).unionByName(made)
+        if store.publish([store.stage("dimension", rows, bucket, {b: owners.get(b, (None,))[0] for b in touched})]):
+            return n
+
+
+def stored_dimension(store: Store) -> DataFrame:
+    return store.read("dimension", DIMENSION)
+
+
 def resolve(rows: DataFrame, dimension: DataFrame, spec: FactSpec) -> DataFrame:
     """rows with <name>_id for each name column; NULL stays NULL."""
     for column, kind in spec.names:

@@ -7,6 +7,7 @@ after it was cut off, comes to the same state; rows are keyed by load, and nothi
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -34,10 +35,11 @@ def pending(loads: DataFrame, load_type: int) -> DataFrame:
     return loads.where((F.col("load_type_id") == int(load_type)) & F.col("load_status_id").isin([int(s) for s in status]))
 
 
-def _run(loads: DataFrame, load_type: int, rejects: DataFrame) -> Processed:
+def _run(loads: DataFrame, load_type: int, rejects: Callable[[DataFrame], DataFrame]) -> Processed:
+    """rejects: (load_id, message) from the ids of the loads that are taken; rows of other loads are not validated."""
     shared_dir(loads.sparkSession)
     taken = pending(loads, load_type)
-    errors = rejects.join(taken, "load_id", "left_semi").select("load_id", "message").checkpoint()  # validation runs once
+    errors = rejects(taken.select("load_id")).select("load_id", "message").checkpoint()  # validation runs once
     events = ledger.steps(taken, errors).checkpoint()  # a few rows a load
     after = events.groupBy("load_id").agg(F.max_by("status", "seq").alias("now"))
     now = loads.join(after, "load_id", "left").withColumn("load_status_id", F.coalesce("now", "load_status_id")).drop("now")
@@ -48,17 +50,27 @@ def _run(loads: DataFrame, load_type: int, rejects: DataFrame) -> Processed:
 
 def run_voyages(loads: DataFrame, report: DataFrame, details: DataFrame | None = None) -> Processed:
     """report: typed rows of vessel reports (clean_report); details: their measures, if made by another mapping than voyage_details."""
-    details = reshape.voyage_details(report) if details is None else details
-    return _run(loads, LoadType.VESSEL_REPORT, validate.rejected(validate.voyage_problems(report, details)))
+
+    def rejects(taken: DataFrame) -> DataFrame:
+        rows = report.join(taken, "load_id", "left_semi")
+        measures = reshape.voyage_details(rows) if details is None else details.join(taken, "load_id", "left_semi")
+        return validate.rejected(validate.voyage_problems(rows, measures))
+
+    return _run(loads, LoadType.VESSEL_REPORT, rejects)
 
 
 def run_fact(loads: DataFrame, rows: DataFrame, load_type: int) -> Processed:
     """rows: mapped rows of one fact. Cells that can't be read and gate types that do not exist reject their load."""
-    rejects = [f(rows) for c, f in (("bad_cells", validate.unreadable), ("gate_type_id", validate.unknown_gate_types)) if c in rows.columns]
-    if not rejects:
-        return _run(loads, load_type, loads.select("load_id", F.lit("").alias("message")).limit(0))
-    both = reduce(DataFrame.unionByName, rejects).groupBy("load_id").agg(F.array_join(F.sort_array(F.collect_list("message")), "; ").alias("message"))  # two at most
-    return _run(loads, load_type, both)
+    checks = [f for c, f in (("bad_cells", validate.unreadable), ("gate_type_id", validate.unknown_gate_types)) if c in rows.columns]
+
+    def rejects(taken: DataFrame) -> DataFrame:
+        if not checks:
+            return taken.select("load_id", F.lit("").alias("message")).limit(0)
+        some = rows.join(taken, "load_id", "left_semi")
+        found = reduce(DataFrame.unionByName, (f(some) for f in checks))
+        return found.groupBy("load_id").agg(F.array_join(F.sort_array(F.collect_list("message")), "; ").alias("message"))  # two at most
+
+    return _run(loads, load_type, rejects)
 
 
 def voyages(run: Processed, report: DataFrame) -> DataFrame:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from portflow.operators import reshape
-from portflow.specs import EQUIPMENT_TYPES, GATE_TYPES
+from portflow.specs import DIRECTIONS, EQUIPMENT_TYPES, GATE_TYPES, MODES
 
 #: Problems that a message tells; the frame of problems has them all.
 TOLD = 5
@@ -14,30 +13,42 @@ TOLD = 5
 
 def voyage_problems(report: DataFrame, details: DataFrame) -> DataFrame:
     """(load_id, row_no, k, problem): no VOYAGE, no WORK_DATE, no readable REPORTED, unknown equipment, a VOYAGE that repeats, a mode or
-    direction without id."""
+    direction without id. report and details are read once each."""
     name = F.concat(F.lit("voyage "), F.coalesce("voyage", F.concat(F.lit("in row "), F.col("row_no").cast("string"))))
-    rules = [(F.col("voyage").isNull(), "has no number"), (F.col("work_date").isNull(), "has no WORK_DATE"), (F.col("reported_at").isNull(), "has no readable REPORTED")]
-    found = F.array_compact(F.array(*(F.when(bad, F.struct(F.lit(k).alias("k"), F.concat(name, F.lit(f" {what}")).alias("problem"))) for k, (bad, what) in enumerate(rules))))
-    rows = report.select("load_id", "row_no", F.explode(found).alias("p")).select("load_id", "row_no", "p.*")
-    odd = details.where(F.col("equipment_name").isNotNull() & ~F.col("equipment_name").isin(list(EQUIPMENT_TYPES)))  # a fixed list
-    odd = odd.select("load_id", "row_no", F.lit(3).alias("k"), F.concat(name, F.lit(" has equipment of no known type: "), F.col("equipment_name")).alias("problem"))
-    twice = report.where("voyage is not null").groupBy("load_id", "voyage").agg(F.max("row_no").alias("row_no"), F.count("*").alias("n")).where("n > 1")
-    twice = twice.select("load_id", "row_no", F.lit(4).alias("k"), F.concat(name, F.lit(" comes more than once")).alias("problem"))
-    codes = reshape.unknown_codes(details).select("load_id", "row_no", F.lit(5).alias("k"), F.concat(name, F.lit(" has an unknown "), F.col("name")).alias("problem"))
-    return rows.unionByName(odd).unionByName(twice).unionByName(codes)
-
-
-def rejected(problems: DataFrame, told: int = TOLD) -> DataFrame:
-    """(load_id, n_problems, message): the first `told` problems in the order of the file, and how many more there are."""
-    nth = F.row_number().over(Window.partitionBy("load_id").orderBy("row_no", "k", "problem"))
-    first = problems.withColumn("nth", nth).where(F.col("nth") <= told).groupBy("load_id").agg(F.sort_array(F.collect_list(F.struct("nth", "problem"))).alias("p"))  # `told` at most
-    counts = problems.groupBy("load_id").agg(F.count("*").alias("n_problems"))
-    more = F.when(F.col("n_problems") > told, F.concat(F.lit("; and "), (F.col("n_problems") - told).cast("string"), F.lit(" more"))).otherwise("")
-    return counts.join(first, "load_id").select("load_id", "n_problems", F.concat(F.array_join("p.problem", "; "), more).alias("message"))
+    said = lambda k, bad, *what: F.when(bad, F.struct(F.lit(k).alias("k"), F.concat(name, *(F.lit(w) if isinstance(w, str) else w for w in what)).alias("problem")))
+
+    def found(rows: DataFrame, *problems: F.Column) -> DataFrame:
+        return rows.select("load_id", "row_no", F.explode(F.array_compact(F.array(*problems))).alias("p")).select("load_id", "row_no", "p.*")
+
+    same = Window.partitionBy("load_id", "voyage", F.when(F.col("voyage").isNull(), F.col("row_no")))  # rows without a voyage are no group
+    rows = report.withColumns({"n": F.count("*").over(same), "last": F.max("row_no").over(same)})
+    repeats = F.col("voyage").isNotNull() & (F.col("n") > 1) & (F.col("row_no") == F.col("last"))
+    of_rows = found(
+        rows,
+        said(0, F.col("voyage").isNull(), " has no number"),
+        said(1, F.col("work_date").isNull(), " has no WORK_DATE"),
+        said(2, F.col("reported_at").isNull(), " has no readable REPORTED"),
+        said(4, repeats, " comes more than once"),
+    )
+    odd = F.col("equipment_name").isNotNull() & ~F.col("equipment_name").isin(list(EQUIPMENT_TYPES))  # a fixed list
+    unknown = [said(5, ~F.coalesce(F.col(c).isin(list(known)), F.lit(False)), f" has an unknown {c} ", F.coalesce(c, F.lit("NULL"))) for c, known in (("mode", MODES), ("direction", DIRECTIONS))]
+    of_details = found(details, said(3, odd, " has equipment of no known type: ", F.col("equipment_name")), *unknown)
+    return of_rows.unionByName(of_details)
 
 
-def accepted(rows: DataFrame, rejects: DataFrame) -> DataFrame:
-    return rows.join(rejects, "load_id", "left_anti")
+def rejected(problems: DataFrame, told: int = TOLD, parts: int = 16) -> DataFrame:
+    """(load_id, n_problems, message): the first `told` problems in the order of the file, and how many more there are.
+
+    Problems are read once. Each of `parts` parts of a load keeps its count and its first `told`, so that no group is larger and a load of many problems
+    is in many tasks.
+    """
+    order = ["row_no", "k", "problem"]
+    part = Window.partitionBy("load_id", "part")
+    kept = problems.withColumn("part", F.pmod(F.xxhash64("row_no"), F.lit(parts))).withColumns({"nth": F.row_number().over(part.orderBy(*order)), "n": F.count("*").over(part)})
+    kept = kept.where(F.col("nth") <= told).groupBy("load_id", "part").agg(F.first("n").alias("n"), F.collect_list(F.struct(*order)).alias("p"))
+    all_parts = kept.groupBy("load_id").agg(F.sum("n").alias("n_problems"), F.slice(F.sort_array(F.flatten(F.collect_list("p"))), 1, told).alias("p"))
+    more = F.when(F.col("n_problems") > told, F.concat(F.lit("; and "), (F.col("n_problems") - told).cast("string"), F.lit(" more"))).otherwise("")
+    return all_parts.select("load_id", "n_problems", F.concat(F.array_join("p.problem", "; "), more).alias("message"))
 
 
 def unknown_gate_types(gates: DataFrame) -> DataFrame:

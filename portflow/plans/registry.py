@@ -182,6 +182,17 @@ def voyage_as_of(spark, sf_dir):
     return versions.as_of(voyage.status_timeline(report(spark, sf_dir), files(spark, sf_dir)), 19960615).select("voyage", "voyage_status_id", "valid_from", "valid_to")
 
 
+_POINTS = "select concat('V', cast((row_no * 7 + load_id) % 120 as string)) as voyage, load_id + row_no % 3 as load_at, row_no as point from gpa_raw"
+
+
+@query(f"with {_TIMELINE}, p as (select voyage, cast(load_at as bigint) as load_at, point from ({_POINTS})) select p.voyage, load_at, point, voyage_status_id, valid_from, valid_to from p join t on t.voyage = p.voyage and valid_from <= load_at and (valid_to is null or valid_to > load_at)")
+def voyage_as_of_points(spark, sf_dir):
+    """The status of voyages at as many points as there are report rows, some before a voyage's first report and some of no voyage."""
+    points = spark.sql(_POINTS.replace("gpa_raw", "{rows}"), rows=raw(spark, sf_dir, "gpa_raw")).withColumn("load_at", F.col("load_at").cast("long"))
+    line = voyage.status_timeline(report(spark, sf_dir), files(spark, sf_dir)).select("voyage", "voyage_status_id", "valid_from", "valid_to")
+    return versions.as_of_points(line, points, ["voyage"], 10_000, "load_at").select("voyage", "load_at", "point", "voyage_status_id", "valid_from", "valid_to")
+
+
 _LATEST = "cur as (select voyage, max(load_id) as load_id from c group by voyage)"
 
 
@@ -390,6 +401,17 @@ def field_type_values(spark, sf_dir):
     return _dimension(spark, sf_dir).drop("id")
 
 
+@query(f"with {_NAMES} select field_type_id, value, cast(null as bigint) as external_id, true as notif_flag from d")
+def dictionary_stored(spark, sf_dir):
+    """The names of the four facts found or made in a stored dictionary, fact by fact and the first of them again; every name has one id and every id one name."""
+    store = _store(spark, "dictionary")
+    parts = [dims.trimmed_names([(raw(spark, sf_dir, source), _named(spec))]) for spec, _, source, _ in FACTS.values()]
+    for names in [*parts, parts[0]]:
+        dims.find_or_create_stored(store, names)
+    found = dims.stored_dimension(store).groupBy("id").agg(F.min(F.struct("field_type_id", "value", "external_id", "notif_flag")).alias("x"), F.count("*").alias("n"))
+    return found.where("n = 1").select("x.*")
+
+
 @query(f"with m as ({_GATE}) select load_id, row_no, trucker_name, equip_code, ocean_carrier_name, location_name, ocean_carrier_name is not null as carrier_known from m")
 def gate_activity_resolved(spark, sf_dir):
     """Names to ids and, to show that they are the right ones, back to names."""

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from portflow.operators import ledger, stored, versions, voyage
+from portflow.operators import dims, ledger, stored, versions, voyage
 from portflow.sources import store as stores
 from portflow.sources.folders import create_if_absent
 from portflow.specs import GATE, FactSpec, LoadType
@@ -227,3 +227,46 @@ def test_errors_stay_when_the_commit_fails(spark, store, tmp_path, monkeypatch):
     monkeypatch.undo()
     assert stored.process_stored(store, errors, sources, number=1)
     assert errors.read("errors", stored.ERRORS).count() == 2 and stored.stored_status(store, "voyages").count() == 2
+
+
+# ---------------------------------------------------------------- dictionary and points in time
+
+NAMES = "field_type_id int, value string"
+
+
+def test_dictionary_of_two_runs_at_once(spark, store, monkeypatch):
+    """The other run adds names of its own, some of them the same, between this run's look and its publishing."""
+    names = lambda *vs: spark.createDataFrame([(1, v) for v in vs], NAMES)
+    assert dims.find_or_create_stored(store, names("a", "b", None, "a"), 4) == 2
+    before = {r.value: r.id for r in dims.stored_dimension(store).collect()}
+    real, raced = dims.reserve, []
+
+    def reserve(s, n):
+        if not raced:
+            raced.append(1)
+            dims.find_or_create_stored(stores.Store(spark, store.path), names("c", "d", "e", "f", "g"), 4)
+        return real(s, n)
+
+    monkeypatch.setattr(dims, "reserve", reserve)
+    assert dims.find_or_create_stored(store, names("a", "c", "d", "x", "y", "z"), 4) == 3
+    got = [(r.value, r.id) for r in dims.stored_dimension(store).collect()]
+    assert sorted(v for v, _ in got) == list("abcdefgxyz") and len({i for _, i in got}) == 10 and before.items() <= dict(got).items()
+    assert dims.find_or_create_stored(store, names("a", "z"), 4) == 0
+
+
+@pytest.mark.parametrize("width", [1, 3, 1000])
+def test_points_in_time_equal_brute_force(spark, width):
+    rng, line = random.Random(width), []
+    for who in ("A", "B", None):
+        at = rng.randrange(5)
+        for _ in range(12):
+            to = at + rng.randint(1, 6)
+            line.append((who, at, to if rng.random() < 0.9 else to - 1 if to - 1 > at else to, rng.randrange(100)))
+            at = to
+        line.append((who, at, None, 7))
+    points = [(rng.choice(["A", "B", None, "C"]), rng.randrange(-3, 70), k) for k in range(300)]
+    timeline = spark.createDataFrame(line, "who string, valid_from long, valid_to long, v int")
+    got = versions.as_of_points(timeline, spark.createDataFrame(points, "who string, at long, k int"), ["who"], width)
+    want = [(w, at, k, f, t, v) for w, at, k in points for x, f, t, v in line if x == w and f <= at and (t is None or t > at)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert not {"CartesianProduct", "BroadcastNestedLoopJoin"} & set(got._jdf.queryExecution().executedPlan().toString().split())
