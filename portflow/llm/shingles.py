@@ -6,10 +6,12 @@ about ten bits apart, out of reach of any grid, so that candidates also come fro
 minima, of BANDS. A pair at the least similarity shares a band with probability 1 - (1 - 0.8^5)^16 = 0.998, a nearer one
 with more. Every candidate is verified on the sets themselves, so nothing less similar is ever linked.
 
-A band's bucket is in order of the next two bands, so that the most similar sets are neighbours, and in PARTS by the next band,
-so that no task has a whole bucket. Each set is held against the first one and the NEXT following ones of its part, and the
-first ones of the parts likewise against each other: up to NEXT + 2 sets that is all pairs, in larger buckets a link may
-come by way of others or another band only. Equal sets are one from the start.
+Candidates come in two passes. First each set is held against the first one and the NEXT following ones of its bucket, in
+order of the next two bands and in PARTS by digest, so that no task has a whole bucket, and the first ones of the parts
+likewise against each other: all pairs of up to NEXT + 2 sets, and mostly whole groups of larger ones. Then the sets of
+larger buckets that hold several components are joined by prefix filter (missed()), which finds every link between
+components that the first pass left apart. So every pair that shares a band is linked, directly or by others; what is
+lost is what shares none. Equal sets are one from the start.
 """
 
 from __future__ import annotations
@@ -22,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from portflow.llm.shared import text_of, written
+from portflow.llm.shared import salted_join, text_of, written
 
 SHINGLE, SIMILARITY, SEED = 5, 0.8, 42
-BANDS, ROWS, NEXT, PARTS = 16, 5, 8, 64
+BANDS, ROWS, NEXT, PARTS = 16, 5, 4, 64
+#: Hashes of a batch of sets.
+HELD = 1 << 20
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -73,12 +77,54 @@ def candidates(sets: DataFrame) -> DataFrame:
     band = lambda k: F.col("bands")[(F.col("band") + k) % BANDS]
     members = sets.select("*", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
     members = members.select("band", band(0).alias("key"), F.struct(band(1).alias("b1"), band(2).alias("b2"), "digest", "row").alias("m"))
-    members = members.withColumn("part", F.pmod(F.xxhash64("m.b1"), F.lit(PARTS)))
+    members = members.withColumn("part", F.pmod(F.xxhash64("m.digest"), F.lit(PARTS)))
     nth = F.row_number().over(Window.partitionBy("band", "key", "part").orderBy("m"))
     heads = members.withColumn("nth", nth).where(F.col("nth") <= NEXT + 1)
     return _neighbours(members, ["band", "key", "part"]).unionAll(_neighbours(heads, ["band", "key"]))
 
 
+def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(digest, row, root, text) as (digest, row, root, n, hashes)."""
+    for batch in batches:
+        own, at = [], 0
+        for i, text in enumerate(batch.column("text")):
+            own.append(np.unique(shingle_hashes(text.as_buffer().to_pybytes())).view(np.int64))
+            if sum(map(len, own)) >= HELD or i == batch.num_rows - 1:
+                part = batch.select(["digest", "row", "root"]).slice(at, len(own))
+                sizes = pa.array([len(x) for x in own], pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns, sizes, pa.array(own, pa.list_(pa.int64()))], ["digest", "row", "root", "n", "hashes"])
+                own, at = [], i + 1
+
+
+def missed(sets: DataFrame, roots: DataFrame, rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Pairs (m, o) of (digest, row) with different roots, among them all similar ones of buckets of over NEXT + 2 sets.
+
+    roots (node, root) are the components of the sets so far. In one order of all shingles, rare ones first, two similar sets
+    share one of their first few: of the larger set n - ceil(least * n) + 1, of the smaller one n - ceil(2 * least / (1 + least) * n) + 1.
+    Shingles of one component only come first and are not joined, so that sets of one component never meet, however many they are.
+    """
+    named = written(sets.select("digest", "row", "bands").join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest")))
+    members = named.select("digest", "row", "root", F.posexplode("bands").alias("band", "key")).withColumn("bucket", F.xxhash64("band", "key")).drop("band", "key")
+    mixed = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = mixed.where((F.col("n") > NEXT + 2) & (F.col("low") < F.col("high"))).select("bucket")
+    asked = written(salted_join(members, mixed, "bucket", "digest").select("digest", "row", "root").distinct())
+    held = rows.select("row", text_of().alias("text")).join(asked, "row").select("digest", "row", "root", "text")
+    held = written(held.mapInArrow(_sets_of, "digest long, row long, root long, n long, hashes array<long>"))
+    each = held.select("digest", "root", F.explode("hashes").alias("hash"))
+    common = each.groupBy("hash").agg(F.count("*").alias("f"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("hash", "f")
+    shared = salted_join(each.select("digest", "hash"), common, "hash", "digest").groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("f", "hash"))).alias("shared"))
+    tokens = written(held.drop("hashes").join(shared, "digest"))  # a list has a text's shingles at most
+
+    def first(share: float) -> DataFrame:
+        exclusive = F.col("n") - F.size("shared")
+        length = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * F.lit(share) - F.lit(1e-9)) + 1 - exclusive).cast("int")
+        return tokens.select("digest", "row", "root", "n", F.explode(F.slice("shared", F.lit(1), length)).alias("t")).select("t.hash", F.struct("n", "digest", "row", "root").alias("m"))
+
+    pairs = salted_join(first(least), first(2 * least / (1 + least)).withColumnRenamed("m", "o"), "hash", "m")
+    pairs = pairs.where((F.col("m.root") != F.col("o.root")) & (F.struct("o.n", "o.digest") < F.struct("m.n", "m.digest")) & (F.col("o.n") >= F.col("m.n") * F.lit(least) - F.lit(1e-9)))
+    return pairs.select(F.struct("m.digest", "m.row").alias("m"), F.struct("o.digest", "o.row").alias("o"))
+
+
 def verified(pairs: list[DataFrame], rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Edges (u, v) of digests: the pairs (m, o) of (digest, row) whose texts, in rows (row, text), are similar. rows is read more than once."""
     pairs = reduce(DataFrame.unionAll, pairs).select(F.least("m", "o").alias("a"), F.greatest("m", "o").alias("b")).distinct()

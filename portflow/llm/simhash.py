@@ -207,7 +207,7 @@ def similar_groups(rows: DataFrame, distance: int = DISTANCE, least: float = shi
     """rows (row, text; row unique and read again as it is) as (row, digest, root): rows of a group share their root.
 
     Of texts with one fingerprint each is held against one of them, of linked fingerprints one text of each; the rest of the
-    candidates share a band of minima.
+    candidates share a band of minima, and what these leave apart in large buckets is joined by prefix filter.
     """
     sketched = written(sketches(rows))
     sets = written(sketched.groupBy("digest").agg(F.min(F.struct("row", "fp", "bands")).alias("s")).select("digest", "s.*"))
@@ -217,4 +217,6 @@ def similar_groups(rows: DataFrame, distance: int = DISTANCE, least: float = shi
     near = links(one.select("fp"), distance).where("u <> v").distinct()
     near = near.join(one.withColumnsRenamed({"fp": "u", "one": "m"}), "u").join(one.withColumnsRenamed({"fp": "v", "one": "o"}), "v").select("m", "o")
     roots = components(shingles.verified([same, near, shingles.candidates(sets)], rows, least))
+    more = shingles.verified([shingles.missed(sets, roots, rows, least)], rows, least)
+    roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(more))
     return sketched.join(roots.withColumnRenamed("node", "digest"), "digest", "left").select("row", "digest", F.coalesce("root", "digest").alias("root"))

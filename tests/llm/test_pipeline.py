@@ -3,10 +3,13 @@
 import random
 import re
 
+import numpy as np
+from pyspark.sql import functions as F
 from tests.conftest import SF
 from tests.llm.test_operators import brute_secrets, check_bins, docs
 
 import corpus_pipeline as pipeline
+from portflow.llm import simhash
 
 
 def rows(df):
@@ -84,6 +87,52 @@ def test_a_large_group_of_near_copies_is_one(spark):
     assert set(got) == {min(g) for g in brute_groups(dict(given))}
 
 
+def template_site(changed, at=()):
+    """400 pairs of near texts and 1,000 more, all made from one template by changing words: alike, but near in the pairs only."""
+    base, given = words_of(7, 200), []
+    for i in range(1400):
+        rng, w = random.Random(i), list(base)
+        for k in rng.sample(range(2, 198, 5), changed):
+            w[k] = f"x{i}y{k}"
+        given.append((i, w))
+        if i < 400:
+            w = list(w)
+            for k in at:
+                w[k] = f"z{i}y{k}"
+            given.append((10_000 + i, w))
+    return given
+
+
+def near_pairs(texts):
+    """All pairs (i, j) of texts (id -> words) that are similar to 0.8 or more, by one product of their shingle matrix."""
+    ids, sets = list(texts), [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in texts.values()]
+    codes = {}
+    at = [(i, codes.setdefault(x, len(codes))) for i, own in enumerate(sets) for x in own]
+    m = np.zeros((len(ids), len(codes)), np.float32)
+    m[tuple(zip(*at, strict=True))] = 1
+    both, n = m[:, m.sum(axis=0) > 1], m.sum(axis=1)
+    both = both @ both.T
+    return {(ids[i], ids[j]) for i, j in zip(*np.nonzero(both >= 0.8 * (n[:, None] + n - both) - 1e-4), strict=True) if ids[i] < ids[j]}
+
+
+def test_pairs_of_a_template_site_are_all_found(spark):
+    """Large buckets of texts that are alike but not near: all 400 pairs are found, and nothing else is linked."""
+    for changed in (3, 4):
+        texts = dict(template_site(changed, at=(4, 99, 100, 104, 191)))
+        pairs = near_pairs(texts)
+        assert len(pairs) >= 400 and {(i, 10_000 + i) for i in range(400)} <= pairs
+        given = docs(spark, [(i, " ".join(w)) for i, w in texts.items()]).select(*pipeline.COLUMNS)
+        root = {r.row: r.root for r in simhash.similar_groups(given.withColumn("row", F.col("doc_id"))).collect()}
+        own = {}
+        for i, r in root.items():
+            own.setdefault(r, set()).add(i)
+        want = {i: {i} for i in texts}
+        for i, j in pairs:
+            one = want[i] | want[j]
+            want.update(dict.fromkeys(one, one))
+        assert {tuple(sorted(x)) for x in own.values()} == {tuple(sorted(x)) for x in want.values()}
+
+
 def test_documents_without_letters_go(spark):
     given = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en' and n_chars > 50")
     given = given.unionByName(docs(spark, [(-1, "12 34 !!"), (-2, None)], given.first().source).select(*pipeline.COLUMNS))
