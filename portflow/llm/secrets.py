@@ -5,7 +5,8 @@ segments; a segment's index has a posting list for each trigram some query asks
 posting lists, and the pattern runs on the documents that are left. A rule from which no trigram follows scans every
 document of the segment. Segments are independent: nothing is shuffled, and a lost one is indexed again.
 
-Trigrams are of bytes with A-Z lowered, for patterns that ignore case as for those that don't. Null text counts as
+Trigrams are of bytes with A-Z lowered, for patterns that ignore case as for those that don't. Letters beyond ASCII, and those
+that match one where case is ignored (i, k, s), give no trigram. Null text counts as
 empty. Offsets are code points, ends exclusive. Repeated rows are scanned each for itself; spans that start together are
 in the order of the rules. A null doc_id stays null, other columns are ignored (redact() keeps them). No rule looks at a
 run of characters from more than one start, so that time is in proportion to the text, however long and hostile.
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 from portflow.llm.shared import text_of
 
 _STRINGS, _SEGMENT_BYTES = 64, 8_000_000
+#: ASCII letters that match others where case is ignored (dotless and dotted i, the Kelvin sign, the long s).
+_WIDE = "iks"
 
 
 @dataclass(frozen=True)
@@ -83,23 +86,42 @@ def _flush(strings: set[str]) -> tuple:
     return _or([_trigrams(s) for s in sorted(strings)])
 
 
-def _strings(op, arg) -> set[str] | None:
+def _flags(flags: int, arg: tuple) -> int:
+    """The flags inside a group that adds and takes some."""
+    _, added, taken, _ = arg
+    if added & re.ASCII:
+        flags &= ~re.UNICODE
+    if added & re.UNICODE:
+        flags &= ~re.ASCII
+    return (flags | added) & ~taken
+
+
+def _letter(code: int, flags: int) -> str | None:
+    """A character as the index has it; None if the index can't know what it matches."""
+    c = chr(code).lower()
+    wide = flags & re.IGNORECASE and not flags & re.ASCII and c in _WIDE
+    return None if code > 127 or wide else c
+
+
+def _strings(op, arg, flags: int) -> set[str] | None:
     """The strings that a node matches, if they are few."""
     if op is sre.LITERAL:
-        return {chr(arg).lower()}
+        c = _letter(arg, flags)
+        return None if c is None else {c}
     if op is sre.IN:
         if all(k is sre.LITERAL for k, _ in arg) and len(arg) <= 8:
-            return {chr(v).lower() for _, v in arg}
+            letters = {_letter(v, flags) for _, v in arg}
+            return None if None in letters else letters
         return None
     if op is sre.AT:
         return {""}
     if op is sre.SUBPATTERN:
-        return _sequence_strings(arg[-1])
+        return _sequence_strings(arg[-1], _flags(flags, arg))
     if op is sre.BRANCH:
-        parts = [_sequence_strings(b) for b in arg[1]]
+        parts = [_sequence_strings(b, flags) for b in arg[1]]
         return None if any(p is None for p in parts) else set().union(*parts)
     if op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and arg[1] is not sre.MAXREPEAT and arg[1] <= 4:
-        inner = _sequence_strings(arg[2])
+        inner = _sequence_strings(arg[2], flags)
         if inner is None:
             return None
         out = {"".join(p) for n in range(arg[0], arg[1] + 1) for p in product(sorted(inner), repeat=n)}
@@ -107,21 +129,21 @@ def _strings(op, arg) -> set[str] | None:
     return None
 
 
-def _sequence_strings(nodes) -> set[str] | None:
+def _sequence_strings(nodes, flags: int) -> set[str] | None:
     out = {""}
     for op, arg in nodes:
-        part = _strings(op, arg)
+        part = _strings(op, arg, flags)
         if part is None or len(out) * len(part) > _STRINGS:
             return None
         out = {a + b for a in out for b in part}
     return out
 
 
-def _query(nodes) -> tuple:
+def _query(nodes, flags: int) -> tuple:
     """What every match of a sequence must hold: runs of known strings give trigrams, other nodes what is inside them."""
     found, run = [], {""}
     for op, arg in nodes:
-        part = _strings(op, arg)
+        part = _strings(op, arg, flags)
         if part is not None and len(run) * len(part) <= _STRINGS:
             run = {a + b for a in run for b in part}
             continue
@@ -129,16 +151,17 @@ def _query(nodes) -> tuple:
         run = part if part is not None else {""}
         if part is None:
             if op is sre.SUBPATTERN:
-                found.append(_query(arg[-1]))
+                found.append(_query(arg[-1], _flags(flags, arg)))
             elif op is sre.BRANCH:
-                found.append(_or([_query(b) for b in arg[1]]))
+                found.append(_or([_query(b, flags) for b in arg[1]]))
             elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and arg[0] >= 1:
-                found.append(_query(arg[2]))
+                found.append(_query(arg[2], flags))
     return _and(*found, _flush(run))
 
 
 def trigram_query(pattern: str) -> tuple:
-    return _query(sre_parse.parse(pattern))
+    nodes = sre_parse.parse(pattern)
+    return _query(nodes, nodes.state.flags)
 
 
 def asked(query: tuple) -> set[int]:
