@@ -160,13 +160,19 @@ def fuse(scored: DataFrame, langs: list[str], least: float = LEAST) -> DataFrame
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
-    """(page_id, host, domain, suffix, declared, text) of pages (page_id, url, html)."""
+    """(page_id, host, domain, suffix, declared, text) of pages (page_id, url, html).
+
+    A script, style or comment without an end goes on to the end of the page, as in browsers; a `<` without a `>` before the next
+    `<` is text. No pattern looks at a character from more than a few starts, so that time is in proportion to the page, whatever is in it.
+    """
     host = F.lower(F.regexp_extract("url", r"^[a-zA-Z]+://([^/:?#]+)", 1))
     html = F.coalesce(F.col("html"), F.lit(""))
-    declared = F.lower(F.regexp_extract(html, r"""(?i)<html[^>]*\blang=["']?([a-zA-Z]{2,3})""", 1))
-    plain = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->", " "), r"(?s)<[^>]*>|&[#a-zA-Z0-9]+;", " ")
+    declared = F.lower(F.regexp_extract(html, r"""(?i)<html(?=[\s>/])[^<>]*\blang=["']?([a-zA-Z]{2,3})""", 1))
+    hidden = F.regexp_replace(html, r"(?is)<(script|style)\b.*?(?:</\1>|\z)|<!--.*?(?:-->|\z)", " ")
+    plain = F.regexp_replace(hidden, r"(?s)<[^<>]*+>|&[#a-zA-Z0-9]++;", " ")
     out = pages.select("page_id", F.nullif(host, F.lit("")).alias("host"), F.nullif(declared, F.lit("")).alias("declared"), plain.alias("text"))
-    return out.withColumns({"domain": F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1), "suffix": F.regexp_extract("host", r"([^.]+)$", 1)})
+    domain = F.when(F.contains("host", F.lit(".")), F.substring_index("host", ".", -2))
+    return out.withColumns({"domain": domain, "suffix": F.substring_index("host", ".", -1)})
 
 
 def identify_pages(pages: DataFrame, model: tuple[list[str], np.ndarray], least: float = LEAST) -> DataFrame:

@@ -96,8 +96,8 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own, at = [], i + 1
 
 
-def missed(sets: DataFrame, roots: DataFrame, rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Pairs (m, o) of (digest, row) with different roots, among them all similar ones of buckets of over NEXT + 2 sets.
+def missed(sets: DataFrame, roots: DataFrame, rows: DataFrame, least: float = SIMILARITY) -> DataFrame | None:
+    """Pairs (m, o) of (digest, row) with different roots, among them all similar ones of buckets of over NEXT + 2 sets; None if there are no such buckets.
 
     roots (node, root) are the components of the sets so far. In one order of all shingles, rare ones first, two similar sets
     share one of their first few: of the larger set n - ceil(least * n) + 1, of the smaller one n - ceil(2 * least / (1 + least) * n) + 1.
@@ -108,6 +108,8 @@ def missed(sets: DataFrame, roots: DataFrame, rows: DataFrame, least: float = SI
     mixed = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
     mixed = mixed.where((F.col("n") > NEXT + 2) & (F.col("low") < F.col("high"))).select("bucket")
     asked = written(salted_join(members, mixed, "bucket", "digest").select("digest", "row", "root").distinct())
+    if asked.isEmpty():
+        return None
     held = rows.select("row", text_of().alias("text")).join(asked, "row").select("digest", "row", "root", "text")
     held = written(held.mapInArrow(_sets_of, "digest long, row long, root long, n long, hashes array<long>"))
     each = held.select("digest", "root", F.explode("hashes").alias("hash"))

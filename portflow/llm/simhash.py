@@ -217,6 +217,7 @@ def similar_groups(rows: DataFrame, distance: int = DISTANCE, least: float = shi
     near = links(one.select("fp"), distance).where("u <> v").distinct()
     near = near.join(one.withColumnsRenamed({"fp": "u", "one": "m"}), "u").join(one.withColumnsRenamed({"fp": "v", "one": "o"}), "v").select("m", "o")
     roots = components(shingles.verified([same, near, shingles.candidates(sets)], rows, least))
-    more = shingles.verified([shingles.missed(sets, roots, rows, least)], rows, least)
-    roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(more))
+    more = shingles.missed(sets, roots, rows, least)
+    if more is not None:
+        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(shingles.verified([more], rows, least)))
     return sketched.join(roots.withColumnRenamed("node", "digest"), "digest", "left").select("row", "digest", F.coalesce("root", "digest").alias("root"))

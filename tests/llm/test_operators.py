@@ -803,3 +803,34 @@ def test_toxicity_edges(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = toxicity.scored_documents(docs(spark, EDGES), labels).collect()
     assert len(got) == len(EDGES) and all(r.predicted == 0 for r in got)
+
+
+def test_rules_beyond_ascii():
+    """What the index lets through is all that a rule finds by itself, letters beyond ASCII and ignored case included."""
+    patterns = ["ÉÉÉ[a-z]+", "(?i:secretkey)=", "(?i)tokÉn", "(?i)(?a:kiss)=", "(?ai)risk=", "[KS]ecr[eé]t", "(?:kéy|task)x", "(?i:ab(?-i:kiss))", "straße"]
+    texts = ["xx ÉÉÉabc", "\u017fecretKey=", "SECRET\u212aEY=", "TOKéN", "tokÉn", "KISS=", "ri\u017fk=", "RISK=", "Kecret Secrét", "kéyx taskx", "ABkiss", "straße", "plain", ""]
+    for pattern in patterns:
+        rule = secrets.Rule("r", pattern)
+        got = [[(a, b) for a, _, b in spans] for spans in secrets.scan_segment(texts, (rule,))]
+        assert got == [[m.span() for m in re.finditer(pattern, t)] for t in texts], pattern
+    assert secrets.asked(secrets.trigram_query("(?ai)risk=")) and not secrets.asked(secrets.trigram_query("(?i)risk"))
+
+
+def test_letters_that_ignored_case_widens():
+    wide = {c for c in "abcdefghijklmnopqrstuvwxyz" if any(re.fullmatch(c, chr(x), re.IGNORECASE) for x in range(128, 0x10000))}
+    assert wide == set(secrets._WIDE)
+
+
+def test_pages_of_hostile_markup(spark):
+    """Megabytes of unclosed markup take seconds; what is hidden goes, what is not a tag stays."""
+    import time
+
+    n = 2_000_000
+    pages = [(1, "http://a.b.example.de/x", "<HTML lang='de'><p title=x>eins &amp; zwei<script>no</SCRIPT>drei<!-- no -->vier 1 < 2<style>no"), (2, None, None), (3, "http://host/", "<html>"), (4, "ftp://x.org", "<htmlx lang=en>")]
+    made = [(10 + i, "http://" + "a" * 100_000 + ".", x * (n // len(x))) for i, x in enumerate(["<script>", "<!--", "<html ", "<", "<style><!--<script>", "&a", "<html lang", "</script>"])]
+    start = time.time()
+    got = {r.page_id: r for r in langid.page_evidence(spark.createDataFrame(pages + made, "page_id long, url string, html string").repartition(4)).collect()}
+    assert time.time() - start < 60
+    assert (got[1].host, got[1].domain, got[1].suffix, got[1].declared) == ("a.b.example.de", "example.de", "de", "de")
+    assert got[1].text.split() == ["eins", "zwei", "drei", "vier", "1", "<", "2"]
+    assert got[2].text == "" and got[2].host is None and (got[3].domain, got[3].suffix, got[3].declared, got[4].declared) == (None, "host", None, None)
