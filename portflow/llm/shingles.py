@@ -84,24 +84,26 @@ def candidates(sets: DataFrame) -> DataFrame:
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(digest, row, root, text) as (digest, row, root, n, hashes)."""
+    """(digest, root, text) as (digest, root, n, hashes)."""
     for batch in batches:
         own, at = [], 0
         for i, text in enumerate(batch.column("text")):
             own.append(np.unique(shingle_hashes(text.as_buffer().to_pybytes())).view(np.int64))
             if sum(map(len, own)) >= HELD or i == batch.num_rows - 1:
-                part = batch.select(["digest", "row", "root"]).slice(at, len(own))
+                part = batch.select(["digest", "root"]).slice(at, len(own))
                 sizes = pa.array([len(x) for x in own], pa.int64())
-                yield pa.RecordBatch.from_arrays([*part.columns, sizes, pa.array(own, pa.list_(pa.int64()))], ["digest", "row", "root", "n", "hashes"])
+                yield pa.RecordBatch.from_arrays([*part.columns, sizes, pa.array(own, pa.list_(pa.int64()))], ["digest", "root", "n", "hashes"])
                 own, at = [], i + 1
 
 
 def missed(sets: DataFrame, roots: DataFrame, rows: DataFrame, least: float = SIMILARITY) -> DataFrame | None:
-    """Pairs (m, o) of (digest, row) with different roots, among them all similar ones of buckets of over NEXT + 2 sets; None if there are no such buckets.
+    """Edges (u, v) of digests: all similar pairs with different roots in buckets of over NEXT + 2 sets; None if there are no such buckets.
 
     roots (node, root) are the components of the sets so far. In one order of all shingles, rare ones first, two similar sets
     share one of their first few: of the larger set n - ceil(least * n) + 1, of the smaller one n - ceil(2 * least / (1 + least) * n) + 1.
     Shingles of one component only come first and are not joined, so that sets of one component never meet, however many they are.
+    A pair that meets is dropped where the shingles they share so far and the fewer of those that follow can't be enough; the
+    others are verified on the shingles of several components, which are all that they can share. No text is shipped.
     """
     named = written(sets.select("digest", "row", "bands").join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest")))
     members = named.select("digest", "row", "root", F.posexplode("bands").alias("band", "key")).withColumn("bucket", F.xxhash64("band", "key")).drop("band", "key")
@@ -110,21 +112,30 @@ def missed(sets: DataFrame, roots: DataFrame, rows: DataFrame, least: float = SI
     asked = written(salted_join(members, mixed, "bucket", "digest").select("digest", "row", "root").distinct())
     if asked.isEmpty():
         return None
-    held = rows.select("row", text_of().alias("text")).join(asked, "row").select("digest", "row", "root", "text")
-    held = written(held.mapInArrow(_sets_of, "digest long, row long, root long, n long, hashes array<long>"))
+    held = rows.select("row", text_of().alias("text")).join(asked, "row").select("digest", "root", "text")
+    held = written(held.mapInArrow(_sets_of, "digest long, root long, n long, hashes array<long>"))
     each = held.select("digest", "root", F.explode("hashes").alias("hash"))
     common = each.groupBy("hash").agg(F.count("*").alias("f"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("hash", "f")
     shared = salted_join(each.select("digest", "hash"), common, "hash", "digest").groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("f", "hash"))).alias("shared"))
+    shared = shared.select("digest", F.transform("shared", lambda x: x.hash).alias("shared"))
     tokens = written(held.drop("hashes").join(shared, "digest"))  # a list has a text's shingles at most
 
     def first(share: float) -> DataFrame:
         exclusive = F.col("n") - F.size("shared")
         length = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * F.lit(share) - F.lit(1e-9)) + 1 - exclusive).cast("int")
-        return tokens.select("digest", "row", "root", "n", F.explode(F.slice("shared", F.lit(1), length)).alias("t")).select("t.hash", F.struct("n", "digest", "row", "root").alias("m"))
+        each = tokens.select("digest", "root", "n", F.size("shared").alias("size"), F.posexplode(F.slice("shared", F.lit(1), length)).alias("at", "hash"))
+        return each.select("hash", F.struct("n", "digest", "root", "at", (F.col("size") - 1 - F.col("at")).alias("rest")).alias("m"))
 
+    need = F.ceil((F.col("m.n") + F.col("o.n")) * F.lit(least / (1 + least)) - F.lit(1e-9))
+    rest = lambda at: at + F.least("m.rest", "o.rest")
     pairs = salted_join(first(least), first(2 * least / (1 + least)).withColumnRenamed("m", "o"), "hash", "m")
     pairs = pairs.where((F.col("m.root") != F.col("o.root")) & (F.struct("o.n", "o.digest") < F.struct("m.n", "m.digest")) & (F.col("o.n") >= F.col("m.n") * F.lit(least) - F.lit(1e-9)))
-    return pairs.select(F.struct("m.digest", "m.row").alias("m"), F.struct("o.digest", "o.row").alias("o"))
+    pairs = pairs.where(rest(F.least("m.at", "o.at") + 1) >= need)  # at each shingle that a similar pair shares
+    pairs = pairs.groupBy(F.col("m.digest").alias("u"), F.col("o.digest").alias("v")).agg(F.count("*").alias("met"), F.min(F.least("m.rest", "o.rest")).alias("rest"), F.first(need).alias("need"))
+    pairs = written(pairs.where("met + rest >= need").select("u", "v", "need"))
+    own = tokens.select("digest", "shared")
+    both = pairs.join(own.toDF("u", "u_shared"), "u").join(own.toDF("v", "v_shared"), "v")
+    return both.where(F.size(F.array_intersect("u_shared", "v_shared")) >= F.col("need")).select("u", "v")
 
 
 def verified(pairs: list[DataFrame], rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
