@@ -30,6 +30,8 @@ SHINGLE, SIMILARITY, SEED = 5, 0.8, 42
 BANDS, ROWS, NEXT, PARTS = 16, 5, 4, 64
 #: Hashes of a batch of sets.
 HELD = 1 << 20
+#: Shingles before and after one that a pair shares which are looked at when it meets.
+WINDOW = 16
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -102,8 +104,9 @@ def missed(sets: DataFrame, roots: DataFrame, rows: DataFrame, least: float = SI
     roots (node, root) are the components of the sets so far. In one order of all shingles, rare ones first, two similar sets
     share one of their first few: of the larger set n - ceil(least * n) + 1, of the smaller one n - ceil(2 * least / (1 + least) * n) + 1.
     Shingles of one component only come first and are not joined, so that sets of one component never meet, however many they are.
-    A pair that meets is dropped where the shingles they share so far and the fewer of those that follow can't be enough; the
-    others are verified on the shingles of several components, which are all that they can share. No text is shipped.
+    A pair meets at the first shingle that it shares: where it also shares one of the WINDOW shingles before, it has met there. It is
+    dropped where those that follow can't be enough: of the next WINDOW those shared, beyond them what the one with more there has
+    left. The others are verified on the shingles of several components, which are all that they can share. No text is shipped.
     """
     named = written(sets.select("digest", "row", "bands").join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest")))
     members = named.select("digest", "row", "root", F.posexplode("bands").alias("band", "key")).withColumn("bucket", F.xxhash64("band", "key")).drop("band", "key")
@@ -123,16 +126,20 @@ def missed(sets: DataFrame, roots: DataFrame, rows: DataFrame, least: float = SI
     def first(share: float) -> DataFrame:
         exclusive = F.col("n") - F.size("shared")
         length = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * F.lit(share) - F.lit(1e-9)) + 1 - exclusive).cast("int")
-        each = tokens.select("digest", "root", "n", F.size("shared").alias("size"), F.posexplode(F.slice("shared", F.lit(1), length)).alias("at", "hash"))
-        return each.select("hash", F.struct("n", "digest", "root", "at", (F.col("size") - 1 - F.col("at")).alias("rest")).alias("m"))
+        at = lambda x, i: F.struct(
+            i.alias("at"), x.alias("hash"), F.slice("shared", F.greatest(F.lit(1), i + 1 - WINDOW), F.least(i, F.lit(WINDOW))).alias("before"), F.slice("shared", i + 2, F.lit(WINDOW)).alias("after")
+        )
+        each = tokens.select("digest", "root", "n", F.size("shared").alias("size"), F.transform(F.slice("shared", F.lit(1), length), at).alias("t"))
+        each = each.select("digest", "root", "n", "size", F.explode("t").alias("t"))
+        return each.select("t.hash", F.struct("n", "digest", "root", (F.col("size") - 1 - F.col("t.at")).alias("rest"), "t.before", "t.after").alias("m"))
 
     need = F.ceil((F.col("m.n") + F.col("o.n")) * F.lit(least / (1 + least)) - F.lit(1e-9))
-    rest = lambda at: at + F.least("m.rest", "o.rest")
+    beyond = F.greatest(F.col("m.rest") - F.size("m.after"), F.col("o.rest") - F.size("o.after"))
+    rest = F.least("m.rest", "o.rest", F.size(F.array_intersect("m.after", "o.after")) + beyond)
     pairs = salted_join(first(least), first(2 * least / (1 + least)).withColumnRenamed("m", "o"), "hash", "m")
     pairs = pairs.where((F.col("m.root") != F.col("o.root")) & (F.struct("o.n", "o.digest") < F.struct("m.n", "m.digest")) & (F.col("o.n") >= F.col("m.n") * F.lit(least) - F.lit(1e-9)))
-    pairs = pairs.where(rest(F.least("m.at", "o.at") + 1) >= need)  # at each shingle that a similar pair shares
-    pairs = pairs.groupBy(F.col("m.digest").alias("u"), F.col("o.digest").alias("v")).agg(F.count("*").alias("met"), F.min(F.least("m.rest", "o.rest")).alias("rest"), F.first(need).alias("need"))
-    pairs = written(pairs.where("met + rest >= need").select("u", "v", "need"))
+    pairs = pairs.where((F.least("m.rest", "o.rest") + 1 >= need) & ~F.arrays_overlap("m.before", "o.before") & (rest + 1 >= need))
+    pairs = written(pairs.groupBy(F.col("m.digest").alias("u"), F.col("o.digest").alias("v")).agg(F.first(need).alias("need")))
     own = tokens.select("digest", "shared")
     both = pairs.join(own.toDF("u", "u_shared"), "u").join(own.toDF("v", "v_shared"), "v")
     return both.where(F.size(F.array_intersect("u_shared", "v_shared")) >= F.col("need")).select("u", "v")

@@ -9,7 +9,7 @@ from tests.conftest import SF
 from tests.llm.test_operators import brute_secrets, check_bins, docs
 
 import corpus_pipeline as pipeline
-from portflow.llm import simhash
+from portflow.llm import shingles, simhash
 
 
 def rows(df):
@@ -130,6 +130,25 @@ def test_pairs_of_a_template_site_are_all_found(spark):
         assert {tuple(sorted(x)) for x in own.values()} == pairs | {(i,) for i in range(400, 1400)}
 
 
+def test_second_pass_finds_every_pair_of_a_bucket(spark, monkeypatch):
+    """One bucket of 120 sets that are all roots: the edges are the pairs at 0.8 or more of all, whatever the windows hold."""
+    base, texts, rng = [words_of(k, 90) for k in range(3)], {}, random.Random(3)
+    for i in range(120):
+        w = list(base[i % 3])
+        for k in rng.sample(range(90), rng.randrange(6)):
+            w[k] = rng.choice("pqrs")
+        texts[i] = w[: rng.randrange(75, 91)]
+    want = near_pairs(texts)
+    assert 300 < len(want) < 2000
+    rows_in = docs(spark, [(i, " ".join(w)) for i, w in texts.items()]).select(F.col("doc_id").alias("row"), "text")
+    sets = rows_in.select(F.col("row").alias("digest"), "row", F.array(F.lit(7), *[F.col("row") + 1000 * k for k in range(1, shingles.BANDS)]).alias("bands"))
+    roots = spark.createDataFrame([], "node long, root long")
+    for window in (1, shingles.WINDOW):
+        monkeypatch.setattr(shingles, "WINDOW", window)
+        got = [tuple(sorted(r)) for r in shingles.missed(sets, roots, rows_in).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_documents_without_letters_go(spark):
     given = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en' and n_chars > 50")
     given = given.unionByName(docs(spark, [(-1, "12 34 !!"), (-2, None)], given.first().source).select(*pipeline.COLUMNS))
