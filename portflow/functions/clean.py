@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from portflow.specs import CANCELED_AFTER_DAYS, VoyageStatus
 
 
+#: The characters that Unicode calls white space.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def text(c: Column) -> Column:
     """Trimmed of all Unicode white space; blank is NULL."""
-    return F.nullif(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""), F.lit(""))
+    return F.nullif(F.btrim(c, F.lit(WHITE)), F.lit(""))
 
 
 def whole(c: Column) -> Column:
@@ -35,8 +39,9 @@ def clock(c: Column) -> Column:
 
 def reported_at(c: Column) -> Column:
     """MMDDYYYYHHMM, or MMDDYYYY as midnight; anything else is NULL."""
-    t = text(c)
-    return F.coalesce(F.try_to_timestamp(t, F.lit("MMddyyyyHHmm")), F.try_to_timestamp(t, F.lit("MMddyyyy")))
+    t = text(c)  # what is too short for a pattern is not tried on it, as every failure costs an exception
+    longer, shorter = (F.when(F.length(c) >= len(p), F.try_to_timestamp(t, F.lit(p))) for p in ("MMddyyyyHHmm", "MMddyyyy"))
+    return F.coalesce(longer, shorter)
 
 
 def classify(work_date: Column, reported: Column) -> Column:

@@ -14,19 +14,15 @@ _LONG_KEYS = ["load_id", "row_no", "voyage"]
 def clean_report(raw: DataFrame) -> DataFrame:
     """Typed vessel-report rows; `bad_cells` counts cells that are neither blank nor readable."""
     numbers = [m[0] for m in MEASURES]
-    bad = [clean.bad_whole(F.col(c)) for c in numbers]
-    bad += [clean.text(F.col(c)).isNotNull() & read(F.col(c)).isNull() for c, read in (("work_date", clean.day), ("worktime", clean.clock))]
-    return raw.select(
-        "load_id",
-        "row_no",
-        *(clean.text(F.col(c)).alias(c) for c in REPORT_TEXT),
-        clean.day(F.col("work_date")).alias("work_date"),
-        clean.clock(F.col("worktime")).alias("worktime"),
-        *(clean.whole(F.col(c)).alias(c) for c in numbers),
-        clean.text(F.col("reported")).alias("reported"),
-        clean.reported_at(F.col("reported")).alias("reported_at"),
-        sum((b.cast("int") for b in bad), F.lit(0)).alias("bad_cells"),
-    )
+    # one step after the other, so that no cell is trimmed or read twice
+    cells = raw.withColumns({c: clean.text(F.col(c)) for c in (*REPORT_TEXT, "work_date", "worktime", *numbers, "reported")})
+    read = {"work_date": clean.day, "worktime": clean.clock} | dict.fromkeys(numbers, clean.whole)
+    typed = cells.withColumns({f"{c}_read": f(F.col(c)) for c, f in read.items()})
+    bad = [(F.col(c).isNotNull() & F.col(f"{c}_read").isNull()).cast("int") for c in read]
+    return typed.select(
+        "load_id", "row_no", *REPORT_TEXT, F.col("work_date_read").alias("work_date"), F.col("worktime_read").alias("worktime"), *(F.col(f"{c}_read").alias(c) for c in numbers),
+        "reported", clean.reported_at(F.col("reported")).alias("reported_at"), sum(bad, F.lit(0)).alias("bad_cells"),
+    )
 
 
 def voyage_header(report: DataFrame) -> DataFrame:

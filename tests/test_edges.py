@@ -226,3 +226,14 @@ def test_value_ids_are_stable(spark):
 
 def test_specs_agree():
     assert {c for c, _ in GATE.names} <= set(GATE.identity) and {c for c, _ in STREET_USE.names} <= set(STREET_USE.identity)
+
+
+def test_each_cell_is_trimmed_once(spark):
+    """A cell that is read, and held against what was read, is trimmed for both; and no pattern is tried on what is too short for it."""
+    raw = spark.createDataFrame([], ", ".join(f"{c} string" for c in (*REPORT_TEXT, "work_date", "worktime", *(m[0] for m in MEASURES), "reported"))).selectExpr("1L as load_id", "1L as row_no", "*")
+    plan = reshape.clean_report(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan
+    white = "".join(map(chr, (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+    assert white == clean.WHITE and all(c.isspace() for c in white)
+    df = spark.createDataFrame([(f"{white}a{white}b{white}",), (white,), ("​﻿᠎",)], "t string")  # the last are no white space
+    assert [r[0] for r in df.select(clean.text(F.col("t"))).collect()] == [f"a{white}b", None, "​﻿᠎"]
