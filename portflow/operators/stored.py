@@ -8,7 +8,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portflow.functions import clean
@@ -93,9 +93,10 @@ def stage_voyages(store: Store, m: Manifest, table: str, report: DataFrame, file
     new = report.join(F.broadcast(store.spark.createDataFrame([(f,) for f in files], "load_id long")), "load_id", "left_semi").where("voyage is not null").groupBy("voyage", "load_id").agg(last).select("voyage", "load_id", "x.work_date", "x.reported_at")
     ours = new.unionByName(store.read(table, APPEARANCES, m, looked).select(*new.columns))
     order = store.spark.createDataFrame(list(follows.items()), "load_id long, next_file long")
-    there = ours.select("voyage", F.col("load_id").alias("next_file"), F.lit(True).alias("there"))
-    seen = ours.join(F.broadcast(order), "load_id").join(there, ["voyage", "next_file"], "left")  # order: a row a file of the partitions
-    fell = F.col("next_file").isNotNull() & F.col("there").isNull()
+    # a voyage is in the next file if that is where it is seen next: `ours` is gone through once, and not held against itself
+    next_seen = F.lead("load_id").over(Window.partitionBy("voyage").orderBy("load_id"))
+    seen = ours.withColumn("next_seen", next_seen).join(F.broadcast(order), "load_id")  # order: a row a file of the partitions
+    fell = F.col("next_file").isNotNull() & (F.col("next_seen").isNull() | (F.col("next_seen") != F.col("next_file")))
     status = F.when(fell, clean.classify(F.col("work_date"), F.col("reported_at")))
     rows = seen.select("voyage", "load_id", "work_date", "reported_at", "next_file", fell.alias("fell_off"), status.alias("status"))
     key = F.expr(f"(load_id - pmod(load_id, {span})) div {span}").cast("string")

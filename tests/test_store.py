@@ -270,3 +270,13 @@ def test_points_in_time_equal_brute_force(spark, width):
     want = [(w, at, k, f, t, v) for w, at, k in points for x, f, t, v in line if x == w and f <= at and (t is None or t > at)]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
     assert not {"CartesianProduct", "BroadcastNestedLoopJoin"} & set(got._jdf.queryExecution().executedPlan().toString().split())
+
+
+def test_a_step_goes_through_its_rows_once(spark, store, monkeypatch):
+    """Whether a voyage is in the next file is told by where it is seen next; rows are not made again to be held against themselves."""
+    plans, stage = [], stores.Store.stage
+    monkeypatch.setattr(stores.Store, "stage", lambda self, table, rows, *a, **k: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or stage(self, table, rows, *a, **k))
+    line = lambda f, *vs: [(f, k, v, "2026-01-01", "2026-01-01T00:00:00") for k, v in enumerate(vs)]
+    stored.advance_voyages(store, "v", report(spark, line(1, "A", "B") + line(2, "B")), [1, 2])
+    assert plans[0].count("Aggregate [voyage") == 1
+    assert {(r.voyage, r.load_id, r.fell_off) for r in store.read("v", stored.APPEARANCES).collect()} == {("A", 1, True), ("B", 1, False), ("B", 2, False)}
