@@ -86,7 +86,7 @@ def details(run: Processed, report: DataFrame) -> DataFrame:
 
 
 def fields(run: Processed, report: DataFrame) -> DataFrame:
-    return voyage.field_map(reshape.voyage_fields(report.join(run.good, "load_id", "left_semi")))
+    return voyage.report_fields(report.join(run.good, "load_id", "left_semi"))
 
 
 def facts(run: Processed, rows: DataFrame, spec: FactSpec) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from portflow.functions import clean
-from portflow.specs import FactSpec, VoyageStatus
+from portflow.specs import FIELDS, FactSpec, VoyageStatus
 
 VOYAGE = FactSpec(("voyage",), ("work_date", "worktime", "reported_at"))
 
@@ -76,3 +76,11 @@ def past_details(details: DataFrame, current: DataFrame) -> DataFrame:
 def field_map(fields: DataFrame) -> DataFrame:
     """The latest value that is not blank, for each voyage and field type."""
     return fields.groupBy("voyage", "field_type_id").agg(F.max_by("field_value", F.struct("load_id", "row_no")).alias("field_value"))
+
+
+def report_fields(report: DataFrame) -> DataFrame:
+    """field_map() of a report's fields, found before they are unpivoted: what is sorted by voyage is one row a report row, not one a field."""
+    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("load_id", "row_no"))).alias(c)
+    latest = report.groupBy("voyage").agg(*(last(c) for c, _ in FIELDS))
+    pairs = F.explode(F.array(*(F.struct(F.lit(t).alias("field_type_id"), F.col(c).alias("field_value")) for c, t in FIELDS))).alias("p")  # six a voyage
+    return latest.select("voyage", pairs).select("voyage", "p.*").where("field_value is not null")

@@ -210,7 +210,7 @@ def voyage_details_history(spark, sf_dir):
 
 @query(f"with c as ({_CLEAN}), d as ({_FIELDS}), x as (select *, row_number() over (partition by voyage, field_type_id order by load_id desc, row_no desc) as k from d) select voyage, field_type_id, field_value from x where k = 1")
 def voyage_field_map(spark, sf_dir):
-    return voyage.field_map(reshape.voyage_fields(report(spark, sf_dir)))
+    return voyage.report_fields(report(spark, sf_dir))
 
 
 @query(

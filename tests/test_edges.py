@@ -237,3 +237,15 @@ def test_each_cell_is_trimmed_once(spark):
     assert white == clean.WHITE and all(c.isspace() for c in white)
     df = spark.createDataFrame([(f"{white}a{white}b{white}",), (white,), ("​﻿᠎",)], "t string")  # the last are no white space
     assert [r[0] for r in df.select(clean.text(F.col("t"))).collect()] == [f"a{white}b", None, "​﻿᠎"]
+
+
+def test_report_fields_equal_the_map_of_unpivoted_fields(spark):
+    """Blank cells keep the value before, voyages without a number are one group, and nothing is unpivoted before it is grouped."""
+    raw = [(load, row, v, vessel, port) for load, row, v, vessel, port in [(1, 1, "A", "X", "P"), (2, 1, "A", None, "Q"), (2, 2, "A", "Y", None), (3, 1, None, "Z", None), (1, 2, None, "W", "R"), (4, 1, "B", None, None)]]
+    df = spark.createDataFrame(raw, "load_id long, row_no long, voyage string, vessel string, to_port string")
+    df = df.withColumns({c: F.lit(None).cast("string") for c in ("line", "service", "terminal", "from_port")})
+    got = voyage.report_fields(df)
+    want = voyage.field_map(reshape.voyage_fields(df)).collect()
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want} and len(want) == 4
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate") and "Expand" not in plan  # the plan is written from its end
