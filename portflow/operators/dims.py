@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from portflow.functions import clean
+from portflow.sources.folders import shared_dir
 from portflow.sources.store import Store
 from portflow.specs import FIELD_TYPES, FactSpec
 
@@ -163,8 +164,7 @@ def to_notify(dimension: DataFrame) -> DataFrame:
 
 
 def trimmed_names(frames: Iterable[tuple[DataFrame, FactSpec]]) -> DataFrame:
-    out = None
-    for rows, spec in frames:
-        part = names_of(rows.withColumns({c: clean.text(F.col(c)) for c, _ in spec.names}), spec)
-        out = part if out is None else out.unionByName(part)
-    return out.distinct()
+    """Distinct (field_type_id, value) of the name columns of several facts, trimmed: once a name and not once a row, and kept, as those who number names read them several times."""
+    out = reduce(DataFrame.unionByName, (names_of(rows, spec) for rows, spec in frames))
+    shared_dir(out.sparkSession)
+    return out.select("field_type_id", clean.text(F.col("value")).alias("value")).where("value is not null").distinct().checkpoint()

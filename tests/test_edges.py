@@ -249,3 +249,19 @@ def test_report_fields_equal_the_map_of_unpivoted_fields(spark):
     assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want} and len(want) == 4
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate") < plan.index("Aggregate") and "Expand" not in plan  # the plan is written from its end
+
+
+def test_names_are_made_once(spark):
+    """Distinct before they are trimmed, and kept, so that numbering them twice does not read the facts again."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.createDataFrame([("  a",), ("a",), ("b ",), (" ",), (None,)], "name string").coalesce(1).mapInArrow(counted, "name string")
+    names = dims.trimmed_names([(rows, FactSpec((), (), (("name", 5),)))])
+    first = dims.find_or_create_values(None, names.where("value = 'a'"))
+    assert {r.value for r in dims.find_or_create_values(first, names).collect()} == {"a", "b"}
+    assert seen.value == 5
