@@ -24,12 +24,13 @@ from re import _parser as sre_parse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portflow.llm.shared import text_of
 
-_STRINGS, _SEGMENT_BYTES = 64, 8_000_000
+_STRINGS, _SEGMENT_BYTES = 64, 1_000_000
 #: ASCII letters that match others where case is ignored (dotless and dotted i, the Kelvin sign, the long s).
 _WIDE = "iks"
 
@@ -214,12 +215,14 @@ def scan_segment(texts: list[str], rules: tuple[Rule, ...] = RULES) -> list[list
 
 
 def _segments(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    texts, at, size = batch.column(column).to_pylist(), 0, 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= _SEGMENT_BYTES or i == len(texts) - 1:
-            yield batch.slice(at, i + 1 - at), [x or "" for x in texts[at : i + 1]]
-            at, size = i + 1, 0
+    """A batch cut into segments, whose texts alone become Python's: a task holds one segment beside its Arrow batch."""
+    texts = batch.column(column)
+    sizes, at = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)), 0
+    while at < len(texts):
+        end = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + _SEGMENT_BYTES)) + 1
+        part = batch.slice(at, min(end, len(texts)) - at)
+        yield part, [x or "" for x in part.column(column).to_pylist()]
+        at = end
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -218,3 +218,18 @@ def test_empty(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_a_scan_holds_one_segment_at_a_time():
+    """Of a batch only the segment at work is Python text, and segments are small beside what numpy needs for them."""
+    import pyarrow as pa
+
+    from portflow.llm import secrets
+
+    size = 400_000
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * size, None, "", "é" * (size // 2), "y" * 3 * size, "z"] * 3, pa.string())], ["text"])
+    parts = list(secrets._segments(batch, "text"))
+    assert [t for _, texts in parts for t in texts] == [t or "" for t in batch.column("text").to_pylist()]
+    assert all(p.num_rows == len(texts) for p, texts in parts) and sum(p.num_rows for p, _ in parts) == 18
+    assert max(sum(len(t.encode()) for t in texts[:-1]) for _, texts in parts) < 1_000_000
+    assert list(secrets._segments(batch.slice(0, 0), "text")) == []
