@@ -91,7 +91,7 @@ def score_text(pages: DataFrame, model: tuple[list[str], np.ndarray], text: str
         p = shared.value
         for batch in batches:
             out, foreign = [], []
-            for t in map(pa.Scalar.as_py, batch.column(text)):  # one text at a time
+            for t in (x.as_py() for x in batch.column(text)):  # one text at a time
                 c = trigram_codes(t or "")
                 mean = (np.bincount(c, minlength=CODES) @ p.T if len(c) > 8 * CODES else p[:, c].sum(axis=1)) / len(c) if len(c) else None
                 out.append(None if mean is None else mean * weighed(len(c), evidence))

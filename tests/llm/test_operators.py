@@ -460,6 +460,15 @@ def test_languages(spark):
     assert langid.identify_documents(docs(spark, []), model).count() == 0
 
 
+def test_texts_are_scored_in_tasks(spark):
+    """Whatever an Arrow batch holds becomes Python text: blanks, nothing, letters beyond ASCII, and more trigrams than there are codes."""
+    model = (["a", "b"], np.log(np.full((2, langid.CODES), 1.0 / langid.CODES)))
+    given = docs(spark, [(1, None), (2, ""), (3, "größer"), (4, "some words " * langid.CODES)], source=None).coalesce(1)
+    got = {r.doc_id: r for r in langid.score_text(given, model).collect()}
+    assert [got[k].ll is None for k in (1, 2, 3, 4)] == [True, True, False, False]
+    assert len(got[3].ll) == len(got[4].ll) == 2
+
+
 def test_unknown_languages_are_und(spark):
     rows = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
     model = langid.fit_text_model(rows.where("doc_id % 2 = 0"))
