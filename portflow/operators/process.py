@@ -1,13 +1,13 @@
 """The processing run: what is pending is validated, and what passes becomes voyages, details, fields and facts.
 
-A load counts as a whole or not at all: a rejected one changes no voyage, drops none from the report and leaves an error
+Ledgers are broadcast, a row a load, so that rows of other loads go before anything is grouped. A load counts as a whole or not at all: a rejected one changes no voyage, drops none from the report and leaves an error
 row and a failed status. State is derived from the rows of all loads that count, so that a run that is repeated, or goes on
 after it was cut off, comes to the same state; rows are keyed by load, and nothing is written twice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from portflow.operators import ledger, reshape, validate, versions, voyage
 from portflow.sources.folders import shared_dir
-from portflow.specs import FactSpec, LoadStatus, LoadType
+from portflow.specs import MEASURES, FactSpec, LoadStatus, LoadType
 
 
 @dataclass(frozen=True)
@@ -48,13 +48,14 @@ def _run(loads: DataFrame, load_type: int, rejects: Callable[[DataFrame], DataFr
     return Processed(now, events, errors, good)
 
 
-def run_voyages(loads: DataFrame, report: DataFrame, details: DataFrame | None = None) -> Processed:
-    """report: typed rows of vessel reports (clean_report); details: their measures, if made by another mapping than voyage_details."""
+def run_voyages(loads: DataFrame, report: DataFrame, details: DataFrame | None = None, measures: Iterable[tuple] = MEASURES) -> Processed:
+    """report: typed rows of vessel reports (clean_report); details: their measures, if made by another mapping than voyage_details; measures: the
+    mapping, if no details are given."""
 
     def rejects(taken: DataFrame) -> DataFrame:
-        rows = report.join(taken, "load_id", "left_semi")
-        measures = reshape.voyage_details(rows) if details is None else details.join(taken, "load_id", "left_semi")
-        return validate.rejected(validate.voyage_problems(rows, measures))
+        rows = report.join(F.broadcast(taken), "load_id", "left_semi")
+        found = None if details is None else details.join(F.broadcast(taken), "load_id", "left_semi")
+        return validate.rejected(validate.voyage_problems(rows, found, measures))
 
     return _run(loads, LoadType.VESSEL_REPORT, rejects)
 
@@ -66,7 +67,7 @@ def run_fact(loads: DataFrame, rows: DataFrame, load_type: int) -> Processed:
     def rejects(taken: DataFrame) -> DataFrame:
         if not checks:
             return taken.select("load_id", F.lit("").alias("message")).limit(0)
-        some = rows.join(taken, "load_id", "left_semi")
+        some = rows.join(F.broadcast(taken), "load_id", "left_semi")
         found = reduce(DataFrame.unionByName, (f(some) for f in checks))
         return found.groupBy("load_id").agg(F.array_join(F.sort_array(F.collect_list("message")), "; ").alias("message"))  # two at most
 
@@ -75,19 +76,19 @@ def run_fact(loads: DataFrame, rows: DataFrame, load_type: int) -> Processed:
 
 def voyages(run: Processed, report: DataFrame) -> DataFrame:
     """The status of every voyage, by the files that count: those without rows drop voyages too, rejected ones drop none."""
-    rows = report.join(run.good, "load_id", "left_semi")
+    rows = report.join(F.broadcast(run.good), "load_id", "left_semi")
     return voyage.status_current(rows, voyage.follow(run.good))
 
 
 def details(run: Processed, report: DataFrame) -> DataFrame:
     """The measures of every voyage's latest appearance, coded."""
-    rows = report.join(run.good, "load_id", "left_semi")
+    rows = report.join(F.broadcast(run.good), "load_id", "left_semi")
     return reshape.coded_details(voyage.live_details(reshape.voyage_details(rows), versions.current(rows, voyage.VOYAGE)))
 
 
 def fields(run: Processed, report: DataFrame) -> DataFrame:
-    return voyage.report_fields(report.join(run.good, "load_id", "left_semi"))
+    return voyage.report_fields(report.join(F.broadcast(run.good), "load_id", "left_semi"))
 
 
 def facts(run: Processed, rows: DataFrame, spec: FactSpec) -> DataFrame:
-    return versions.current(rows.join(run.good, "load_id", "left_semi"), spec)
+    return versions.current(rows.join(F.broadcast(run.good), "load_id", "left_semi"), spec)

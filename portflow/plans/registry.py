@@ -464,18 +464,20 @@ _SPOILED = f"""c as ({_CLEAN}), v as (select load_id, row_no, case when row_no %
   from o group by load_id)"""
 
 
-def _spoiled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Reports with every seventh voyage blank, and so on, so that there is something to reject; and their details."""
+def _boxed(which: str) -> list[tuple]:
+    """The measures, the first of them in equipment of no known type in some rows."""
+    column, equipment, *rest = MEASURES[0]
+    return [(column, F.when(F.expr(which), "BOX").otherwise(equipment), *rest), *MEASURES[1:]]
+
+
+def _spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports with every seventh voyage blank, and so on, so that there is something to reject."""
     spoil = lambda n, c: F.when(F.col("row_no") % n == 0, None).otherwise(F.col(c))
-    rows = report(spark, sf_dir).withColumns({"voyage": spoil(7, "voyage"), "work_date": spoil(11, "work_date"), "reported_at": spoil(13, "reported_at")})
-    details = reshape.voyage_details(rows)
-    first = (F.col("equipment_name") == "20CH") & (F.col("mode") == "Vessel") & (F.col("direction") == "Import")
-    details = details.withColumn("equipment_name", F.when((F.col("row_no") % 17 == 0) & first, "BOX").otherwise(F.col("equipment_name")))
-    return rows, details
+    return report(spark, sf_dir).withColumns({"voyage": spoil(7, "voyage"), "work_date": spoil(11, "work_date"), "reported_at": spoil(13, "reported_at")})
 
 
 def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.rejected(validate.voyage_problems(*_spoiled(spark, sf_dir)))
+    return validate.rejected(validate.voyage_problems(_spoiled(spark, sf_dir), measures=_boxed("row_no % 17 = 0")))
 
 
 @query(f"with {_SPOILED} select * from r")
@@ -605,9 +607,7 @@ def _run(spark: SparkSession, sf_dir: str):
     """The processing run over vessel reports, gate activity and street use, with spoiled rows in a third of the reports."""
     known, rows = _run_inputs(spark, sf_dir)
     typed = rows.pop(LoadType.VESSEL_REPORT)
-    first = (F.col("equipment_name") == "20CH") & (F.col("mode") == "Vessel") & (F.col("direction") == "Import")
-    details = reshape.voyage_details(typed).withColumn("equipment_name", F.when(F.expr(f"{_THIRD} % 17 = 0") & first, "BOX").otherwise(F.col("equipment_name")))
-    voyage_run = process.run_voyages(known, typed, details)
+    voyage_run = process.run_voyages(known, typed, measures=_boxed(f"{_THIRD} % 17 = 0"))
     run, states = sources.process_loads(voyage_run.loads, rows)
     states["voyages"] = process.voyages(voyage_run, typed)
     return known, process.Processed(run.loads, voyage_run.events.unionByName(run.events), voyage_run.errors.unionByName(run.errors), voyage_run.good.unionByName(run.good)), states

@@ -265,3 +265,21 @@ def test_names_are_made_once(spark):
     first = dims.find_or_create_values(None, names.where("value = 'a'"))
     assert {r.value for r in dims.find_or_create_values(first, names).collect()} == {"a", "b"}
     assert seen.value == 5
+
+
+def test_measures_are_judged_in_their_rows(spark):
+    """Codes that are unknown in some rows give the problems that their unpivoted details give; the report is read once."""
+    n = [m[0] for m in MEASURES]
+    rows = [(1, r, f"V{r}", dt.date(2025, 7, 4), dt.datetime(2025, 7, 3), *((r + i) % 3 for i in range(len(n)))) for r in range(1, 30)]
+    df = spark.createDataFrame(rows, "load_id long, row_no long, voyage string, work_date date, reported_at timestamp, " + ", ".join(f"{c} int" for c in n))
+    boxed, barge = F.when(F.expr("row_no % 4 = 0"), "BOX").otherwise("20CH"), F.when(F.expr("row_no % 5 = 0"), "Barge").when(F.expr("row_no % 5 <> 1"), "Rail")
+    details = reshape.voyage_details(df)
+    first = (F.col("equipment_name") == "20CH") & (F.col("mode") == "Vessel") & (F.col("direction") == "Import")
+    last = (F.col("equipment_name") == "40CH") & (F.col("mode") == "Rail")
+    details = details.withColumns({"equipment_name": F.when(first, boxed).otherwise(F.col("equipment_name")), "mode": F.when(last, barge).otherwise(F.col("mode"))})
+    measures = [(n[0], boxed, *MEASURES[0][2:]), *MEASURES[1:-1], (n[-1], "40CH", "Import", barge, 0)]
+    found = validate.voyage_problems(df, measures=measures)
+    assert sorted(found.collect()) == sorted(validate.voyage_problems(df, details).collect()) and found.count() > 10
+    assert validate.voyage_problems(df).count() == 0  # the measures as they are have codes that are known
+    odd = [("im_mt", "TANK", "Sideways", None, 0)]
+    assert {r.problem.partition(" has ")[2] for r in validate.voyage_problems(df, measures=odd).collect()} == {"equipment of no known type: TANK", "an unknown direction Sideways", "an unknown mode NULL"}
