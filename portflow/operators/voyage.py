@@ -33,8 +33,12 @@ def appearances(report: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def status_current(report: DataFrame, files: DataFrame) -> DataFrame:
-    last = appearances(report, files).where("next_seen is null")
-    return last.select("voyage", "load_id", "work_date", F.coalesce("status", F.lit(int(VoyageStatus.TO_CALL))).alias("voyage_status_id"))
+    """By the last appearance of each voyage, combined before the shuffle: it fell off if there is a file after it."""
+    rows = report.where("voyage is not null").select("voyage", "load_id", "row_no", "work_date", "worktime", "reported_at")
+    last = F.max(F.struct("load_id", "row_no", "work_date", "worktime", "reported_at", "next_file")).alias("x")
+    seen = rows.join(F.broadcast(files), "load_id").groupBy("voyage").agg(last).select("voyage", "x.*")  # files: a row each
+    status = F.when(F.col("next_file").isNotNull(), clean.classify(F.col("work_date"), F.col("reported_at")))
+    return seen.select("voyage", "load_id", "work_date", F.coalesce(status, F.lit(int(VoyageStatus.TO_CALL))).alias("voyage_status_id"))
 
 
 def fallen_off(report: DataFrame, files: DataFrame) -> DataFrame:

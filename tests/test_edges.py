@@ -283,3 +283,15 @@ def test_measures_are_judged_in_their_rows(spark):
     assert validate.voyage_problems(df).count() == 0  # the measures as they are have codes that are known
     odd = [("im_mt", "TANK", "Sideways", None, 0)]
     assert {r.problem.partition(" has ")[2] for r in validate.voyage_problems(df, measures=odd).collect()} == {"equipment of no known type: TANK", "an unknown direction Sideways", "an unknown mode NULL"}
+
+
+def test_the_current_status_needs_no_window(spark):
+    """A voyage's last appearance is combined before the shuffle; it is the last of appearances(), also where a file holds a voyage twice or a file does not count."""
+    day = dt.date(2025, 7, 4)
+    rows = [(1, 1, "A", day, 3), (1, 2, "A", day, 1), (2, 1, "B", day, 2), (3, 1, "B", None, 2), (2, 2, "C", day, 3), (4, 1, "C", day, 3), (9, 1, "D", day, 3), (3, 2, None, day, 3), (4, 2, "E", day, None)]
+    df = spark.createDataFrame([(load, r, v, d, None, None if n is None else dt.datetime(2025, 7, n)) for load, r, v, d, n in rows], "load_id long, row_no long, voyage string, work_date date, worktime string, reported_at timestamp")
+    known = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, None)], "load_id long, next_file long")
+    got = voyage.status_current(df, known)
+    last = voyage.appearances(df, known).where("next_seen is null").selectExpr("voyage", "load_id", "work_date", "coalesce(status, 1) as voyage_status_id")
+    assert sorted(map(str, got.collect())) == sorted(map(str, last.collect())) and {r.voyage for r in got.collect()} == set("ABCE")
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
