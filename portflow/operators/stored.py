@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Callable, Iterable
+from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from portflow.functions import clean
 from portflow.operators import ledger, process, reshape, versions, voyage
 from portflow.sources.store import Manifest, Staged, Store
-from portflow.specs import FactSpec, VoyageStatus
+from portflow.specs import MEASURES, REPORT_TEXT, FactSpec, VoyageStatus
 
 NO_DAY = "none"
 
@@ -33,11 +34,11 @@ def day_of(spec: FactSpec) -> Column:
 def stage_upsert(store: Store, m: Manifest, table: str, batch: DataFrame, spec: FactSpec) -> Staged:
     """The batch's days as they are after it: what the store has of those days, and no other, is read, merged and written aside."""
     columns = [*spec.identity, "load_id", "row_no", *spec.payload]
-    batch = versions.current(batch.select(*columns), spec).select(*columns)
-    days = sorted(r[0] for r in batch.select(day_of(spec)).distinct().collect())  # a row a day
-    owners = m.owners(table)
-    known = store.read(table, _schema(batch), m, days)
-    return store.stage(table, versions.upsert(known, batch, spec).select(*columns), day_of(spec), {d: owners.get(d, (None,))[0] for d in days}, days)
+    with store.aside(versions.current(batch.select(*columns), spec).select(*columns)) as batch:
+        days = sorted(r[0] for r in batch.select(day_of(spec)).distinct().collect())  # a row a day
+        owners = m.owners(table)
+        known = store.read(table, _schema(batch), m, days)
+        return store.stage(table, versions.upsert(known, batch, spec).select(*columns), day_of(spec), {d: owners.get(d, (None,))[0] for d in days}, days)
 
 
 def upsert(store: Store, table: str, batch: DataFrame, spec: FactSpec, stream: str | None = None, number: int | None = None) -> bool:
@@ -147,6 +148,7 @@ LOADS = "load_id long, source_name string, load_type_id int, load_status_id int"
 EVENTS = "load_id long, seq long, status int"
 ERRORS = "load_id long, message string"
 _DETAILS = "load_id long, row_no long, voyage string, equipment_id int, direction_id int, mode_id int, loaded boolean, containers int"
+_REPORT = ("load_id", "row_no", *REPORT_TEXT, "work_date", "reported_at", *(m[0] for m in MEASURES))
 _FIELDS = "load_id long, row_no long, voyage string, field_type_id int, field_value string"
 
 
@@ -174,20 +176,22 @@ def process_stored(store: Store, errors: Store, sources: dict[int, tuple[DataFra
         loads, staged, steps = ledger_of(store, m), [], []
         for load_type, (rows, spec, table) in sources.items():
             wanted = process.pending(loads, load_type).select("load_id").checkpoint()  # a row a load
-            some = rows.join(wanted, "load_id", "left_semi")
-            run = process.run_fact(loads, some, load_type) if spec else process.run_voyages(loads, some)
-            steps.append(run.events)
-            if not errors.manifest().has(f"{stream}-{int(load_type)}", number):
-                errors.publish([errors.stage("errors", run.errors)], f"{stream}-{int(load_type)}", number)
-            passed = wanted.join(run.errors, "load_id", "left_anti")
-            good = some.join(passed, "load_id", "left_semi")
-            if spec:
-                staged.append(stage_upsert(store, m, table, good, spec))
-                continue
-            files = [r["load_id"] for r in passed.collect()]  # a number a new file
-            staged += stage_voyages(store, m, table, good, files)
-            staged.append(store.stage("details", reshape.coded_details(reshape.voyage_details(good))))
-            staged.append(store.stage("fields", reshape.voyage_fields(good)))
+            some = rows.join(F.broadcast(wanted), "load_id", "left_semi")
+            # reports are read four times; columns that nothing here reads are left out, as the generated method would get too large to be compiled
+            with nullcontext(some) if spec else store.aside(some.select(*_REPORT)) as some:
+                run = process.run_fact(loads, some, load_type) if spec else process.run_voyages(loads, some)
+                steps.append(run.events)
+                if not errors.manifest().has(f"{stream}-{int(load_type)}", number):
+                    errors.publish([errors.stage("errors", run.errors)], f"{stream}-{int(load_type)}", number)
+                passed = wanted.join(run.errors, "load_id", "left_anti")
+                good = some.join(F.broadcast(passed), "load_id", "left_semi")
+                if spec:
+                    staged.append(stage_upsert(store, m, table, good, spec))
+                    continue
+                files = [r["load_id"] for r in passed.collect()]  # a number a new file
+                staged += stage_voyages(store, m, table, good, files)
+                staged.append(store.stage("details", reshape.coded_details(reshape.voyage_details(good))))
+                staged.append(store.stage("fields", reshape.voyage_fields(good)))
         first = 1000 * (m.version + 1)
         for events in steps:
             staged.append(store.stage("events", events.select("load_id", (F.col("seq") + first).cast("long").alias("seq"), F.col("status").cast("int").alias("status"))))

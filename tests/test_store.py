@@ -280,3 +280,19 @@ def test_a_step_goes_through_its_rows_once(spark, store, monkeypatch):
     stored.advance_voyages(store, "v", report(spark, line(1, "A", "B") + line(2, "B")), [1, 2])
     assert plans[0].count("Aggregate [voyage") == 1
     assert {(r.voyage, r.load_id, r.fell_off) for r in store.read("v", stored.APPEARANCES).collect()} == {("A", 1, True), ("B", 1, False), ("B", 2, False)}
+
+
+def test_rows_aside_are_written_once_and_go(spark, tmp_path):
+    """What a step reads several times is made once, is in no manifest, and is removed, also if the step fails."""
+    store, made = stores.Store(spark, str(tmp_path)), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = spark.range(100).mapInArrow(counted, "id long")
+    with pytest.raises(ValueError), store.aside(rows) as some:
+        assert some.count() == 100 and some.agg({"id": "sum"}).first()[0] == 4950 and made.value == 100
+        raise ValueError
+    assert not list((tmp_path / "data").iterdir()) and store.manifest().version == 0
