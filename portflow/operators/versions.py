@@ -54,16 +54,16 @@ def as_of(versions: DataFrame, load_id: int) -> DataFrame:
 def as_of_points(timeline: DataFrame, points: DataFrame, identity: list[str], width: int, at: str = "at") -> DataFrame:
     """points with the version of their identity that was valid at `at`: points' columns, valid_from, valid_to and what else the timeline has.
 
-    No pairs are made: versions and points of an identity are run through in order, and the last version before a point is its own.
-    An identity's time is cut into buckets of `width`, each a group of its own; what a bucket begins with is the last version of those
-    before it. Points before the first version, and where a version had ended without another, drop out. NULL identities are equal.
+    No pairs are made. What is asked for, each identity and time once however many points share it, is run through with the versions in
+    order, and the last version before a time is its own; points then take theirs by an equality join. An identity's time is cut into buckets
+    of `width`, each a group of its own; what a bucket begins with is the last version of those before it. Points before the first version,
+    and where a version had ended without another, drop out. NULL identities are equal.
     """
     others = [c for c in timeline.columns if c not in identity]
-    version = F.struct(*others)
+    version, points = F.struct(*others), points.where(F.col(at).isNotNull())  # here, so that both uses of points are one to Spark
     bucket = lambda c: ((F.col(c) - F.pmod(F.col(c), F.lit(width))) / width).cast("long").alias("_bucket")
-    extra = F.struct(*points.columns)
     starts = timeline.select(*identity, bucket("valid_from"), F.col("valid_from").cast("long").alias("_t"), version.alias("_version"))
-    asked = points.select(*identity, bucket(at), F.col(at).cast("long").alias("_t"), extra.alias("_point"))
+    asked = points.select(*identity, F.col(at).cast("long").alias("_t")).distinct().select(*identity, bucket("_t"), "_t", F.lit(True).alias("_asked"))
     # the last version of each bucket, and with it the first of the next ones that hold anything
     ends = starts.select(*identity, "_bucket", "_t", "_version").unionByName(asked.select(*identity, "_bucket", "_t"), allowMissingColumns=True)
     ends = ends.groupBy(*identity, "_bucket").agg(F.max(F.when(F.col("_version").isNotNull(), F.struct("_t", "_version"))).alias("_last"))
@@ -71,10 +71,14 @@ def as_of_points(timeline: DataFrame, points: DataFrame, identity: list[str], wi
     carried = ends.select(*identity, "_bucket", F.last("_last", ignorenulls=True).over(before).alias("_last")).where("_last is not null")
     carried = carried.select(*identity, "_bucket", "_last._t", "_last._version")
     every = starts.unionByName(carried).unionByName(asked, allowMissingColumns=True)
-    order = Window.partitionBy(*identity, "_bucket").orderBy("_t", F.col("_point").isNotNull())
+    order = Window.partitionBy(*identity, "_bucket").orderBy("_t", F.col("_asked").isNotNull())
     found = every.withColumn("_version", F.last("_version", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     held = F.col("_version.valid_to").isNull() | (F.col("_version.valid_to") > F.col("_t"))
-    return found.where(F.col("_point").isNotNull() & F.col("_version").isNotNull() & held).select("_point.*", *(f"_version.{c}" for c in others))
+    found = found.where(F.col("_asked") & F.col("_version").isNotNull() & held).select(*identity, "_t", "_version").alias("v")
+    on = F.col(f"p.{at}").cast("long") == F.col("v._t")
+    for c in identity:
+        on = on & F.col(f"p.{c}").eqNullSafe(F.col(f"v.{c}"))
+    return points.alias("p").join(found, on).select("p.*", *(F.col(f"v._version.{c}") for c in others))
 
 
 def affected(existing: DataFrame, batch: DataFrame, spec: FactSpec) -> DataFrame:

@@ -189,7 +189,10 @@ _POINTS = "select concat('V', cast((row_no * 7 + load_id) % 120 as string)) as v
 def voyage_as_of_points(spark, sf_dir):
     """The status of voyages at as many points as there are report rows, some before a voyage's first report and some of no voyage."""
     points = spark.sql(_POINTS.replace("gpa_raw", "{rows}"), rows=raw(spark, sf_dir, "gpa_raw")).withColumn("load_at", F.col("load_at").cast("long"))
-    line = voyage.status_timeline(report(spark, sf_dir), files(spark, sf_dir)).select("voyage", "voyage_status_id", "valid_from", "valid_to")
+    asked = F.broadcast(points.select("voyage").distinct())  # 120 at most
+    # A predicate, as Spark takes it down to the scan; on the trimmed raw cell, as text() would be tried several times a row there. The files are those of all rows.
+    rows = reshape.clean_report(raw(spark, sf_dir, "gpa_raw").where(F.btrim("voyage", F.lit(clean.WHITE)).isin(asked)))
+    line = voyage.status_timeline(rows, files(spark, sf_dir)).select("voyage", "voyage_status_id", "valid_from", "valid_to")
     return versions.as_of_points(line, points, ["voyage"], 10_000, "load_at").select("voyage", "load_at", "point", "voyage_status_id", "valid_from", "valid_to")
 
 

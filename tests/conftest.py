@@ -66,3 +66,27 @@ def same(spark, duck):
         assert rows_of(ours, columns) == rows_of(theirs, columns)
 
     return check
+
+
+@pytest.fixture
+def windowed():
+    """Runs a frame and gives the rows that were shuffled to each of its windows."""
+
+    def below(node, window):
+        name, found = node.nodeName(), []
+        if name.startswith("AdaptiveSparkPlan"):
+            return below(node.executedPlan(), window)
+        if name.endswith("QueryStage"):
+            return below(node.plan(), window)
+        if name == "ReusedExchange":
+            return below(node.child(), window)
+        if window and name == "Exchange":
+            found, window = [node.metrics().apply("shuffleRecordsWritten").value()], False
+        children = node.children()
+        return found + [n for i in range(children.size()) for n in below(children.apply(i), window or name == "Window")]
+
+    def run(frame):
+        frame.collect()
+        return below(frame._jdf.queryExecution().executedPlan(), False)
+
+    return run

@@ -1,6 +1,7 @@
 import pytest
 
 from portflow.plans import registry
+from tests.conftest import rows_of
 
 
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
@@ -14,3 +15,18 @@ def test_entry_points(spark):
     assert set(registry.QUERIES) <= set(e.queries())
     assert set(e.oracle_sql()) <= set(e.queries())
     assert e.entry(spark).count() > 0
+
+
+def test_lines_are_built_of_the_voyages_that_are_asked_for(spark, tmp_path, windowed):
+    """Most voyages are of no point; files without a voyage that is asked for still end what was on the file before."""
+    import duckdb
+
+    line = ("cast(date_add(date'1996-02-27', cast(id % 8 as int)) as timestamp) l_shipdate", "if(id % 4 = 1, 200, 0) + id div 8 l_suppkey", "id l_partkey", "1 l_linenumber", "2.0D l_quantity")
+    spark.range(16_000).selectExpr(*line).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = registry.QUERIES["voyage_as_of_points"](spark, str(tmp_path))
+    assert max(windowed(found)) < 5_000
+    con = duckdb.connect()
+    con.sql(f"create view lineitem as select * from '{tmp_path}/lineitem.parquet/*.parquet'")
+    want = con.sql(registry.ORACLE_SQL["voyage_as_of_points"]).df()
+    assert len(want) > 1_000
+    assert rows_of(found.toPandas(), sorted(found.columns)) == rows_of(want, sorted(want.columns))

@@ -272,6 +272,17 @@ def test_points_in_time_equal_brute_force(spark, width):
     assert not {"CartesianProduct", "BroadcastNestedLoopJoin"} & set(got._jdf.queryExecution().executedPlan().toString().split())
 
 
+def test_times_asked_for_by_many_points_are_run_through_once(spark, windowed):
+    timeline = spark.createDataFrame([("A", 1, 4, 1), ("A", 4, None, 2), (None, 2, 6, 3)], "who string, valid_from long, valid_to long, v int")
+    points = [(("A", None, "C")[k % 3], k % 8 if k % 5 else None, k % 1500) for k in range(3000)]
+    got = versions.as_of_points(timeline, spark.createDataFrame(points, "who string, at long, k int"), ["who"], 3)
+    seen = windowed(got)
+    assert len(seen) >= 2 and max(seen) < 100
+    line = [("A", 1, 4, 1), ("A", 4, None, 2), (None, 2, 6, 3)]
+    want = [(w, at, k, f, t, v) for w, at, k in points if at is not None for x, f, t, v in line if x == w and f <= at and (t is None or t > at)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
 def test_a_step_goes_through_its_rows_once(spark, store, monkeypatch):
     """Whether a voyage is in the next file is told by where it is seen next; rows are not made again to be held against themselves."""
     plans, stage = [], stores.Store.stage
